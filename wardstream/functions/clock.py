@@ -30,11 +30,19 @@ def parse_time(raw: str | Column) -> Column:
     time zone is, since casting such text to TIMESTAMP_NTZ would drop the offset.
     """
     raw = F.col(raw) if isinstance(raw, str) else raw
+    wall = raw.try_cast("timestamp_ntz")
     instant = raw.try_cast("timestamp").cast("timestamp_ntz")
-    zoned = F.when(
+    utc = F.when(
         raw.rlike(_DATED), F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant)
     )
-    return F.when(raw.rlike(_ZONED), zoned).otherwise(raw.try_cast("timestamp_ntz"))
+    # The pattern costs more than both casts; plain text, ending in a digit and without a sign
+    # after the date, never reaches it.
+    plain = (
+        F.substring(raw, -1, 1).between("0", "9")
+        & (F.instr(raw, "+") == 0)
+        & (F.locate("-", raw, 12) == 0)
+    )
+    return F.when(plain, wall).when(raw.rlike(_ZONED), utc).otherwise(wall)
 
 
 def hours_between(start: str, end: str) -> Column:

@@ -29,13 +29,20 @@ def synth_events(ids: DataFrame, id_col: str = "event_id", seed: int = 0, as_of=
     discharge follows the admission first drawn, so a dirty event may end before it begins.
     """
     ident = F.col(id_col).cast("bigint")
-    drawn = ids.select(
+    hexed = ids.select(
         ident.alias("event_id"), F.sha2(F.concat_ws(":", F.lit(seed), ident), 256).alias("_hex")
     )
+    # Three 16-bit draws per word: reading hex text is the costly part.
+    drawn = hexed.withColumns(
+        {
+            f"_w{i}": F.conv(F.substring("_hex", 1 + 12 * i, 12), 16, 10).cast("bigint")
+            for i in range(4)
+        }
+    )
 
     def draw(slot: int, n: int) -> Column:
-        digits = F.substring("_hex", 1 + 4 * slot, 4)
-        return (F.conv(digits, 16, 10).cast("int") % n).cast("int")
+        bits = F.shiftright(f"_w{slot // 3}", 16 * (2 - slot % 3)).bitwiseAND(0xFFFF)
+        return (bits % n).cast("int")
 
     def pick(slot: int, values: list[str]) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), draw(slot, len(values)) + 1)

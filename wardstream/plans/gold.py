@@ -17,17 +17,17 @@ from wardstream.sources.snapshot import SnapshotTable
 def build_star(silver: DataFrame, as_of=None, grain: str = "patient") -> Star:
     """First-load star from silver rows.
 
-    The latest encounters feed both dimensions and the fact, so they are stored once: one row
-    per patient is written instead of scanning and shuffling silver again for each consumer.
+    The latest encounters and both dimensions are stored before use. The first feeds three
+    consumers, so silver is scanned and shuffled once, not three times. The dimensions are joined
+    by their stored size, which is what the planner's broadcast limit checks: a small one never
+    makes the fact shuffle, a large one is never broadcast.
     """
     usable = clean.accepted(silver)
     latest = materialise(latest_encounter(usable), "latest")
-    if grain == "visit":
-        # Every visit needs its department, not only the last one of each patient.
-        rows, departments = usable, dims.dim_department(usable)
-    else:
-        rows, departments = latest, dims.dim_department(latest)
-    patients = scd2.scd2_init(scd2.incoming_patients(latest), as_of)
+    # At visit grain every visit needs its department, not only the last one of each patient.
+    rows = usable if grain == "visit" else latest
+    departments = materialise(dims.dim_department(rows), "departments")
+    patients = materialise(scd2.scd2_init(scd2.incoming_patients(latest), as_of), "patients")
     return Star(
         fact.fact_patient_flow(rows, patients, departments, as_of), patients, departments, grain
     )

@@ -182,10 +182,11 @@ def dim_patient_current(spark, sf_dir):
 @query
 def scd2_history(spark, sf_dir):
     """One load per day, each at the end of its day."""
-    day_end = F.date_trunc("day", "ts").cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
-    daily = src.events(spark, sf_dir).select("event_id", day_end.alias("batch_time"))
+    day = F.date_trunc("day", "admission_time").cast("timestamp_ntz")
     rows = clean.accepted(clean.impute_age(typed(spark, sf_dir)))
-    return scd2.scd2_history(rows.join(daily, "event_id"))
+    return scd2.scd2_history(
+        rows.withColumn("batch_time", day + F.make_dt_interval(days=F.lit(1)))
+    )
 
 
 # Fact and gold tables.

@@ -7,12 +7,15 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "wardstream", cores: str | int = 8) -> SparkSession:
+def local_session(
+    app: str = "wardstream", cores: str | int = 8, memory: str = "8g"
+) -> SparkSession:
     """A session for tests and the benchmark. On a cluster, pass the cluster's own session."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
