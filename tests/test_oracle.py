@@ -1,0 +1,46 @@
+"""Every registered query against an independent SQL engine, over the whole table."""
+
+import duckdb
+import pytest
+from conftest import SF, rows
+
+import __spark_entry__ as entry_point
+
+QUERIES = entry_point.queries()
+ORACLE = entry_point.oracle_sql()
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, duck, name):
+    ours = QUERIES[name](spark, SF)
+    cols = sorted(ours.columns)
+    theirs = duck.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE[name]})")
+    types = {c[0]: str(c[1]) for c in theirs.description}
+    assert types == {c: TYPES[dtype] for c, dtype in ours.dtypes}
+    assert rows(ours, *cols) == sorted(theirs.fetchall(), key=repr)
+
+
+def test_entry(spark):
+    result = entry_point.entry(spark)
+    assert result.columns == ["department", "gender", "patient_count"]
+    assert result.count() == 9
