@@ -1,0 +1,144 @@
+import pytest
+from conftest import CLOCK, SF, event, rows, silver, t
+from pyspark.sql import functions as F
+
+from wardstream import schemas
+from wardstream.operators import clean
+from wardstream.plans.gold import Gold, build_star
+from wardstream.plans.registry import silver_rows
+from wardstream.session import scratch_dir
+from wardstream.sources import encounters as src
+from wardstream.sources.tables import table_stream
+from wardstream.streaming import gold as gold_stream
+from wardstream.streaming import ingest, trend
+
+AS_OF = "2024-01-30 20:00:00"
+
+
+@pytest.fixture
+def base(spark):
+    return scratch_dir(spark, "test-stream")
+
+
+def drain(query):
+    query.awaitTermination()
+    return query
+
+
+def test_streams_over_many_files_equal_the_batch_and_restart_adds_nothing(spark, base):
+    wire = src.wire(src.events(spark, SF))
+    wire.repartition(5).write.parquet(f"{base}/wire")
+
+    def bronze():
+        rows_ = table_stream(spark, f"{base}/wire", wire.schema, max_files_per_trigger=2)
+        return ingest.start_bronze(
+            rows_, f"{base}/bronze", f"{base}/c1", AS_OF, available_now=True
+        )
+
+    def clean_():
+        rows_ = table_stream(spark, f"{base}/bronze", schemas.BRONZE, max_files_per_trigger=2)
+        return ingest.start_silver(
+            rows_, f"{base}/silver", f"{base}/c2", AS_OF, available_now=True
+        )
+
+    first = drain(bronze())
+    assert len([p for p in first.recentProgress if p["numInputRows"]]) == 3
+    drain(clean_())
+    batch = clean.clean_events(clean.bronze_decode(wire, AS_OF), AS_OF)
+    expected = rows(batch)
+    assert rows(spark.read.parquet(f"{base}/silver"), *batch.columns) == expected
+    drain(bronze())
+    drain(clean_())
+    assert rows(spark.read.parquet(f"{base}/silver"), *batch.columns) == expected
+    # New input is picked up where the checkpoint stands.
+    extra = [(10**6, bytearray(event(patient_id="late").encode()))]
+    spark.createDataFrame(extra, wire.schema).write.mode("append").parquet(f"{base}/wire")
+    drain(bronze())
+    drain(clean_())
+    assert spark.read.parquet(f"{base}/silver").count() == len(expected) + 1
+
+
+def test_added_columns_are_merged_when_read(spark, base):
+    old = spark.createDataFrame([(1, "a")], "event_id bigint, patient_id string")
+    new = spark.createDataFrame([(2, "b", 7)], "event_id bigint, patient_id string, ward int")
+    for df in (old, new):
+        df.write.mode("append").parquet(f"{base}/in")
+        rows_ = table_stream(spark, f"{base}/in", df.schema)
+        drain(ingest.append_stream(rows_, f"{base}/out", f"{base}/c", available_now=True))
+    merged = spark.read.option("mergeSchema", "true").parquet(f"{base}/out")
+    assert rows(merged, "event_id", "ward") == [(1, None), (2, 7)]
+
+
+def test_gold_stream_follows_the_batches(spark, base):
+    data = silver_rows(spark, SF)
+    data.repartition(3, "event_id").write.parquet(f"{base}/silver")
+    gold = Gold(spark, f"{base}/gold", dense_keys=False)
+
+    def start():
+        rows_ = table_stream(spark, f"{base}/silver", schemas.SILVER, max_files_per_trigger=1)
+        return gold_stream.start_gold(rows_, gold, f"{base}/c", AS_OF, available_now=True)
+
+    drain(start())
+    fact = build_star(data, AS_OF).fact
+    # Files come in no order of time, so versions may differ, the latest state may not.
+    plain = [c for c in fact.columns if c != "patient_sk"]
+    assert rows(gold.fact.read(), *plain) == rows(fact, *plain)
+    version = gold.fact.version()
+    drain(start())
+    assert gold.fact.version() == version
+
+
+def test_gold_stream_reads_the_clock_once_per_batch(spark, base):
+    silver(spark, {}).write.parquet(f"{base}/silver")
+    gold = Gold(spark, f"{base}/gold")
+    rows_ = table_stream(spark, f"{base}/silver", schemas.SILVER)
+    drain(gold_stream.start_gold(rows_, gold, f"{base}/c", available_now=True))
+    opened = gold.patients.read().first().effective_from
+    assert opened == gold.fact.read().first().event_ingestion_time
+
+
+def trend_files(spark, base, *hours):
+    df = silver(spark, *({"admission_time": f"2024-01-08 {h:02d}:00:00"} for h in hours))
+    df.coalesce(1).write.mode("append").parquet(f"{base}/silver")
+
+
+def run_trend(spark, base):
+    rows_ = table_stream(spark, f"{base}/silver", schemas.SILVER)
+    counted = trend.admission_trend(rows_)
+    query = drain(ingest.append_stream(counted, f"{base}/out", f"{base}/c", available_now=True))
+    starts = rows(spark.read.schema(counted.schema).parquet(f"{base}/out"), "window_start")
+    return [s.hour for (s,) in starts], trend.late_rows(query)
+
+
+def test_trend_emits_closed_windows_and_drops_late_rows(spark, base):
+    trend_files(spark, base, 1, 2)
+    assert run_trend(spark, base) == ([], 0)
+    trend_files(spark, base, 9)
+    assert run_trend(spark, base)[0] == [1, 2]
+    trend_files(spark, base, 1)
+    assert run_trend(spark, base) == ([1, 2], 1)
+    assert run_trend(spark, base)[0] == [1, 2]
+
+
+def test_dedup_across_batches(spark, base):
+    out = f"{base}/out"
+    for _ in range(2):
+        silver(spark, {}, {"patient_id": "q"}).coalesce(1).write.mode("append").parquet(
+            f"{base}/silver"
+        )
+        rows_ = table_stream(spark, f"{base}/silver", schemas.SILVER)
+        once = trend.dedup_events(rows_, "1 hour")
+        drain(ingest.append_stream(once, out, f"{base}/c", available_now=True))
+    assert rows(spark.read.parquet(out), "event_id", "patient_id") == [(1, "p"), (2, "q")]
+
+
+def test_streaming_clock_is_the_batch_time(spark, base):
+    from datetime import UTC, datetime
+
+    spark.createDataFrame(
+        [(1, event(admission_time=None), t(CLOCK))], schemas.BRONZE
+    ).write.parquet(f"{base}/bronze")
+    bronze = table_stream(spark, f"{base}/bronze", schemas.BRONZE)
+    drain(ingest.start_silver(bronze, f"{base}/silver", f"{base}/c", available_now=True))
+    at = spark.read.parquet(f"{base}/silver").select(F.max("admission_time")).first()[0]
+    assert abs((at - datetime.now(UTC).replace(tzinfo=None)).total_seconds()) < 120
