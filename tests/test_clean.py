@@ -1,5 +1,6 @@
 import pytest
 from conftest import CLOCK, bronze, event, rows, silver, t
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from wardstream import schemas
@@ -103,6 +104,34 @@ def test_unreadable_text_is_quarantined(spark):
     assert {r.reason for r in held} == {"missing patient_id"}
 
 
+def test_rejected_text_is_kept_with_a_reason(spark):
+    df = bronze(
+        spark, "not json", "", None, event(), event(patient_id=...), event(age="xx"), "{", "[]"
+    )
+    got = {r.event_id: (r.raw_json, r.reason) for r in clean.rejected_input(df).collect()}
+    assert {k: v[1] for k, v in got.items()} == {
+        1: "unreadable",
+        2: "empty",
+        3: "empty",
+        5: "missing patient_id",
+        7: "unreadable",
+        8: got[8][1],
+    }
+    assert got[1][0] == "not json"
+    # Exactly the rows the clean table quarantines.
+    assert rows(clean.quarantine(clean.clean_events(df, CLOCK)), "event_id") == [
+        (k,) for k in sorted(got)
+    ]
+
+
+def test_dq_counts_are_observed_in_passing(spark):
+    seen = Observation()
+    df = clean.clean_events(bronze(spark, event(age=150), "not json"), CLOCK, seen)
+    assert df.count() == 2
+    assert seen.get["rows_checked"] == 2
+    assert seen.get["dirty_age"] == 1 and seen.get["missing_patient"] == 1
+
+
 def test_unknown_fields_are_dropped(spark):
     assert cleaned(spark, event(extra=1)).columns == schemas.SILVER.names
 
@@ -131,8 +160,10 @@ def test_time_text_does_not_depend_on_the_session_zone(spark, zone):
 
 
 def test_clock_defaults_to_utc_now(spark):
-    from datetime import UTC, datetime
+    from datetime import UTC, datetime, timedelta, timezone
 
+    zoned = datetime(2024, 1, 8, 1, tzinfo=timezone(timedelta(hours=2)))
+    assert spark.range(1).select(now(zoned)).first()[0] == t("2024-01-07 23:00:00")
     value = spark.range(1).select(now()).first()[0]
     assert abs((value - datetime.now(UTC).replace(tzinfo=None)).total_seconds()) < 60
 

@@ -142,3 +142,20 @@ def test_streaming_clock_is_the_batch_time(spark, base):
     drain(ingest.start_silver(bronze, f"{base}/silver", f"{base}/c", available_now=True))
     at = spark.read.parquet(f"{base}/silver").select(F.max("admission_time")).first()[0]
     assert abs((at - datetime.now(UTC).replace(tzinfo=None)).total_seconds()) < 120
+
+
+def test_quarantine_stream_and_dq_in_progress(spark, base):
+    data = [(1, event(), t(CLOCK)), (2, "not json", t(CLOCK)), (3, event(age=130), t(CLOCK))]
+    spark.createDataFrame(data, schemas.BRONZE).write.parquet(f"{base}/bronze")
+    bronze = table_stream(spark, f"{base}/bronze", schemas.BRONZE)
+    drain(ingest.start_quarantine(bronze, f"{base}/bad", f"{base}/c1", available_now=True))
+    assert rows(spark.read.parquet(f"{base}/bad"), "event_id", "reason") == [(2, "unreadable")]
+    query = drain(
+        ingest.start_silver(
+            bronze, f"{base}/silver", f"{base}/c2", CLOCK, dq="dq", available_now=True
+        )
+    )
+    seen = [p["observedMetrics"]["dq"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(s["rows_checked"] for s in seen) == 3
+    assert sum(s["dirty_age"] for s in seen) == 1
+    assert sum(s["missing_patient"] for s in seen) == 1

@@ -1,6 +1,6 @@
 """The clock and time parsing. Operators take ``as_of``; only ``now`` reads the wall clock."""
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +20,8 @@ def now(as_of: datetime | str | Column | None = None) -> Column:
         return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     if isinstance(as_of, Column):
         return as_of
+    if isinstance(as_of, datetime) and as_of.tzinfo is not None:
+        as_of = as_of.astimezone(UTC).replace(tzinfo=None)
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 

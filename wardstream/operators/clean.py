@@ -1,6 +1,6 @@
 """Decode, parse, type and repair events. Every function here is row-wise: no shuffle, no state."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,10 +66,16 @@ def conform_schema(df: DataFrame, schema: T.StructType = schemas.SILVER) -> Data
     )
 
 
-def clean_events(bronze: DataFrame, as_of=None) -> DataFrame:
-    """Bronze to silver. Rows that cannot be used are still present; see :func:`accepted`."""
-    parsed = type_times(parse_events(bronze))
-    return conform_schema(impute_age(clamp_admission(parsed, as_of)))
+def clean_events(bronze: DataFrame, as_of=None, dq: str | Observation | None = None) -> DataFrame:
+    """Bronze to silver. Rows that cannot be used are still present; see :func:`accepted`.
+
+    ``dq`` names an observation that counts rule violations while the rows pass by, without a
+    second scan; a stream reports it in each batch's progress.
+    """
+    typed = type_times(parse_events(bronze))
+    if dq is not None:
+        typed = typed.observe(dq, *dq_counts(as_of))
+    return conform_schema(impute_age(clamp_admission(typed, as_of)))
 
 
 def accepted(silver: DataFrame) -> DataFrame:
@@ -84,6 +90,23 @@ def quarantine(silver: DataFrame) -> DataFrame:
     )
 
 
+def rejected_input(bronze: DataFrame) -> DataFrame:
+    """The raw text that led to quarantined rows, kept for repair, with the reason."""
+    corrupt = "_corrupt"
+    schema = T.StructType([*schemas.EVENT, T.StructField(corrupt, T.StringType())])
+    parsed = F.from_json("raw_json", schema, {"columnNameOfCorruptRecord": corrupt})
+    reason = (
+        F.when(F.coalesce(F.trim("raw_json"), F.lit("")) == "", "empty")
+        .when(F.col(f"data.{corrupt}").isNotNull(), "unreadable")
+        .otherwise("missing patient_id")
+    )
+    return (
+        bronze.withColumn("data", parsed)
+        .filter("data.patient_id IS NULL")
+        .select("event_id", "raw_json", "ingested_at", reason.alias("reason"))
+    )
+
+
 def dq_rules(as_of=None) -> dict[str, Column]:
     """Rule name to the predicate that marks a violating row of typed, unrepaired events."""
     admitted = F.col("admission_time")
@@ -101,11 +124,16 @@ def dq_rules(as_of=None) -> dict[str, Column]:
     }
 
 
+def dq_counts(as_of=None) -> list[Column]:
+    """The rows checked and the violations of each rule, as aggregates."""
+    rules = dq_rules(as_of).items()
+    return [
+        F.count(F.lit(1)).alias("rows_checked"),
+        *(F.count_if(test).alias(rule) for rule, test in rules),
+    ]
+
+
 def dq_profile(typed: DataFrame, as_of=None) -> DataFrame:
     """Violations per rule, in one scan: ``(rule, violations, rows_checked)``."""
-    rules = dq_rules(as_of)
-    totals = typed.agg(
-        F.count(F.lit(1)).alias("rows_checked"),
-        *(F.count_if(test).alias(rule) for rule, test in rules.items()),
-    )
-    return totals.unpivot("rows_checked", list(rules), "rule", "violations")
+    totals = typed.agg(*dq_counts(as_of))
+    return totals.unpivot("rows_checked", list(dq_rules(as_of)), "rule", "violations")

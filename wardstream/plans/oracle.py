@@ -275,6 +275,8 @@ _BODIES = {
     "silver": _PARSED_SILVER,
     "quarantine": """SELECT event_id, department, admission_time,
         'missing patient_id' AS reason FROM silver WHERE patient_id IS NULL""",
+    "rejected_input": f"""SELECT event_id, '{MALFORMED}' AS raw_json, {_NOW} AS ingested_at,
+        'unreadable' AS reason FROM typed WHERE patient_id IS NULL""",
     "dq_profile": " UNION ALL ".join(
         f"""SELECT count(*) AS rows_checked, '{rule}' AS rule,
         count(*) FILTER (WHERE {test}) AS violations FROM typed"""
@@ -307,6 +309,9 @@ _BODIES = {
         UNION ALL SELECT 'fact_patient_flow', count(*) FROM fact""",
     "gold_refresh": _GOLD,
     "dim_time": _TIME,
+    "bed_occupancy_dept_female": _kpi(
+        _OCCUPANCY, "WHERE p.gender = 'Female'", "d.department, p.gender"
+    ),
     "view_department_inflow": _kpi(*_KPIS["department_inflow"]),
     "stream_bronze": _BRONZE,
     "stream_silver": _PARSED_SILVER,

@@ -102,6 +102,11 @@ def quarantine(spark, sf_dir):
     )
 
 
+@query
+def rejected_input(spark, sf_dir):
+    return clean.rejected_input(bronze_decode(spark, sf_dir))
+
+
 @query
 def dq_profile(spark, sf_dir):
     return clean.dq_profile(typed(spark, sf_dir), AS_OF)
@@ -130,12 +135,7 @@ def attr_fingerprint(spark, sf_dir):
     )
 
 
-@query
-def latest_encounter_(spark, sf_dir):
-    return latest_encounter(usable(spark, sf_dir))
-
-
-QUERIES["latest_encounter"] = QUERIES.pop("latest_encounter_")
+QUERIES["latest_encounter"] = lambda spark, sf_dir: latest_encounter(usable(spark, sf_dir))
 
 
 @query
@@ -254,6 +254,12 @@ for _name in kpis.KPIS:
     QUERIES[f"{_name}_visits"] = _kpi(_name, "visit", _mean)
 
 
+@query
+def bed_occupancy_dept_female(spark, sf_dir):
+    """A KPI sliced by gender."""
+    return kpis.bed_occupancy_dept(star(spark, sf_dir), gender="Female")
+
+
 @query
 def view_department_inflow(spark, sf_dir):
     """The KPI as SQL text over the three named tables."""

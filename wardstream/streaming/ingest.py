@@ -39,6 +39,16 @@ def start_bronze(wire: DataFrame, path: str, checkpoint: str, as_of=None, **kw)
     return append_stream(clean.bronze_decode(wire, as_of), path, checkpoint, **kw)
 
 
-def start_silver(bronze: DataFrame, path: str, checkpoint: str, as_of=None, **kw) -> StreamingQuery:
-    """Raw table into the clean table: one narrow stage per batch, no state."""
-    return append_stream(clean.clean_events(bronze, as_of), path, checkpoint, **kw)
+def start_silver(
+    bronze: DataFrame, path: str, checkpoint: str, as_of=None, dq: str | None = None, **kw
+) -> StreamingQuery:
+    """Raw table into the clean table: one narrow stage per batch, no state.
+
+    With ``dq``, each batch's rule violations appear under that name in its progress report.
+    """
+    return append_stream(clean.clean_events(bronze, as_of, dq), path, checkpoint, **kw)
+
+
+def start_quarantine(bronze: DataFrame, path: str, checkpoint: str, **kw) -> StreamingQuery:
+    """Raw text of rows that cannot be used, into a table of its own."""
+    return append_stream(clean.rejected_input(bronze), path, checkpoint, **kw)
