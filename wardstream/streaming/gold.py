@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from wardstream.functions.clock import now
 from wardstream.plans.gold import Gold
 
 
@@ -23,9 +24,7 @@ def start_gold(
     def refresh(batch: DataFrame, _: int) -> None:
         clock = as_of
         if clock is None:
-            clock = batch.sparkSession.sql(
-                "SELECT convert_timezone('UTC', localtimestamp())"
-            ).first()[0]
+            clock = batch.sparkSession.range(1).select(now()).first()[0]
         gold.refresh(batch, clock)
 
     writer = silver.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
