@@ -10,7 +10,6 @@ import os
 from pyspark.sql import SparkSession
 
 from wardstream import schemas
-from wardstream.functions.clock import now
 from wardstream.plans.gold import Gold
 from wardstream.plans.publish import publish
 from wardstream.sources.broker import broker_stream
@@ -93,9 +92,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         gold = Gold(spark, args.path, dense_keys=not args.hashed_keys)
         silver = spark.read.schema(schemas.SILVER).parquet(args.silver)
-        # One reading of the clock serves all tables.
-        as_of = args.as_of or spark.range(1).select(now()).first()[0]
-        written = gold.refresh(silver, as_of)
+        written = gold.refresh(silver, args.as_of)
         gold.check_keys()
         print(" ".join(f"{table}={rows}" for table, rows in written.items()))
     for query in running:

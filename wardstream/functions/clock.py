@@ -2,7 +2,7 @@
 
 from datetime import UTC, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # A zone or offset after the time of day: Z, +02:00, -0800, UTC, Europe/Berlin.
@@ -25,6 +25,11 @@ def now(as_of: datetime | str | Column | None = None) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
+def read_clock(spark: SparkSession, as_of: datetime | str | None = None) -> datetime | str:
+    """``as_of``, or one reading of the clock for a job whose parts must agree on the time."""
+    return spark.range(1).select(now()).first()[0] if as_of is None else as_of
+
+
 def parse_time(raw: str | Column) -> Column:
     """ISO-8601 text as a UTC wall-clock timestamp; NULL when it cannot be read.
 

@@ -26,7 +26,9 @@ def hashed_key(*parts: str | Column) -> Column:
     Larger key sets use :func:`wardstream.operators.keys.dense_keys`.
     """
     digits = F.substring(F.sha2(natural_key(*parts), 256), 1, 15)
-    return F.conv(digits, 16, 10).cast("bigint")
+    # Never NULL, but only the coalesce tells the planner: a join on the key then adds no null
+    # filter, which would compute the hash a second time.
+    return F.coalesce(F.conv(digits, 16, 10).cast("bigint"), F.lit(0))
 
 
 def tracked_text(attrs: Sequence[str | Column], null_safe: bool = False) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstream import schemas
+from wardstream.functions.clock import read_clock
 from wardstream.operators import clean, dims, fact, scd2
 from wardstream.operators.keys import duplicate_keys
 from wardstream.operators.kpis import Star
@@ -17,17 +18,19 @@ from wardstream.sources.snapshot import SnapshotTable
 def build_star(silver: DataFrame, as_of=None, grain: str = "patient") -> Star:
     """First-load star from silver rows.
 
-    The latest encounters and both dimensions are stored before use. The first feeds three
-    consumers, so silver is scanned and shuffled once, not three times. The dimensions are joined
-    by their stored size, which is what the planner's broadcast limit checks: a small one never
-    makes the fact shuffle, a large one is never broadcast.
+    The latest encounters feed both dimensions and the fact, so they are stored: silver is
+    scanned and shuffled once, not three times. The departments are stored because joins then go
+    by their true size, which is what the planner's broadcast limit checks: as a rule the lookup
+    is a broadcast and the fact does not shuffle for it. The patient dimension is a projection of
+    the stored encounters and needs no copy.
     """
+    as_of = read_clock(silver.sparkSession, as_of)
     usable = clean.accepted(silver)
     latest = materialise(latest_encounter(usable), "latest")
     # At visit grain every visit needs its department, not only the last one of each patient.
     rows = usable if grain == "visit" else latest
     departments = materialise(dims.dim_department(rows), "departments")
-    patients = materialise(scd2.scd2_init(scd2.incoming_patients(latest), as_of), "patients")
+    patients = scd2.scd2_init(scd2.incoming_patients(latest), as_of)
     return Star(
         fact.fact_patient_flow(rows, patients, departments, as_of), patients, departments, grain
     )
@@ -55,7 +58,7 @@ class Gold:
         )
         self.fact = SnapshotTable(self.spark, f"{self.path}/fact_patient_flow", schemas.FACT)
 
-    def refresh(self, silver: DataFrame, as_of) -> dict[str, int]:
+    def refresh(self, silver: DataFrame, as_of=None) -> dict[str, int]:
         """Bring all tables up to date with ``silver``: the full table, or only its new rows.
 
         The stored latest encounters stand for everything seen before, so new rows are enough.
@@ -63,6 +66,7 @@ class Gold:
         the same rows win again, unchanged patients keep their version, and the rest is rebuilt
         from these. Returns rows written per table.
         """
+        as_of = read_clock(self.spark, as_of)
         written = {"latest": self.latest.replace(self._latest(silver))}
         latest = self.latest.read()
         written["dim_patient"] = self.patients.replace(self._patients(latest, as_of))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from wardstream.functions.clock import now
+from wardstream.functions.clock import read_clock
 from wardstream.plans.gold import Gold
 
 
@@ -22,10 +22,7 @@ def start_gold(
     """
 
     def refresh(batch: DataFrame, _: int) -> None:
-        clock = as_of
-        if clock is None:
-            clock = batch.sparkSession.range(1).select(now()).first()[0]
-        gold.refresh(batch, clock)
+        gold.refresh(batch, read_clock(batch.sparkSession, as_of))
 
     writer = silver.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
     if available_now:
