@@ -12,6 +12,7 @@ from wardstream.operators.dims import dim_department
 from wardstream.operators.latest import latest_encounter
 from wardstream.plans.gold import build_star
 from wardstream.plans.registry import QUERIES, silver_rows, star, usable
+from wardstream.session import materialise
 
 
 def plan(df) -> str:
@@ -58,7 +59,8 @@ def test_kpis_read_only_their_columns(spark, tmp_path):
 def test_history_is_not_shuffled_by_apply(spark):
     s = star(spark, SF)
     incoming = scd2.incoming_patients(latest_encounter(usable(spark, SF)))
-    text = plan(scd2.scd2_apply(s.patients, incoming, "2024-02-01 00:00:00"))
+    stored = materialise(s.patients, "dim")
+    text = plan(scd2.scd2_apply(stored, incoming, "2024-02-01 00:00:00"))
     history = text.split("Generate")[0]
     assert "Exchange" not in history and "NOT is_current" in history
 
