@@ -31,6 +31,14 @@ def rows(df, *order):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
+def rounded(kpi):
+    """A KPI with its measure rounded: sums of doubles depend on the order of their terms."""
+    from pyspark.sql import functions as F
+
+    measure = kpi.columns[-1]
+    return kpi.withColumn(measure, F.round(measure, 6))
+
+
 def event(**changes) -> str:
     base = {
         "patient_id": "p",

@@ -12,7 +12,7 @@ from wardstream.operators.dims import dim_department
 from wardstream.operators.latest import latest_encounter
 from wardstream.plans.gold import build_star
 from wardstream.plans.registry import QUERIES, silver_rows, star, usable
-from wardstream.session import materialise
+from wardstream.session import materialise, scratch_dir
 
 
 def plan(df) -> str:
@@ -88,7 +88,8 @@ def test_hot_patient_is_split_and_results_stay_whole(spark, no_broadcast):
     base = silver_rows(spark, SF.replace("0.001", "0.01"))
     # 16 map tasks, so that the hot partition has blocks to be split by.
     hot = base.withColumn(
-        "patient_id", F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("event_id").cast("string"))
+        "patient_id",
+        F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("event_id").cast("string")),
     ).repartition(16)
     s = build_star(hot, "2024-01-30 20:00:00", "visit")
     got = rows(s.fact, "fact_id", "patient_sk")
@@ -101,6 +102,23 @@ def test_hot_patient_is_split_and_results_stay_whole(spark, no_broadcast):
     assert None not in {sk for _, sk in got}
 
 
+def test_hot_date_is_written_by_many_tasks(spark, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "400k")
+    fact = star(spark, SF.replace("0.001", "0.1"), "visit").fact
+    date = F.when(F.col("fact_id") % 3 == 0, F.to_date(F.lit("2024-02-01")))
+    hot = fact.withColumn("admission_date", F.coalesce(date, "admission_date"))
+    path = scratch_dir(spark, "hot-date")
+    facts.write_fact_by_date(hot, path)
+    files = facts.read_fact(spark, path).select("admission_date", F.input_file_name().alias("f"))
+    per_date = {
+        str(r.admission_date): r.n
+        for r in files.groupBy("admission_date").agg(F.countDistinct("f").alias("n")).collect()
+    }
+    # Dates that share the hot one's partition are split with it; the others are not.
+    assert per_date["2024-02-01"] >= 3 and min(per_date.values()) == 1
+    assert files.count() == fact.count()
+
+
 def test_department_lookup_needs_no_fact_shuffle(spark):
     rows_ = usable(spark, SF)
     s = build_star(silver_rows(spark, SF))

@@ -47,7 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--silver", required=True)
     gold.add_argument("--stream", action="store_true", help="follow silver instead of one refresh")
     gold.add_argument("--as-of", help="clock of the refresh; the current time by default")
-    gold.add_argument("--hashed-keys", action="store_true", help="hash patient keys, not number them")
+    gold.add_argument("--hashed-keys", action="store_true", help="hash patient keys")
 
     tables = job("publish", stream=False)
     tables.add_argument("--database", required=True)

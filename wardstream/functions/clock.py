@@ -6,7 +6,10 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # A zone or offset after the time of day: Z, +02:00, -0800, UTC, Europe/Berlin.
-_ZONED = r"\d:\d+(:\d+(\.\d+)?)?\s*(Z|[A-Za-z]{2,}[A-Za-z_/]*([+-]\d.*)?|[+-]\d{1,2}(:?\d{2}){0,2})\s*$"
+_ZONED = (
+    r"\d:\d+(:\d+(\.\d+)?)?\s*"
+    r"(Z|[A-Za-z]{2,}[A-Za-z_/]*([+-]\d.*)?|[+-]\d{1,2}(:?\d{2}){0,2})\s*$"
+)
 # A calendar year in front; a bare time of day is not an event time.
 _DATED = r"^\s*[+-]?\d{4,6}(-|\s*$)"
 

@@ -4,8 +4,6 @@
 (``patient_id`` and the tracked attributes); :func:`incoming_patients` makes it.
 """
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

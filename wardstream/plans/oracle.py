@@ -181,7 +181,8 @@ _PARSED_TEXT = _PLAIN | {
     t: f"strftime({t}, {_ISO})" for t in ("admission_time", "discharge_time")
 }
 _PARSED = _PLAIN | {t: t for t in ("admission_time", "discharge_time")}
-_PARSED_SILVER = f"""SELECT event_id, {_unless_malformed(_PLAIN | {"discharge_time": "discharge_time"})},
+_KEPT = _PLAIN | {"discharge_time": "discharge_time"}
+_PARSED_SILVER = f"""SELECT event_id, {_unless_malformed(_KEPT)},
   CASE WHEN patient_id IS NOT NULL THEN admission_time ELSE {_NOW} END AS admission_time
   FROM silver"""
 
@@ -261,6 +262,9 @@ _TIME = """
   FROM (SELECT CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS date
         FROM (SELECT min(admission_date) AS first, max(admission_date) AS last FROM fact))"""
 
+# A time as Spark casts it to text: without trailing zeros in the fraction.
+_SPARK_TEXT = "rtrim(rtrim(strftime(admission_time, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')"
+
 _BODIES = {
     "bronze_decode": _BRONZE,
     "parse_events": f"SELECT event_id, {_unless_malformed(_PARSED_TEXT)} FROM typed",
@@ -282,9 +286,8 @@ _BODIES = {
         count(*) FILTER (WHERE {test}) AS violations FROM typed"""
         for rule, test in _RULES.items()
     ),
-    "surrogate_key": f"""SELECT event_id,
-        {_key('patient_id', "CASE WHEN admission_time IS NOT NULL THEN rtrim(rtrim(strftime(admission_time, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') END")}
-        AS surrogate_key FROM typed""",
+    "surrogate_key": f"""SELECT event_id, {_key('patient_id', _SPARK_TEXT)} AS surrogate_key
+        FROM typed""",
     "dense_surrogate_key": """SELECT patient_id, event_id,
         row_number() OVER (ORDER BY patient_id, event_id) AS surrogate_key FROM usable""",
     "attr_fingerprint": f"SELECT event_id, gender, age, {_print()} AS attr_hash FROM silver",

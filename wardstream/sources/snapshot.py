@@ -3,7 +3,8 @@
 Each version is its own folder, visible once Spark has put its ``_SUCCESS`` marker there. A run
 that dies before that leaves the previous version in place, and its retry overwrites the
 leftovers. One writer at a time is assumed. This is a naming convention over Spark's own reader
-and writer, not a table format; old folders may be removed by any retention job.
+and writer, not a table format. Folders of earlier versions may be removed by a retention job, but
+for the closed rows of a table with ``open_column``.
 """
 
 from pyspark.errors import AnalysisException
@@ -44,9 +45,10 @@ class SnapshotTable:
             return self.spark.read.schema(self.schema).parquet(self.folder(version))
         # Open rows of this version, closed rows of every version up to it.
         parts = f"v={version}/{self.open_column}=true,v=*/{self.open_column}=false"
+        schema = T.StructType([*self.schema, T.StructField("v", T.LongType())])
         try:
             rows = (
-                self.spark.read.schema(T.StructType([*self.schema, T.StructField("v", T.LongType())]))
+                self.spark.read.schema(schema)
                 .option("basePath", self.path)
                 .parquet(f"{self.path}/{{{parts}}}")
             )
