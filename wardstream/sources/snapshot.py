@@ -7,7 +7,6 @@ and writer, not a table format. Folders of earlier versions may be removed by a
 for the closed rows of a table with ``open_column``.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,19 +43,12 @@ class SnapshotTable:
         if self.open_column is None:
             return self.spark.read.schema(self.schema).parquet(self.folder(version))
         # Open rows of this version, closed rows of every version up to it.
-        parts = f"v={version}/{self.open_column}=true,v=*/{self.open_column}=false"
-        schema = T.StructType([*self.schema, T.StructField("v", T.LongType())])
-        try:
-            rows = (
-                self.spark.read.schema(schema)
-                .option("basePath", self.path)
-                .parquet(f"{self.path}/{{{parts}}}")
-            )
-        except AnalysisException as e:
-            # A table without rows has no such folder.
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        wanted = f"v={version}/{self.open_column}=true", f"v=*/{self.open_column}=false"
+        paths = [p for w in wanted for p in matching_paths(self.spark, f"{self.path}/{w}")]
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
+        schema = T.StructType([*self.schema, T.StructField("v", T.LongType())])
+        rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
         return rows.filter(F.col("v") <= version).select(*self.schema.names)
 
     def replace(self, df: DataFrame) -> int:
