@@ -56,7 +56,12 @@ class Gold:
         self.departments = SnapshotTable(
             self.spark, f"{self.path}/dim_department", schemas.DIM_DEPARTMENT
         )
-        self.fact = SnapshotTable(self.spark, f"{self.path}/fact_patient_flow", schemas.FACT)
+        self.fact = SnapshotTable(
+            self.spark,
+            f"{self.path}/fact_patient_flow",
+            schemas.FACT,
+            partition_by="admission_date",
+        )
 
     def refresh(self, silver: DataFrame, as_of=None) -> dict[str, int]:
         """Bring all tables up to date with ``silver``: the full table, or only its new rows.

@@ -2,37 +2,49 @@
 
 from pyspark.sql import types as T
 
-from wardstream import schemas
 from wardstream.plans.gold import Gold
 from wardstream.plans.views import create_views
+from wardstream.sources.snapshot import SnapshotTable
 from wardstream.sources.tables import create_external_table, repoint_table
 
 
-def publish(gold: Gold, database: str) -> list[str]:
-    """Point catalogue tables at the last complete snapshots; run after each refresh.
+def _publish_folders(table: SnapshotTable, name: str, column: str, live: str) -> None:
+    """A view over the live folders of a table that is stored in several.
 
-    Every step replaces one catalogue entry, so a reader sees a table's old snapshot or its new
-    one. The patient dimension lies in several folders: its table covers them all, and a view
-    picks the rows that belong to the present version.
+    The table underneath covers all versions; the view's condition is on folder columns only, so
+    a reader lists and opens no other version.
     """
-    spark = gold.spark
-    for name, table in (("dim_department", gold.departments), ("fact_patient_flow", gold.fact)):
-        full, path = f"{database}.{name}", table.folder(table.version())
-        if spark.catalog.tableExists(full):
-            repoint_table(spark, full, path)
-        else:
-            create_external_table(spark, full, table.schema, path)
-
-    versions, last = f"{database}.dim_patient_versions", gold.patients.version()
-    if not spark.catalog.tableExists(versions):
-        columns = T.StructType([*schemas.DIM_PATIENT, T.StructField("v", T.LongType())])
-        create_external_table(spark, versions, columns, gold.patients.path, ("v", "is_current"))
-    else:
+    spark, versions = table.spark, f"{name}_versions"
+    if spark.catalog.tableExists(versions):
         spark.sql(f"MSCK REPAIR TABLE {versions}")
+    else:
+        columns = T.StructType([*table.schema, T.StructField("v", T.LongType())])
+        create_external_table(spark, versions, columns, table.path, ("v", column))
     spark.sql(
-        f"CREATE OR REPLACE VIEW {database}.dim_patient AS"
-        f" SELECT {', '.join(schemas.DIM_PATIENT.names)} FROM {versions}"
-        f" WHERE (is_current AND v = {last}) OR (NOT is_current AND v <= {last})"
+        f"CREATE OR REPLACE VIEW {name} AS"
+        f" SELECT {', '.join(table.schema.names)} FROM {versions} WHERE {live}"
     )
+
+
+def publish(gold: Gold, database: str) -> list[str]:
+    """Point catalogue names at the last complete snapshots; run after each refresh.
+
+    Every name changes in one catalogue step, so a reader sees a table's old snapshot or its new
+    one.
+    """
+    spark = gold.spark
+    departments = f"{database}.dim_department"
+    folder = gold.departments.folder(gold.departments.version())
+    if spark.catalog.tableExists(departments):
+        repoint_table(spark, departments, folder)
+    else:
+        create_external_table(spark, departments, gold.departments.schema, folder)
+
+    v = gold.patients.version()
+    live = f"(is_current AND v = {v}) OR (NOT is_current AND v <= {v})"
+    _publish_folders(gold.patients, f"{database}.dim_patient", "is_current", live)
+    live = f"v = {gold.fact.version()}"
+    _publish_folders(gold.fact, f"{database}.fact_patient_flow", "admission_date", live)
+
     names = ("dim_patient", "dim_department", "fact_patient_flow")
     return create_views(spark, {n: f"{database}.{n}" for n in names}, prefix=f"{database}.")

@@ -18,13 +18,19 @@ class SnapshotTable:
     """``open_column`` names a boolean column whose false rows never change once written.
 
     Such rows are written once and accumulate; only the true rows are rewritten by each version.
+    ``partition_by`` names a column that readers filter on, each value in a folder of its own.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, open_column: str | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        open_column: str | None = None,
+        partition_by: str | None = None,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.open_column = open_column
+        self.open_column, self.partition_by = open_column, partition_by
 
     def version(self) -> int:
         """The last complete version, 0 when there is none."""
@@ -41,7 +47,8 @@ class SnapshotTable:
         """Every row of the last complete version."""
         version = self.version()
         if self.open_column is None:
-            return self.spark.read.schema(self.schema).parquet(self.folder(version))
+            rows = self.spark.read.schema(self.schema).parquet(self.folder(version))
+            return rows.select(*self.schema.names)
         # Open rows of this version, closed rows of every version up to it.
         wanted = f"v={version}/{self.open_column}=true", f"v=*/{self.open_column}=false"
         paths = [p for w in wanted for p in matching_paths(self.spark, f"{self.path}/{w}")]
@@ -58,13 +65,14 @@ class SnapshotTable:
         ones; rows closed earlier are kept without being rewritten.
         """
         seen = Observation()
-        writer = (
-            df.select(*self.schema.names)
-            .observe(seen, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-        )
-        if self.open_column is not None:
-            writer = writer.partitionBy(self.open_column)
+        rows = df.select(*self.schema.names)
+        if self.partition_by is not None:
+            # Few files per value, and a value with much of the data spread over many tasks.
+            rows = rows.hint("rebalance", self.partition_by)
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        folders = [c for c in (self.open_column, self.partition_by) if c is not None]
+        if folders:
+            writer = writer.partitionBy(*folders)
         writer.parquet(self.folder(self.version() + 1))
         return seen.get.get("rows", 0)
 
