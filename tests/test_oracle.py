@@ -5,9 +5,9 @@ import pytest
 from conftest import SF, rows
 
 import __spark_entry__ as entry_point
+from wardstream.plans.oracle import ORACLE
+from wardstream.plans.registry import QUERIES
 
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -26,6 +26,11 @@ def duck():
     return con
 
 
+def test_the_entry_point_offers_them_all():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
