@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import sharding
+from wardstream.llm import decontaminate, sharding
 from wardstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,55 @@ SELECT doc_id, size,
        (p - ((p * 8 // n) * n + 7) // 8)::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM placed, crc
 """
+
+
+# 1. Benchmark decontamination.
+
+
+@query
+def op1_winnowed_leaks(spark, sf_dir):
+    """Words of each document that repeat ten words of a benchmark item."""
+    found = decontaminate.shared_spans(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    n_hit = decontaminate.covered(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE["op1_winnowed_leaks"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+wi AS (
+  SELECT DISTINCT item, least(len(w), 10) AS m,
+         array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, least(len(w), 1)) + 1)) AS p FROM i)
+),
+wd AS (
+  SELECT r, m, p, array_to_string(w[p:p + m - 1], ' ') AS win
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS p
+        FROM d, (SELECT DISTINCT m FROM wi))
+),
+hits AS (SELECT r, p, m, item FROM wd JOIN wi USING (m, win)),
+hit_words AS (
+  SELECT r, count(DISTINCT x) AS n FROM (SELECT r, unnest(range(p, p + m)) AS x FROM hits)
+  GROUP BY r
+),
+hit_items AS (
+  SELECT r, count(DISTINCT item) AS n,
+         sha256(array_to_string(list_sort(list(DISTINCT item)), ',')) AS s
+  FROM hits GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(a.n, 0)::BIGINT AS n_hit,
+       coalesce(b.n, 0)::BIGINT AS n_items, coalesce(b.s, sha256('')) AS items_sha256,
+       coalesce(a.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words a USING (r) LEFT JOIN hit_items b USING (r)
+"""
