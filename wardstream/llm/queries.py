@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import decontaminate, sharding
+from wardstream.llm import decontaminate, fertility, sharding
 from wardstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(a.n, 0)::BIGINT AS n_hit,
        coalesce(a.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words a USING (r) LEFT JOIN hit_items b USING (r)
 """
+
+
+# 3. Quality rules.
+
+
+@query
+def op3_fertility_rules(spark, sf_dir):
+    """Base rules and tokeniser fertility of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return fertility.kept(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "n_tokens",
+        F.round("chars_per_token", 6).alias("chars_per_token"),
+        F.round("byte_share", 6).alias("byte_share"),
+        F.round("entropy", 6).alias("entropy"),
+        "script",
+    )
