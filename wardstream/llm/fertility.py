@@ -5,11 +5,12 @@ Public vocabularies tell prose from noise: text that a vocabulary covers badly f
 document is measured over its whole text and kept if every measure lies in the band of its language, or
 else of its script.
 
-Words are tokenised one by one, so each distinct word is met once for a while and then looked up; the memory for
-words is bounded (``MEMORY``).
+Words are tokenised one by one, each with a space before it, and each distinct word once per slice of texts.
+Byte fallback is measured in bytes: those of a document's words that the piece vocabulary spells byte by byte.
 """
 
 import base64
+import re
 import unicodedata
 from dataclasses import dataclass
 from pathlib import Path
@@ -26,10 +27,8 @@ from wardstream.llm.wordhash import SOLID, grams, mix, text_bytes, words
 VOCABULARIES = "/opt/tokenizers"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
-#: Distinct words a task remembers before it starts anew.
-MEMORY = 200_000
-#: The first bytes of a longer word are tokenised in parts of this many characters.
-PART = 256
+#: Bytes of words tokenised in one call.
+RUN = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -71,7 +70,7 @@ _IN_LINE[10] = False
 
 
 class _Vocabulary:
-    """Tokens of words: for each distinct word its ids, its byte-fallback pieces and all its pieces."""
+    """Tokens of distinct words under the public vocabularies."""
 
     def __init__(self, ranks: bytes, pieces: bytes):
         import public_tokenizers
@@ -82,39 +81,32 @@ class _Vocabulary:
         self.bpe = tiktoken.Encoding(
             "fertility", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
         )
+        self.opens = np.zeros(max(table.values()) + 1, bool)
+        self.opens[[i for token, i in table.items() if token.startswith(b" ")]] = True
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         size = self.pieces.vocab_size()
-        self.is_byte = np.array([self.pieces.is_byte(i) for i in range(size)])
-        self.clear()
-
-    def clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.first = np.zeros(1, np.int64)
-        self.byte = np.zeros(0, np.int64)
-        self.piece = np.zeros(0, np.int64)
-
-    def slots(self, hashes: np.ndarray, text_of) -> np.ndarray:
-        """A slot for each of the distinct ``hashes``; ``text_of(i)`` is the i-th one's text."""
-        if len(self.slot) + len(hashes) > MEMORY:
-            self.clear()
-        keys = hashes.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.slot]
-        if new:
-            texts = [text_of(i) for i in new]
-            ids = [
-                [t for at in range(0, len(x), PART) for t in self.bpe.encode_ordinary(" " * (at == 0) + x[at : at + PART])]
-                for x in texts
-            ]
-            pieces = self.pieces.encode(texts, num_threads=1)
-            known = len(self.slot)
-            self.slot.update((keys[i], known + k) for k, i in enumerate(new))
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.ids = np.concatenate([self.ids, np.fromiter((t for x in ids for t in x), np.int32, lengths.sum())])
-            self.first = np.append(self.first, self.first[-1] + np.cumsum(lengths))
-            self.byte = np.append(self.byte, [int(self.is_byte[p].sum()) for p in pieces])
-            self.piece = np.append(self.piece, [len(p) for p in pieces])
-        return np.fromiter((self.slot[h] for h in keys), np.int64, len(keys))
+        self.bytes = {i for i in range(size) if self.pieces.is_byte(i)}
+        letters = "".join(x for x in map(self.pieces.id_to_piece, range(size)) if len(x) == 1)
+        self.strange = re.compile(f"[^{re.escape(letters)}]")
+
+    def tokens(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words, each with a space before it, and the place of each word's first."""
+        ids: list[int] = []
+        at, size = 0, 0
+        for i, word in enumerate(found):
+            size += len(word)
+            if size >= RUN or i + 1 == len(found):
+                # A word holds no space, so a token that opens with one opens a word.
+                ids += self.bpe.encode_ordinary(" " + b" ".join(found[at : i + 1]).decode())
+                at, size = i + 1, 0
+        out = np.array(ids, np.int64)
+        if len(out) and self.opens[out].sum() != len(found):
+            raise AssertionError("a token spans two words")
+        return out, np.append(np.flatnonzero(self.opens[out]) if len(out) else out, len(out))
+
+    def fallen(self, word: str) -> int:
+        """Bytes of the word that its pieces spell byte by byte."""
+        return sum(p in self.bytes for p in self.pieces.encode(word)) if self.strange.search(word) else 0
 
 
 def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -142,8 +134,8 @@ def _script(sample: str) -> str:
 
 def _entropy(doc: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     """Bits of entropy of each document's token counts."""
-    _, count = np.unique(doc.astype(np.int64) << 32 | ids, return_counts=True)
-    keys = np.unique(doc.astype(np.int64) << 32 | ids) >> 32
+    keys, count = np.unique(doc << 32 | ids, return_counts=True)
+    keys >>= 32
     total = np.bincount(keys, count, n)
     share = count / total[keys]
     return np.bincount(keys, -share * np.log2(share), n)
@@ -171,20 +163,21 @@ def _measure(column: pa.Array, vocabulary: _Vocabulary) -> list[pa.Array]:
     np.add.at(cover, at[twice], 1)
     np.add.at(cover, at[twice] + 8, -1)
     cover = np.cumsum(cover)[:-1] > 0
-    # Tokens.
-    distinct, first, where = np.unique(w.hash, return_index=True, return_inverse=True)
+    # Tokens of each distinct word, then of each word.
+    _, one, where = np.unique(w.hash, return_index=True, return_inverse=True)
     raw = data.tobytes()
-    slot = vocabulary.slots(distinct, lambda i: raw[w.start[first[i]] : w.end[first[i]]].decode())[where]
-    n_ids = vocabulary.first[slot + 1] - vocabulary.first[slot]
+    found = [raw[a:b] for a, b in zip(w.start[one].tolist(), w.end[one].tolist(), strict=True)]
+    ids, first = vocabulary.tokens(found)
+    fallen = np.array([0 if x.isascii() and x.decode().isprintable() else vocabulary.fallen(x.decode()) for x in found], np.int64)
+    n_ids = (first[1:] - first[:-1])[where]
     tokens = _sums(n_ids, w.first)
-    take = np.repeat(vocabulary.first[slot] - np.concatenate([[0], np.cumsum(n_ids)[:-1]]) if len(slot) else slot, n_ids)
-    ids = vocabulary.ids[take + np.arange(len(take))].astype(np.int64)
-    entropy = _entropy(np.repeat(doc, n_ids), ids, n)
+    take = np.repeat(first[:-1][where] - np.cumsum(n_ids) + n_ids, n_ids) + np.arange(n_ids.sum())
+    entropy = _entropy(np.repeat(doc, n_ids), ids[take], n)
     chars = _sums(starts_char & solid, offsets)
+    size = _sums(solid, offsets)
     with np.errstate(invalid="ignore", divide="ignore"):
         per_token = np.where(tokens > 0, chars / tokens, 0.0)
-        pieces = _sums(vocabulary.piece[slot], w.first)
-        share = np.where(pieces > 0, _sums(vocabulary.byte[slot], w.first) / pieces, 0.0)
+        share = np.where(size > 0, _sums(fallen[where], w.first) / size, 0.0)
     high = _sums(data >= 0x80, offsets)
     scripts = [
         # Mostly ASCII needs no closer look.
@@ -222,7 +215,7 @@ def measures(docs: DataFrame, text: str = "text", vocabularies: str = VOCABULARI
     def run(batches):
         vocabulary = _Vocabulary(*files.value)
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text):
                 found = _measure(part.column(text), vocabulary)
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *names])
 

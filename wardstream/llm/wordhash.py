@@ -1,6 +1,7 @@
 """Words of many texts at once, as 64-bit hashes (numpy, on the UTF-8 bytes of an Arrow column)."""
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@cache
+def _chunk_powers(base: np.uint64) -> np.ndarray:
+    out = np.full(_CHUNK, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """Powers 0 to n - 1; longer ones only for a word beyond _CHUNK."""
+    if n <= _CHUNK:
+        return _chunk_powers(base)[:n]
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -79,8 +90,15 @@ def words(column: pa.Array, inside: np.ndarray = ALNUM, lower: bool = True) -> W
     after[cuts[cuts > 0] - 1] = False
     start = np.flatnonzero(solid & ~before)
     end = np.flatnonzero(solid & ~after) + 1
+    return Words(run_hashes(data, start, end), np.searchsorted(start, offsets), start, end)
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each run of bytes; the runs follow one another and don't overlap.
+
+    A run's sum of value times power, shifted to its own start, does not depend on its place.
+    """
     hashes = np.zeros(len(start), np.uint64)
-    # A word's sum of value times power, shifted to its own start, does not depend on its place.
     i = 0
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + _CHUNK, side="right")))
@@ -92,7 +110,7 @@ def words(column: pa.Array, inside: np.ndarray = ALNUM, lower: bool = True) -> W
         a, b = start[i:j] - low, end[i:j] - low
         hashes[i:j] = (total[b] - total[a]) * _powers(_INVERSE, n)[a]
         i = j
-    return Words(mix(hashes), np.searchsorted(start, offsets), start, end)
+    return mix(hashes)
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:
