@@ -38,9 +38,15 @@ def hashable(df: DataFrame) -> list[Column]:
     return [F.col(f"`{f.name}`") for f in df.schema if ok(f.dataType)]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows whose text takes about ``limit`` bytes; one row at the least."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+def slices(
+    batch: pa.RecordBatch, sizes: str | pa.Array, limit: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows of about ``limit`` in size, one row at the least.
+
+    ``sizes``: a column of texts, whose bytes count, or the sizes.
+    """
+    if isinstance(sizes, str):
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(sizes)), 0)
     ends = sizes.to_numpy(zero_copy_only=False).astype("int64").cumsum()
     start = 0
     while start < batch.num_rows:

@@ -13,7 +13,7 @@ first merge across any border would also happen within that pair. So one path ha
 weight, and it is the tokenizer's own result.
 """
 
-from functools import lru_cache
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -30,6 +30,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Penalty of a character outside the vocabulary below the lowest score.
 UNKNOWN_PENALTY = 10.0
+#: Arcs of the order machine that a task remembers before it starts anew.
+ARCS = 1 << 18
 _INF = float("inf")
 #: Kinds of pieces, fixed values of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -61,16 +63,22 @@ class PieceTransducer:
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
         self.is_byte = np.array([p.type == BYTE for p in proto.pieces])
         self.longest = max(map(len, self.id))
+        # Lengths in the order they are tried, short ones first; for texts of n, those up to n.
+        self.sizes = sorted(range(1, self.longest + 1), key=lambda n: (n > 3, n == 1, n))
+        self.upto = [max((i + 1 for i, x in enumerate(self.sizes) if x <= n), default=0) for n in range(self.longest)]
         self.floor = min(self.score.values()) - UNKNOWN_PENALTY
         #: If no piece goes on after white space, a text falls apart before each run of marks.
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.id)
-        self.follows = lru_cache(1 << 17)(self._follows)
+        self.arcs: dict[tuple[str, str], bool] = {}
         # Decoding: the bytes each id stands for.
         self.spelled = [
             b"" if p.type == CONTROL else bytes([int(p.piece[3:-1], 16)]) if p.type == BYTE
             else " ⁇ ".encode() if p.type == UNKNOWN else p.piece.replace(MARK, " ").encode()
             for p in proto.pieces
         ]
+        self.spelled_size = np.array(list(map(len, self.spelled)))
+        self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
+        self.spelled_bytes = np.frombuffer(b"".join(self.spelled), np.uint8)
 
     def normalise(self, text: str) -> str:
         """The normaliser: longest rule first, then white space."""
@@ -90,53 +98,89 @@ class PieceTransducer:
         text = text.replace(" ", MARK)
         return MARK + text if self.prefix and text else text
 
-    def _merged(self, symbols: list[str]) -> list[str]:
-        """Neighbours merged by rank, the leftmost of equals first, until none can be."""
+    def _follows(self, a: str, b: str) -> bool:
+        """The order machine's arc from piece ``a`` to piece ``b`` (``a`` empty: at the start).
+
+        The characters are merged by rank, the leftmost of equals first; the arc is there if no merge
+        crosses the border and the two pieces are what is left.
+        """
+        symbols, border, score = [*a, *b], len(a), self.score
         while True:
             best, at = -_INF, -1
             for i in range(len(symbols) - 1):
-                score = self.score.get(symbols[i] + symbols[i + 1])
-                if score is not None and score > best:
-                    best, at = score, i
+                rank = score.get(symbols[i] + symbols[i + 1])
+                if rank is not None and rank > best:
+                    best, at = rank, i
             if at < 0:
-                return symbols
-            symbols = [*symbols[:at], symbols[at] + symbols[at + 1], *symbols[at + 2 :]]
-
-    def _follows(self, a: str, b: str) -> bool:
-        """The order machine's arc from piece ``a`` to piece ``b`` (``a`` empty: at the start)."""
-        return self._merged([*a, *b]) == ([a, b] if a else [b])
-
-    def path(self, text: str) -> list[str]:
-        """The pieces of the shortest path through normalised ``text``."""
-        n = len(text)
-        cost, back = [_INF] * (n + 1), [""] * (n + 1)
-        cost[0] = 0.0
-        for end in range(1, n + 1):
-            for size in range(min(self.longest, end), 0, -1):
-                piece = text[end - size : end]
-                score = self.score.get(piece)
-                if score is None:
-                    if size > 1:
+                return symbols == ([a, b] if a else [b])
+            if at + 1 == border:
+                return False
+            border -= at < border
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+
+    def follows(self, a: str, b: str) -> bool:
+        known = self.arcs.get((a, b))
+        if known is None:
+            if len(self.arcs) >= ARCS:
+                self.arcs.clear()
+            known = self.arcs[a, b] = self._follows(a, b)
+        return known
+
+    def paths(self, texts: list[str]) -> Iterator[list[str]]:
+        """The pieces of the shortest path through each normalised text.
+
+        What is known of the places in a text depends only on what stands before them, so it is kept
+        for the prefix shared with the next text; sorted texts share most.
+        """
+        cost, back, last = [0.0], [""], ""
+        longest, sizes, bpe = self.longest, self.sizes, self.bpe
+        get, arcs = self.score.get, self.arcs
+        for text in texts:
+            n, keep = len(text), 0
+            for x, y in zip(text, last):  # noqa: B905
+                if x != y:
+                    break
+                keep += 1
+            del cost[keep + 1 :], back[keep + 1 :]
+            last = text
+            for end in range(keep + 1, n + 1):
+                least, by = _INF, ""
+                for size in sizes if end >= longest else sizes[: self.upto[end]]:
+                    if size > end:
                         continue
-                    score = self.floor
-                before = end - size
-                if self.bpe:
-                    weight = 0.0 if cost[before] < _INF and self.follows(back[before], piece) else _INF
-                else:
-                    weight = -score
-                if cost[before] + weight < cost[end]:
-                    cost[end], back[end] = cost[before] + weight, piece
-                    if self.bpe:
+                    before = end - size
+                    piece = text[before:end]
+                    score = get(piece)
+                    if score is None:
+                        if size > 1:
+                            continue
+                        score = self.floor
+                    if not bpe:
+                        if cost[before] - score < least:
+                            least, by = cost[before] - score, piece
+                        continue
+                    known = arcs.get((back[before], piece))
+                    if known or known is None and self.follows(back[before], piece):
+                        least, by = 0.0, piece
                         break  # no other path to this place is finite
+                cost.append(least)
+                back.append(by)
+            out = []
+            while n:
+                out.append(back[n])
+                n -= len(back[n])
+            yield out[::-1]
+
+    def path(self, text: str) -> list[str]:
+        return next(self.paths([text]))
+
+    def ids(self, path: list[str]) -> list[int]:
+        """The ids along a path: the order of byte-fallback arcs for a character without a piece."""
+        out: list[int] = [self.id.get(p, -1) for p in path]
+        if -1 not in out:
+            return out
         out = []
-        while n:
-            out.append(back[n])
-            n -= len(back[n])
-        return out[::-1]
-
-    def ids(self, normalised: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.path(normalised):
+        for piece in path:
             one = self.id.get(piece)
             if one is not None:
                 out.append(one)
@@ -147,7 +191,7 @@ class PieceTransducer:
         return out
 
     def encode(self, text: str) -> list[int]:
-        return self.ids(self.normalise(text))
+        return self.ids(self.path(self.normalise(text)))
 
 
 def _load(model: str) -> bytes:
@@ -158,7 +202,7 @@ def _ids(column: pa.Array, fst: PieceTransducer) -> pa.Array:
     """The ids of each text: the distinct stretches of all texts are searched once."""
     if fst.rules or fst.squeeze or not fst.splits:
         texts = [fst.normalise(x or "") for x in column.to_pylist()]
-        return pa.array([fst.ids(x) for x in texts], pa.list_(pa.int32()))
+        return pa.array(map(fst.ids, fst.paths(texts)), pa.list_(pa.int32()))
     column = pc.replace_substring(pc.fill_null(column, ""), MARK, " ")
     if fst.prefix:
         column = pc.if_else(pc.equal(column, ""), "", pc.binary_join_element_wise(" ", column, ""))
@@ -171,13 +215,16 @@ def _ids(column: pa.Array, fst: PieceTransducer) -> pa.Array:
     end = np.append(start[1:], len(data))[: len(start)]
     _, one, where = np.unique(run_hashes(data, start, end), return_index=True, return_inverse=True)
     raw = data.tobytes()
-    ids, sizes = [], []
-    for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True):
-        found = fst.ids(raw[a:b].decode().replace(" ", MARK))
-        ids += found
-        sizes.append(len(found))
-    flat, sizes = np.array(ids, np.int32), np.array(sizes, np.int64)
-    first = np.cumsum(sizes) - sizes
+    bounds = zip(start[one].tolist(), end[one].tolist(), strict=True)
+    stretches = [raw[a:b].decode().replace(" ", MARK) for a, b in bounds]
+    order = sorted(range(len(one)), key=stretches.__getitem__)
+    ids, sizes = [], np.zeros(len(one), np.int64)
+    for i, path in zip(order, fst.paths([stretches[i] for i in order]), strict=True):
+        before = len(ids)
+        ids += fst.ids(path)
+        sizes[i] = len(ids) - before
+    flat, first = np.array(ids, np.int32), np.zeros(len(one), np.int64)
+    first[order] = np.cumsum(sizes[order]) - sizes[order]
     n = sizes[where]
     take = np.repeat(first[where] - np.cumsum(n) + n, n) + np.arange(n.sum())
     total = np.concatenate([[0], np.cumsum(n)])
@@ -188,14 +235,22 @@ def _ids(column: pa.Array, fst: PieceTransducer) -> pa.Array:
 
 def _texts(column: pa.Array, fst: PieceTransducer) -> pa.Array:
     """The text of each list of ids, without the mark in front."""
-    out = []
-    for ids in column:
-        if not ids.is_valid:
-            out.append(None)
-            continue
-        text = b"".join(map(fst.spelled.__getitem__, ids.values.to_pylist())).decode("utf-8", "replace")
-        out.append(text[1:] if fst.prefix and text[:1] == " " else text)
-    return pa.array(out, pa.string())
+    ids = column.flatten().to_numpy(zero_copy_only=False)
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    n = fst.spelled_size[ids]
+    take = np.repeat(fst.spelled_at[ids] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    data = fst.spelled_bytes[take]
+    ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+    texts = pa.Array.from_buffers(pa.large_string(), len(column), buffers)
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:  # ids that spell no text: as the decoder of UTF-8 mends it
+        raw = data.tobytes()
+        texts = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:], strict=False)], pa.large_string())
+    if fst.prefix:
+        texts = pc.if_else(pc.starts_with(texts, " "), pc.utf8_slice_codeunits(texts, 1), texts)
+    return pc.if_else(column.is_valid(), texts, None).cast(pa.string())
 
 
 def _fields(df: DataFrame) -> str:
@@ -235,15 +290,20 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", model: str =
     def run(batches):
         fst = PieceTransducer(file.value, {})
         for batch in batches:
-            found = _texts(batch.column(ids), fst)
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, text])
+            sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0)
+            for part in slices(batch, sizes, 1 << 20):
+                found = _texts(part.column(ids), fst)
+                yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, text])
 
     return rows.mapInArrow(run, f"{_fields(rows)}, `{text}` string")
 
 
-def byte_ids(model: str = MODEL) -> list[int]:
-    """The ids of the byte pieces (256 at the most)."""
-    return np.flatnonzero(PieceTransducer(_load(model), {}).is_byte).tolist()
+def byte_range(model: str = MODEL) -> tuple[int, int]:
+    """The first and last id of the byte pieces, which stand together; (0, -1) if there are none."""
+    found = np.flatnonzero(PieceTransducer(_load(model), {}).is_byte)
+    if len(found) and found[-1] - found[0] + 1 != len(found):
+        raise ValueError("the byte pieces do not stand together")
+    return (int(found[0]), int(found[-1])) if len(found) else (0, -1)
 
 
 def written(text: str):

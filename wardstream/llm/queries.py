@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import decontaminate, fertility, sharding
+from wardstream.llm import decontaminate, fertility, piece_fst, sharding
 from wardstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,20 @@ def op3_fertility_rules(spark, sf_dir):
         F.round("entropy", 6).alias("entropy"),
         "script",
     )
+
+
+# 10. SentencePiece encoding and decoding.
+
+
+@query
+def op10_piece_transducer(spark, sf_dir):
+    """The piece ids of every document, and whether they spell it again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = piece_fst.decode(piece_fst.encode(docs))
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.size(F.filter("ids", lambda i: i.between(*piece_fst.byte_range()))).cast("long").alias("n_byte_pieces"),
+        (F.col("decoded") == piece_fst.written("text")).alias("spelled_again"),
+        "ids",
+    )
