@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import decontaminate, fertility, piece_fst, sharding
+from wardstream.llm import decontaminate, fertility, piece_fst, sharding, zip_warc
 from wardstream.llm.common import table
+from wardstream.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,3 +163,43 @@ def op10_piece_transducer(spark, sf_dir):
         (F.col("decoded") == piece_fst.written("text")).alias("spelled_again"),
         "ids",
     )
+
+
+# 4. WARC.
+
+
+@query
+def op4_zip_warc(spark, sf_dir):
+    """All pages as WARC records in ZIP packages, read back from there."""
+    path = scratch_dir(spark, "packages")
+    zip_warc.write_packages(table(spark, sf_dir, "pages"), path)
+    found = zip_warc.resolved(zip_warc.read_packages(spark, path))
+
+    def page(record: str):
+        return F.regexp_extract(record, "^<urn:page:(.*)>$", 1).try_cast("long")
+
+    return found.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to_id").alias("refers_to"),
+    )
+
+
+ORACLE["op4_zip_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS x FROM pages),
+bits AS (
+  SELECT page_id, octet_length(b)::BIGINT AS n, x, max(page_id) OVER (PARTITION BY x) AS last,
+         list_transform(range(8), lambda i: ('0x' || substr(x, 5 * i + 1, 5))::BIGINT) AS g
+  FROM p
+)
+SELECT page_id, n AS payload_bytes,
+       list_reduce(list_transform(range(32), lambda j:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((g[j // 4 + 1] >> (15 - 5 * (j % 4))) & 31)::INTEGER + 1, 1)),
+         lambda a, c: a || c) AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM bits
+"""
