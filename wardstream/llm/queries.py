@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import chat, decontaminate, fertility, piece_fst, sharding, zip_warc
+from wardstream.llm import chat, decontaminate, fertility, line_dedup, piece_fst, sharding, zip_warc
 from wardstream.llm.common import table
 from wardstream.session import scratch_dir
 
@@ -245,3 +245,43 @@ def op2_chat_windows(spark, sf_dir):
         F.sha2("trained", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+# 6. Line de-duplication.
+
+
+@query
+def op6_winnowed_lines(spark, sf_dir):
+    """All documents without the later occurrences of repeated runs of lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs)
+
+
+ORACLE["op6_winnowed_lines"] = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), units AS (
+  SELECT doc_id, i, j, md5(line) || ':' || j AS u
+  FROM (SELECT *, unnest(range(1, least(5, (len(regexp_extract_all(line, '[^\x09-\x0D\x20]+')) + 9) // 10) + 1)) AS j
+        FROM lines)
+), runs AS (
+  SELECT doc_id, i AS first, row_number() OVER w AS pos,
+         u || lead(u, 1) OVER w || lead(u, 2) OVER w || lead(u, 3) OVER w || lead(u, 4) OVER w AS r,
+         lead(i, 4) OVER w AS last
+  FROM units WINDOW w AS (PARTITION BY doc_id ORDER BY i, j)
+), later AS (
+  SELECT doc_id, first, last
+  FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY doc_id, pos) AS k FROM runs WHERE r IS NOT NULL)
+  WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM later
+)
+SELECT d.doc_id,
+       CASE WHEN any_value(d.text) IS NOT NULL
+            THEN coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') END AS text,
+       CASE WHEN any_value(d.text) IS NULL THEN 0 ELSE count(*) END::BIGINT AS n_lines,
+       count(g.i)::BIGINT AS n_deleted
+FROM documents d JOIN lines l USING (doc_id) LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i
+GROUP BY d.doc_id
+"""
