@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import chat, decontaminate, fertility, line_dedup, piece_fst, sharding, zip_warc
+from wardstream.llm import chat, decontaminate, fertility, line_dedup, piece_fst, secrets, sharding, zip_warc
 from wardstream.llm.common import table
 from wardstream.session import scratch_dir
 
@@ -285,3 +285,24 @@ SELECT d.doc_id,
 FROM documents d JOIN lines l USING (doc_id) LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i
 GROUP BY d.doc_id
 """
+
+
+# 7. Secret scans.
+
+
+@query
+def op7_markov_secrets(spark, sf_dir):
+    """Secrets in all documents."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(rank: int):
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+    )
