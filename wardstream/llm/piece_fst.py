@@ -20,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wardstream.llm.common import slices
 from wardstream.llm.wordhash import run_hashes, text_bytes
@@ -258,26 +257,40 @@ def _fields(df: DataFrame) -> str:
 
 
 def encode(
-    docs: DataFrame, text: str = "text", ids: str = "ids", model: str = MODEL, rules=None
+    docs: DataFrame,
+    text: str = "text",
+    ids: str = "ids",
+    model: str = MODEL,
+    rules: dict[str, str] | None = None,
+    again: str | None = None,
 ) -> DataFrame:
     """``docs`` with the piece ids of the whole text in ``ids`` (array of int; replaced if there).
 
+    ``again``: also a column that tells whether decoding the ids gives the text back, with
+    every mark U+2581 as a space (for models without rules).
+
     A null or empty text has no pieces. Repeated rows are encoded alike; no other column is
     looked at, and an empty table stays empty.
     """
-    if ids == text:
-        raise ValueError("ids needs a column of its own")
-    rows = docs.drop(ids)
+    if text in (ids, again):
+        raise ValueError("results need columns of their own")
+    rows = docs.drop(ids, *([again] if again else []))
     file = docs.sparkSession.sparkContext.broadcast(_load(model))
+    new = [ids, again] if again else [ids]
 
     def run(batches):
         fst = PieceTransducer(file.value, rules)
         for batch in batches:
             for part in slices(batch, text):
-                found = _ids(part.column(text), fst)
-                yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, ids])
+                column = part.column(text)
+                found = [_ids(column, fst)]
+                if again:
+                    written = pc.replace_substring(pc.fill_null(column, ""), MARK, " ")
+                    found.append(pc.equal(_texts(found[0], fst), written))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *new])
 
-    return rows.mapInArrow(run, f"{_fields(rows)}, `{ids}` array<int>")
+    check = f", `{again}` boolean" if again else ""
+    return rows.mapInArrow(run, f"{_fields(rows)}, `{ids}` array<int>{check}")
 
 
 def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -304,8 +317,3 @@ def byte_range(model: str = MODEL) -> tuple[int, int]:
     if len(found) and found[-1] - found[0] + 1 != len(found):
         raise ValueError("the byte pieces do not stand together")
     return (int(found[0]), int(found[-1])) if len(found) else (0, -1)
-
-
-def written(text: str):
-    """What decoding gives back: the text with every mark U+2581 as a space; null is empty."""
-    return F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(MARK), F.lit(" "))

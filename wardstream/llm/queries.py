@@ -155,12 +155,11 @@ def op3_fertility_rules(spark, sf_dir):
 def op10_piece_transducer(spark, sf_dir):
     """The piece ids of every document, and whether they spell it again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = piece_fst.decode(piece_fst.encode(docs))
-    return back.select(
+    return piece_fst.encode(docs, again="spelled_again").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         F.size(F.filter("ids", lambda i: i.between(*piece_fst.byte_range()))).cast("long").alias("n_byte_pieces"),
-        (F.col("decoded") == piece_fst.written("text")).alias("spelled_again"),
+        "spelled_again",
         "ids",
     )
 
