@@ -1,6 +1,10 @@
 """Small helpers shared by the training-data operators."""
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -9,10 +13,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_shipped: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _ship(application: str) -> str:
+    """The package as a ZIP file on the driver, from where Spark hands it to the executors."""
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="wardstream-")) / "wardstream.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    return str(path)
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` for a function that uses this package, which the executors need not have."""
+    context = df.sparkSession.sparkContext
+    path = _ship(context.applicationId)
+    if path not in _shipped:
+        context.addPyFile(path)
+        _shipped.add(path)
+    return df.mapInArrow(function, schema)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have, in any case of letters."""
     taken = {c.lower() for c in df.columns}

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import slices
+from wardstream.llm.common import map_batches, slices
 from wardstream.llm.wordhash import Words, grams, words
 from wardstream.session import materialise
 
@@ -112,7 +112,7 @@ def _scan(df: DataFrame, sizes, longest: int, k: int, bitmap=None, own=False) ->
 
     kind = df.schema["key"].dataType.simpleString()
     schema = f"key {kind}, text_hash bigint, n_words bigint, anchors {ANCHOR}"
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def _bitmap(anchors: DataFrame) -> bytes:

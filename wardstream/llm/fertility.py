@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import slices
+from wardstream.llm.common import map_batches, slices
 from wardstream.llm.wordhash import SOLID, grams, mix, text_bytes, words
 
 #: Where the public vocabularies lie on the driver, which hands them to the tasks (1.4 MB).
@@ -220,7 +220,7 @@ def measures(docs: DataFrame, text: str = "text", vocabularies: str = VOCABULARI
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, {MEASURES}")
+    return map_batches(rows, run, f"{fields}, {MEASURES}")
 
 
 def base_failed() -> Column:

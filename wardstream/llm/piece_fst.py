@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from wardstream.llm.common import slices
+from wardstream.llm.common import map_batches, slices
 from wardstream.llm.wordhash import run_hashes, text_bytes
 
 #: The model's place on the driver, which hands it to the tasks.
@@ -290,7 +290,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *new])
 
     check = f", `{again}` boolean" if again else ""
-    return rows.mapInArrow(run, f"{_fields(rows)}, `{ids}` array<int>{check}")
+    return map_batches(rows, run, f"{_fields(rows)}, `{ids}` array<int>{check}")
 
 
 def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -308,7 +308,7 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", model: str =
                 found = _texts(part.column(ids), fst)
                 yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, text])
 
-    return rows.mapInArrow(run, f"{_fields(rows)}, `{text}` string")
+    return map_batches(rows, run, f"{_fields(rows)}, `{text}` string")
 
 
 def byte_range(model: str = MODEL) -> tuple[int, int]:

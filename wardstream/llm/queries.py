@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import chat, decontaminate, fertility, line_dedup, piece_fst, secrets, sharding, zip_warc
+from wardstream.llm import chat, decontaminate, fertility, line_dedup, near_dup, piece_fst, secrets, sharding, zip_warc
 from wardstream.llm.common import table
 from wardstream.session import scratch_dir
 
@@ -305,3 +305,14 @@ def op7_markov_secrets(spark, sf_dir):
         F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256"),
         secrets.spelled(F.col("spans")).alias("spans"),
     )
+
+
+# 5. MinHash near-dedup.
+
+
+@query
+def op5_weighted_minhash(spark, sf_dir):
+    """The class of near-duplicates of every document."""
+    return near_dup.classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept")
+    )

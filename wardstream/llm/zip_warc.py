@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import slices
+from wardstream.llm.common import map_batches, slices
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2024-01-01T00:00:00Z"
@@ -242,7 +242,7 @@ def write_packages(
         "payload",
     )
     (
-        ready.mapInArrow(_packages(target, zip64), "value binary")
+        map_batches(ready, _packages(target, zip64), "value binary")
         .select(F.col("value").cast("string").alias("value"))
         .write.option("maxRecordsPerFile", 1)
         .text(path)
@@ -277,7 +277,7 @@ def read_packages(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(run, RECORDS)
+    return map_batches(files.select("content"), run, RECORDS)
 
 
 def resolved(found: DataFrame) -> DataFrame:
