@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import chat, decontaminate, fertility, line_dedup, near_dup, piece_fst, secrets, sharding, zip_warc
+from wardstream.llm import chat, decontaminate, fertility, line_dedup, main_text, near_dup, piece_fst, secrets, sharding, zip_warc
 from wardstream.llm.common import table
 from wardstream.session import scratch_dir
 
@@ -316,3 +316,14 @@ def op5_weighted_minhash(spark, sf_dir):
     return near_dup.classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept")
     )
+
+
+# 9. HTML extraction.
+
+
+@query
+def op9_host_suffixes(spark, sf_dir):
+    """The main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
