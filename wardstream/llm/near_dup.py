@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from wardstream.llm.common import map_batches, slices
+from wardstream.llm.common import fresh, hashable, map_batches, slices
 from wardstream.llm.wordhash import Words, grams, mix, words
 from wardstream.session import materialise
 
@@ -363,3 +364,26 @@ def classes(
         F.col("head.h2").alias("first2"),
         "class_size",
     )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """``docs`` with one document of each class, that of the least key; same columns.
+
+    Of rows equal in key and text one stays, the least by a hash of all columns. Nulls as in ``classes``.
+    """
+    h1, h2, order, n = fresh(docs, "h1", "h2", "order", "n")
+    heads = (
+        classes(docs, key, text, similar)
+        .filter("h1 = first1 AND h2 = first2")
+        .select(F.col("h1").alias(h1), F.col("h2").alias(h2))
+        .distinct()
+    )
+    hashed = docs.withColumns(
+        {
+            h1: F.xxhash64(key, F.col(text).cast("string")),
+            h2: F.xxhash64(F.lit(11), key, F.col(text).cast("string")),
+            order: F.xxhash64(*hashable(docs)),
+        }
+    )
+    place = F.row_number().over(Window.partitionBy(h1, h2).orderBy(order))
+    return hashed.join(heads, [h1, h2]).withColumn(n, place).filter(F.col(n) == 1).select(docs.columns)
