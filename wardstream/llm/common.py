@@ -31,7 +31,7 @@ def _ship(application: str) -> str:
     return str(path)
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """``df.mapInArrow`` for a function that uses this package, which the executors need not have."""
     context = df.sparkSession.sparkContext
     path = _ship(context.applicationId)
@@ -41,6 +41,12 @@ def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def fields(df: DataFrame, *names: str, more: str = "") -> T.StructType:
+    """The columns ``names`` of ``df`` (all, if none are named) and those declared in ``more``."""
+    own = [f for f in df.schema if not names or f.name in names]
+    return T.StructType(own + (list(T.StructType.fromDDL(more)) if more else []))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have, in any case of letters."""
     taken = {c.lower() for c in df.columns}

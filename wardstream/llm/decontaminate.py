@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import map_batches, slices
+from wardstream.llm.common import fields, map_batches, slices
 from wardstream.llm.wordhash import Words, grams, words
 from wardstream.session import materialise
 
@@ -110,9 +110,8 @@ def _scan(df: DataFrame, sizes, longest: int, k: int, bitmap=None, own=False) ->
                     ["key", "text_hash", "n_words", "anchors"],
                 )
 
-    kind = df.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, text_hash bigint, n_words bigint, anchors {ANCHOR}"
-    return map_batches(rows, run, schema)
+    more = f"text_hash bigint, n_words bigint, anchors {ANCHOR}"
+    return map_batches(rows, run, fields(df, "key", more=more))
 
 
 def _bitmap(anchors: DataFrame) -> bytes:

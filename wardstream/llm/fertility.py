@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import map_batches, slices
+from wardstream.llm.common import fields, map_batches, slices
 from wardstream.llm.wordhash import SOLID, grams, mix, text_bytes, words
 
 #: Where the public vocabularies lie on the driver, which hands them to the tasks (1.4 MB).
@@ -138,7 +138,7 @@ def _entropy(doc: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     keys >>= 32
     total = np.bincount(keys, count, n)
     share = count / total[keys]
-    return np.bincount(keys, -share * np.log2(share), n)
+    return np.bincount(keys, -share * np.log2(share), n).astype(float)
 
 
 def _measure(column: pa.Array, vocabulary: _Vocabulary) -> list[pa.Array]:
@@ -219,8 +219,7 @@ def measures(docs: DataFrame, text: str = "text", vocabularies: str = VOCABULARI
                 found = _measure(part.column(text), vocabulary)
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *names])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return map_batches(rows, run, f"{fields}, {MEASURES}")
+    return map_batches(rows, run, fields(rows, more=MEASURES))
 
 
 def base_failed() -> Column:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import map_batches, slices
+from wardstream.llm.common import fields, map_batches, slices
 from wardstream.llm.wordhash import SOLID, grams, mix, words
 from wardstream.session import materialise
 
@@ -294,7 +294,6 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     empty table gives no rows. Other columns are not read.
     """
     rows = _keyed(pages, key, url, html)
-    kind = rows.schema["key"].dataType.simpleString()
 
     def read(named: bool):
         def run(batches):
@@ -314,7 +313,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
         return run
 
-    schema = f"key {kind}, url string, h1 bigint, h2 bigint, text string"
+    schema = fields(rows, "key", more="url string, h1 bigint, h2 bigint, text string")
     known = map_batches(rows, read(True), schema)
     unknown = map_batches(rows, read(False), schema).join(repeated(pages, key, url, html), ["h1", "h2"], "left")
 
@@ -328,7 +327,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
                 [batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], ["key", "url", "text"]
             )
 
-    decided = map_batches(unknown.select("key", "url", "text", "covered"), decide, f"key {kind}, url string, text string")
+    schema = fields(rows, "key", more="url string, text string")
+    decided = map_batches(unknown.select("key", "url", "text", "covered"), decide, schema)
     return (
         known.select("key", "url", "text", F.lit(True).alias("named"))
         .unionByName(decided.withColumn("named", F.lit(False)))

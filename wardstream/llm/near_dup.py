@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardstream.llm.common import fresh, hashable, map_batches, slices
+from wardstream.llm.common import fields, fresh, hashable, map_batches, slices
 from wardstream.llm.wordhash import Words, grams, mix, words
 from wardstream.session import materialise
 
@@ -152,7 +152,6 @@ def _samples(text: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int) ->
 
 def _sign(rows: DataFrame, table) -> DataFrame:
     """From (key, h1, h2, text): h1, h2, key, n_words, the sequence s1, s2, bands and samples (32 bits)."""
-    kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches):
         weight = np.frombuffer(table.value, np.float32)
@@ -182,8 +181,12 @@ def _sign(rows: DataFrame, table) -> DataFrame:
     return map_batches(
         rows,
         run,
-        f"key {kind}, h1 bigint, h2 bigint, n_words bigint, s1 bigint, s2 bigint, "
-        "bands array<bigint>, samples array<int>",
+        fields(
+            rows,
+            "key",
+            more="h1 bigint, h2 bigint, n_words bigint, s1 bigint, s2 bigint, "
+            "bands array<bigint>, samples array<int>",
+        ),
     )
 
 
