@@ -6,7 +6,7 @@ then as many new turns as fit. Windows begin and end at turns. The loss covers t
 that a repeated one is masked and each counts once.
 
 The template marks a turn as ``<|turn|>role<|text|>text<|end|>``. Strings in roles and texts that a template or tokenizer might take
-for control are escaped by a backslash after their first character, and one more where there are some
+for control are escaped by a backslash after their (last) opening bracket, and one more where there are some
 already, so that unescaping gives every text back.
 
 Only DataFrame functions are used. Work is per conversation: its turns are gathered in one row, as its texts are.
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
-#: Control strings after their first character; fixed values of common templates.
-_CONTROL = r"(?=/?s>|/?INST\]|</?SYS>>|/?SYS>>|\|[A-Za-z0-9_]+\|>|(?:pad|unk|bos|eos|mask)>)"
+#: Control strings after their last opening character; fixed values of common templates. None holds another opening
+#: character, so what is put in after one never changes another.
+_CONTROL = r"(?=/?s>|/?INST\]|/?SYS>>|\|[A-Za-z0-9_]+\|>|(?:pad|unk|bos|eos|mask)>)"
 _FIRST = r"([<\[])"
 
 MARKS = 3
