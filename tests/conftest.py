@@ -70,6 +70,7 @@ def silver(spark, *records):
         "discharge_time": t("2024-01-09 12:00:00"),
         "bed_id": 5,
         "hospital_id": 1,
+        "arrived_at": t("2024-01-08 00:00:00"),
     }
     data = []
     for i, r in enumerate(records, 1):

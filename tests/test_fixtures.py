@@ -11,9 +11,9 @@ from wardstream.session import scratch_dir
 # Figures observed for the derived domain at two scales.
 KNOWN = {
     "0.001": {
-        "usable": 989,
-        "quarantined": 11,
-        "dirty_age": 133,
+        "usable": 1000,
+        "quarantined": 0,
+        "dirty_age": 134,
         "future": 3,
         "latest": 15,
         "tied": 0,
@@ -21,20 +21,20 @@ KNOWN = {
         "turnover": {"Female": 1.0, "Male": 1.0},
         "admitted": {"Female": 6, "Male": 8},
         "groups": (9, 3, 9, 7),
-        "versions": 30,
+        "versions": 20,
     },
     "0.01": {
-        "usable": 9896,
-        "quarantined": 104,
-        "dirty_age": 1270,
-        "future": 61,
+        "usable": 10000,
+        "quarantined": 0,
+        "dirty_age": 1283,
+        "future": 62,
         "latest": 150,
-        "tied": 9,
+        "tied": 10,
         "occupancy": {"Female": 90.667, "Male": 86.667},
-        "turnover": {"Female": 1.01351, "Male": 1.0},
+        "turnover": {"Female": 1.0, "Male": 1.0},
         "admitted": {"Female": 68, "Male": 65},
         "groups": (10, 5, 10, 10),
-        "versions": 299,
+        "versions": 235,
     },
 }
 

@@ -30,7 +30,7 @@ def test_latest_is_limited_before_the_shuffle(spark):
 
 
 def test_cleaning_never_shuffles(spark):
-    for name in ("bronze_decode", "parse_events", "silver", "quarantine", "synth_events"):
+    for name in ("bronze_decode", "parse_events", "silver", "quarantine"):
         assert "Exchange" not in plan(QUERIES[name](spark, SF)), name
 
 

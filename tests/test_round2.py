@@ -1,0 +1,235 @@
+"""Safety of the stored tables, redelivery, late rows, arrival order, and growth."""
+
+import random
+import re
+from datetime import date
+
+import pytest
+from conftest import CLOCK, SF, event, rows, silver, t
+from pyspark.sql import functions as F
+
+from wardstream import schemas
+from wardstream.functions.clock import parse_time
+from wardstream.operators import clean, dims, kpis
+from wardstream.operators.latest import latest_encounter
+from wardstream.plans import views
+from wardstream.plans.gold import Gold, build_star
+from wardstream.plans.publish import publish
+from wardstream.plans.registry import QUERIES, silver_rows
+from wardstream.session import scratch_dir
+from wardstream.sources.broker import broker_options
+from wardstream.sources.snapshot import FULL_EVERY, SnapshotTable
+from wardstream.sources.tables import table_stream
+from wardstream.streaming import ingest, trend
+
+AS_OF = "2024-01-30 20:00:00"
+
+
+@pytest.fixture
+def base(spark):
+    return scratch_dir(spark, "test-r2")
+
+
+@pytest.fixture(params=["dynamic", "no marker"])
+def odd_session(spark, request):
+    conf = {
+        "dynamic": ("spark.sql.sources.partitionOverwriteMode", "dynamic"),
+        "no marker": ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"),
+    }[request.param]
+    before = spark.conf.get(conf[0], None)
+    spark.conf.set(*conf)
+    yield
+    spark.conf.unset(conf[0]) if before is None else spark.conf.set(conf[0], before)
+
+
+def test_two_refreshes_end_in_full_tables_whatever_the_session_says(spark, base, odd_session):
+    gold, data = Gold(spark, base), silver_rows(spark, SF)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    gold.refresh(data.filter(F.col("admission_time") < cut), "2024-01-15 00:00:00")
+    written = gold.refresh(data, AS_OF)
+    star = gold.star()
+    assert written["fact_patient_flow"] == star.fact.count() == 15
+    assert star.fact.filter("patient_sk IS NULL").isEmpty()
+    assert star.patients.filter("is_current").count() == 15
+    assert gold.fact.version() == gold.patients.version() == 2
+
+
+def test_append_keeps_rows_whatever_the_session_says(spark, base, odd_session):
+    table = SnapshotTable(spark, base, schemas.DIM_DEPARTMENT)
+    for i in range(3):
+        table.append(spark.createDataFrame([(i, f"d{i}", 1)], schemas.DIM_DEPARTMENT))
+    assert rows(table.read(), "surrogate_key") == [(0,), (1,), (2,)]
+
+
+def test_an_absent_table_says_so(spark, base):
+    with pytest.raises(FileNotFoundError, match="no complete version"):
+        SnapshotTable(spark, base, schemas.DIM_DEPARTMENT).read()
+
+
+def test_a_write_that_cannot_be_seen_is_an_error(spark, base, monkeypatch):
+    table = SnapshotTable(spark, base, schemas.DIM_DEPARTMENT)
+    monkeypatch.setattr("wardstream.sources.snapshot._COMPLETE", {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"})
+    with pytest.raises(RuntimeError, match="no marker"):
+        table.replace(spark.createDataFrame([(1, "a", 1)], schemas.DIM_DEPARTMENT))
+
+
+def test_closed_rows_are_folded_from_time_to_time(spark, base, monkeypatch):
+    monkeypatch.setattr("wardstream.sources.snapshot.FULL_EVERY", 3)
+    table = SnapshotTable(spark, base, schemas.DIM_PATIENT, open_column="is_current")
+
+    def version(k, current):
+        return ("p", "M", k, t(CLOCK), k, None if current else t(CLOCK), current)
+
+    table.replace(spark.createDataFrame([version(1, True)], schemas.DIM_PATIENT))
+    for k in range(2, 9):
+        table.replace(spark.createDataFrame([version(k - 1, False), version(k, True)], schemas.DIM_PATIENT))
+        assert rows(table.read(), "surrogate_key", "is_current") == [(i, i == k) for i in range(1, k + 1)]
+        assert len(table.live_folders()) <= 4
+    assert FULL_EVERY > 3
+
+
+def test_published_partitions_do_not_grow(spark, base):
+    db = "growth_test"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{base}/db'")
+    gold = Gold(spark, f"{base}/gold")
+
+    def size():
+        total = 0
+        for x in spark.catalog.listTables(db):
+            if x.tableType != "VIEW" and "_v" in x.name:
+                total += spark.sql(f"SHOW PARTITIONS {db}.{x.name}").count()
+        return total, len(spark.catalog.listTables(db))
+
+    sizes = []
+    for i in range(4):
+        gold.refresh(silver(spark, {"patient_id": "a"}, {"patient_id": "b", "admission_time": "2024-01-07 00:00:00"}), CLOCK)
+        publish(gold, db)
+        sizes.append(size())
+    assert len(set(sizes)) == 1
+    # A department that no latest encounter names any more stays.
+    gold.refresh(silver(spark, {"event_id": 9, "patient_id": "a", "department": "Surgery", "admission_time": "2024-01-09 00:00:00"}, {"event_id": 10, "patient_id": "b", "department": "Surgery", "admission_time": "2024-01-09 00:00:00"}), CLOCK)
+    publish(gold, db)
+    assert rows(spark.table(f"{db}.dim_department"), "department") == [("ICU",), ("Surgery",)]
+    assert spark.table(f"{db}.vw_bed_occupancy_dept_male").count() == 1
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_redelivery_over_many_batches_loses_nothing(spark, base):
+    """Events of three days in no order, each delivered twice."""
+    rng = random.Random(1)
+    data = [(i, t("2024-01-08 00:00:00").replace(hour=rng.randrange(24), day=rng.randrange(5, 9))) for i in range(300)]
+    deliveries = [(i, at, k * 60 + rng.randrange(50)) for i, at in data for k in (0, 1)]
+    rng.shuffle(deliveries)
+    for k in range(5):
+        part = deliveries[k * 120 : (k + 1) * 120]
+        df = spark.createDataFrame(part, "event_id long, admission_time timestamp_ntz, late int")
+        df = clean.conform_schema(df.withColumn("arrived_at", F.lit(CLOCK).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("late"))))
+        df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = table_stream(spark, f"{base}/in", schemas.SILVER, max_files_per_trigger=1)
+    query = ingest.append_stream(trend.dedup_events(stream, "2 hours"), f"{base}/out", f"{base}/cp", available_now=True)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 5
+    assert trend.late_rows(query) == 0
+    assert rows(spark.read.parquet(f"{base}/out"), "event_id") == sorted(((i,) for i in range(300)), key=repr)
+
+
+def test_trend_counts_late_admissions_and_replays(spark, base):
+    def load(*hours):
+        df = silver(spark, *({"admission_time": f"2024-01-08 {h:02d}:00:00"} for h in hours))
+        df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+    def run():
+        stream = table_stream(spark, f"{base}/in", schemas.SILVER, max_files_per_trigger=1)
+        trend.start_trend(stream, f"{base}/out", f"{base}/cp", available_now=True).awaitTermination()
+        got = trend.read_trend(spark, f"{base}/out", delay="1 hour")
+        return sorted((r.window_start.hour, r.admissions) for r in got.collect())
+
+    load(1, 2)
+    assert run() == []
+    load(9, 1)
+    assert run() == [(1, 2), (2, 1)]
+    load(1, 2, 3)
+    assert run() == [(1, 3), (2, 2), (3, 1)] == run()
+    assert trend.read_trend(spark, f"{base}/out").count() == 4
+
+
+def test_ties_are_settled_by_arrival(spark):
+    wire = spark.createDataFrame(
+        [
+            (0, 99, t("2024-01-09 10:00:00"), bytearray(event(bed_id=99).encode()), bytearray(b"k")),
+            (1, 0, t("2024-01-09 09:00:00"), bytearray(event(bed_id=1).encode()), None),
+        ],
+        "partition int, offset long, timestamp timestamp, value binary, key binary",
+    )
+    bronze = clean.bronze_decode(wire, CLOCK)
+    assert set(bronze.columns) == set(schemas.BRONZE_BROKER.names)
+    assert rows(bronze, "broker_partition", "broker_offset", "broker_key") == [(0, 99, "k"), (1, 0, None)]
+    latest = latest_encounter(clean.clean_events(bronze, CLOCK))
+    assert rows(latest, "bed_id") == [(99,)]
+
+
+def test_dense_keys_in_a_first_load(spark):
+    star = build_star(silver_rows(spark, SF), AS_OF, dense_keys=True)
+    assert sorted(r[0] for r in star.patients.select("surrogate_key").collect()) == list(range(1, 16))
+    assert star.fact.filter("patient_sk IS NULL").isEmpty()
+    hashed = build_star(silver_rows(spark, SF), AS_OF)
+    assert rows(kpis.department_inflow(star)) == rows(kpis.department_inflow(hashed))
+
+
+def test_years_are_bounded_and_the_calendar_has_many_tasks(spark):
+    texts = ["-99999-01-01", "0001-01-01", "1899-12-31T23:59:59", "1900-01-01", "2199-12-31", "2200-01-01", "+12345-01-01T00:00:00Z"]
+    got = spark.createDataFrame([(x,) for x in texts], "x string").select("x", parse_time("x").alias("t")).collect()
+    assert [r.x for r in got if r.t is not None] == ["1900-01-01", "2199-12-31"]
+    fact = spark.sql("SELECT * FROM VALUES (DATE '1900-01-01'), (DATE '2199-12-31') AS f(admission_date)")
+    days = (date(2199, 12, 31) - date(1900, 1, 1)).days + 1
+    calendar = dims.dim_time(fact)
+    assert calendar.count() == calendar.select("date").distinct().count() == days
+    assert "RepartitionBy" in calendar._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_wrong_types_and_patientless_records_are_told_apart(spark, base):
+    texts = [event(patient_id=None, age="old"), "not json", "[1]", "", event(age="old")]
+    df = spark.createDataFrame([(i, x, t(CLOCK)) for i, x in enumerate(texts)], schemas.BRONZE)
+    got = {r.event_id: r.reason for r in clean.rejected_input(df).collect()}
+    assert got == {0: "missing patient_id", 1: "unreadable", 2: "unreadable", 3: "empty"}
+    seen = clean.Observation("dq_r2")
+    clean.clean_events(df, CLOCK, seen).write.format("noop").mode("overwrite").save()
+    assert seen.get["wrong_type"] == 2 and seen.get["rows_checked"] == 5
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = [spark.conf.get(c, None) for c in names]
+    for c in names:
+        spark.conf.set(c, "-1")
+    yield
+    for c, v in zip(names, before, strict=True):
+        spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
+@pytest.mark.parametrize("kpi", ["department_inflow", "bed_turnover_rate", "patient_volume_trend", "bed_occupancy"])
+def test_a_keyed_kpi_shuffles_the_fact_once(spark, base, no_broadcast, kpi):
+    star = build_star(silver_rows(spark, SF), AS_OF, "visit")
+    for name in ("fact", "patients", "departments"):
+        getattr(star, name).write.parquet(f"{base}/{name}")
+    read = {n: spark.read.parquet(f"{base}/{n}") for n in ("fact", "patients", "departments")}
+    stored = kpis.Star(**read, grain="visit")
+    views.register_star(stored)
+    tables = {n: n for n in ("fact_patient_flow", "dim_patient", "dim_department")}
+    for df in (kpis.KPIS[kpi](stored), spark.sql(views.view_sql(kpi, tables))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # Exchanges by patient: one of the fact, one of the dimension.
+        assert len(re.findall(r"Exchange hashpartitioning\(patient_sk#\d+L?, \d+\)", plan)) <= 2
+        assert not re.search(r"hashpartitioning\(patient_sk#\d+L?, [a-z_]+#", plan)
+
+
+def test_queries_have_rows_to_compare(spark):
+    assert QUERIES["scd2_new_keys"](spark, SF).count() > 0
+    assert all(r.violations > 0 for r in QUERIES["dq_profile"](spark, SF).collect())
+    assert "synth_events" not in QUERIES
+
+
+def test_login_module_is_a_parameter():
+    options = broker_options("h:9093", "t", "u", "p", login_module="shaded.Plain")
+    assert options["kafka.sasl.jaas.config"].startswith("shaded.Plain required")

@@ -104,7 +104,7 @@ def trend_files(spark, base, *hours):
 
 def run_trend(spark, base):
     rows_ = table_stream(spark, f"{base}/silver", schemas.SILVER)
-    counted = trend.admission_trend(rows_)
+    counted = trend.admission_trend(rows_, "1 hour")
     query = drain(ingest.append_stream(counted, f"{base}/out", f"{base}/c", available_now=True))
     starts = rows(spark.read.schema(counted.schema).parquet(f"{base}/out"), "window_start")
     return [s.hour for (s,) in starts], trend.late_rows(query)

@@ -49,6 +49,10 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--as-of", help="clock of the refresh; the current time by default")
     gold.add_argument("--hashed-keys", action="store_true", help="hash patient keys")
 
+    for p in (bronze, silver, gold):
+        p.add_argument("--format", default="parquet", help="table format of bronze and silver")
+    bronze.add_argument("--login-module", help="login class where the platform relocates it")
+
     tables = job("publish", stream=False)
     tables.add_argument("--database", required=True)
     return parser
@@ -71,10 +75,14 @@ def main(argv: list[str] | None = None) -> None:
             password=os.environ.get(args.password_env),
             starting_offsets=args.starting_offsets,
             fail_on_data_loss=not args.tolerate_data_loss,
+            **({"login_module": args.login_module} if args.login_module else {}),
+        )
+        running.append(
+            ingest.start_bronze(wire, args.path, args.checkpoint, fmt=args.format, **timing)
         )
-        running.append(ingest.start_bronze(wire, args.path, args.checkpoint, **timing))
     elif args.job == "silver":
-        bronze = table_stream(spark, args.bronze, schemas.BRONZE)
+        timing["fmt"] = args.format
+        bronze = table_stream(spark, args.bronze, schemas.BRONZE_BROKER, args.format)
         running.append(
             ingest.start_silver(bronze, args.path, args.checkpoint, dq="dq", **timing)
         )
@@ -87,11 +95,11 @@ def main(argv: list[str] | None = None) -> None:
         if not args.checkpoint:
             raise SystemExit("--stream needs --checkpoint")
         gold = Gold(spark, args.path, dense_keys=not args.hashed_keys)
-        silver = table_stream(spark, args.silver, schemas.SILVER)
+        silver = table_stream(spark, args.silver, schemas.SILVER, args.format)
         running.append(start_gold(silver, gold, args.checkpoint, args.as_of, **timing))
     else:
         gold = Gold(spark, args.path, dense_keys=not args.hashed_keys)
-        silver = spark.read.schema(schemas.SILVER).parquet(args.silver)
+        silver = spark.read.format(args.format).schema(schemas.SILVER).load(args.silver)
         written = gold.refresh(silver, args.as_of)
         gold.check_keys()
         print(" ".join(f"{table}={rows}" for table, rows in written.items()))

@@ -10,6 +10,8 @@ _ZONED = (
     r"\d:\d+(:\d+(\.\d+)?)?\s*"
     r"(Z|[A-Za-z]{2,}[A-Za-z_/]*([+-]\d.*)?|[+-]\d{1,2}(:?\d{2}){0,2})\s*$"
 )
+# Years an event may have. Other times are as good as missing.
+FIRST_YEAR, LAST_YEAR = 1900, 2199
 # A calendar year in front; a bare time of day is not an event time.
 _DATED = r"^\s*[+-]?\d{4,6}(-|\s*$)"
 
@@ -37,7 +39,8 @@ def parse_time(raw: str | Column) -> Column:
     """ISO-8601 text as a UTC wall-clock timestamp; NULL when it cannot be read.
 
     Text without a zone is taken as UTC. Text with one is converted to UTC whatever the session
-    time zone is, since casting such text to TIMESTAMP_NTZ would drop the offset.
+    time zone is, since casting such text to TIMESTAMP_NTZ would drop the offset. Times outside the
+    years FIRST_YEAR to LAST_YEAR are NULL too, and so count as missing.
     """
     raw = F.col(raw) if isinstance(raw, str) else raw
     wall = raw.try_cast("timestamp_ntz")
@@ -52,7 +55,8 @@ def parse_time(raw: str | Column) -> Column:
         & (F.instr(raw, "+") == 0)
         & (F.locate("-", raw, 12) == 0)
     )
-    return F.when(plain, wall).when(raw.rlike(_ZONED), utc).otherwise(wall)
+    read = F.when(plain, wall).when(raw.rlike(_ZONED), utc).otherwise(wall)
+    return F.when(F.year(read).between(FIRST_YEAR, LAST_YEAR), read)
 
 
 def hours_between(start: str, end: str) -> Column:

@@ -16,23 +16,46 @@ def bronze_decode(wire: DataFrame, as_of=None) -> DataFrame:
     """Broker rows to bronze: ``value`` bytes as text, beside the event's identity.
 
     A frame without ``event_id`` must carry the broker's ``partition`` and ``offset``; both are
-    packed into one BIGINT (19 and 44 bits), unique within the topic.
+    packed into one BIGINT (19 and 44 bits), unique within the topic. Such rows keep what the broker
+    says of them besides: partition, offset, timestamp and key.
     """
+    broker = []
     if "event_id" in wire.columns:
         event_id = F.col("event_id")
     else:
         event_id = F.shiftleft(F.col("partition").cast("bigint"), 44) + F.col("offset")
+        have = set(wire.columns)
+        zone = F.current_timezone()
+        time = F.convert_timezone(zone, F.lit("UTC"), F.col("timestamp").cast("timestamp_ntz"))
+        broker = [
+            F.col("partition").cast("int").alias("broker_partition"),
+            F.col("offset").cast("bigint").alias("broker_offset"),
+            (time if "timestamp" in have else F.lit(None).cast("timestamp_ntz")).alias(
+                "broker_time"
+            ),
+            (F.col("key") if "key" in have else F.lit(None)).cast("string").alias("broker_key"),
+        ]
     return wire.select(
         event_id.alias("event_id"),
         F.col("value").cast("string").alias("raw_json"),
         now(as_of).alias("ingested_at"),
+        *broker,
     )
 
 
-def parse_events(bronze: DataFrame) -> DataFrame:
-    """JSON text to the declared fields. Unreadable text gives a row of NULLs."""
+def arrival(bronze: DataFrame) -> Column:
+    """When the event arrived: by the broker's clock, else by ours."""
+    if "broker_time" in bronze.columns:
+        return F.coalesce("broker_time", "ingested_at")
+    return F.col("ingested_at")
+
+
+def parse_events(bronze: DataFrame, *keep: Column | str) -> DataFrame:
+    """JSON text to the declared fields. Unreadable text gives a row of NULLs. ``keep``: columns of
+    bronze that stay beside them."""
     parsed = F.from_json("raw_json", schemas.EVENT).alias("data")
-    return bronze.select("event_id", parsed).select("event_id", "data.*")
+    kept = bronze.select("event_id", parsed, *keep)
+    return kept.select("event_id", "data.*", *kept.columns[2:])
 
 
 def type_times(parsed: DataFrame) -> DataFrame:
@@ -72,9 +95,13 @@ def clean_events(bronze: DataFrame, as_of=None, dq: str | Observation | None = N
     ``dq`` names an observation that counts rule violations while the rows pass by, without a
     second scan; a stream reports it in each batch's progress.
     """
-    typed = type_times(parse_events(bronze))
-    if dq is not None:
-        typed = typed.observe(dq, *dq_counts(as_of))
+    arrived = arrival(bronze).alias("arrived_at")
+    if dq is None:
+        typed = type_times(parse_events(bronze, arrived))
+    else:
+        wrong = F.count_if(wrong_type()).alias("wrong_type")
+        typed = type_times(parse_events(bronze, arrived, "raw_json"))
+        typed = typed.observe(dq, *dq_counts(as_of), wrong)
     return conform_schema(impute_age(clamp_admission(typed, as_of)))
 
 
@@ -92,12 +119,11 @@ def quarantine(silver: DataFrame) -> DataFrame:
 
 def rejected_input(bronze: DataFrame) -> DataFrame:
     """The raw text that led to quarantined rows, kept for repair, with the reason."""
-    corrupt = "_corrupt"
-    schema = T.StructType([*schemas.EVENT, T.StructField(corrupt, T.StringType())])
-    parsed = F.from_json("raw_json", schema, {"columnNameOfCorruptRecord": corrupt})
+    parsed = F.from_json("raw_json", schemas.EVENT)
     reason = (
         F.when(F.coalesce(F.trim("raw_json"), F.lit("")) == "", "empty")
-        .when(F.col(f"data.{corrupt}").isNotNull(), "unreadable")
+        # A record with a field of a wrong type is readable: it has keys.
+        .when(F.json_object_keys("raw_json").isNull(), "unreadable")
         .otherwise("missing patient_id")
     )
     return (
@@ -107,6 +133,15 @@ def rejected_input(bronze: DataFrame) -> DataFrame:
     )
 
 
+def wrong_type() -> Column:
+    """Whether a field of a parsed event is NULL although its text (``raw_json``) has a value for it."""
+    tests = [
+        F.col(f.name).isNull() & F.get_json_object("raw_json", f"$.{f.name}").isNotNull()
+        for f in schemas.EVENT
+    ]
+    return F.array_contains(F.array(*tests), True)
+
+
 def dq_rules(as_of=None) -> dict[str, Column]:
     """Rule name to the predicate that marks a violating row of typed, unrepaired events."""
     admitted = F.col("admission_time")

@@ -17,9 +17,19 @@ def dim_department(latest: DataFrame) -> DataFrame:
 def dim_time(fact: DataFrame, date: str = "admission_date") -> DataFrame:
     """One row per calendar day between the first and last date of the fact."""
     span = fact.agg(F.min(date).alias("first"), F.max(date).alias("last"))
-    # An empty fact has no span, hence no days.
-    days = span.filter("first IS NOT NULL").select(
-        F.explode(F.sequence("first", "last")).alias("date")
+    # An empty fact has no span, hence no days. Years are spread over tasks before their days arise.
+    years = (
+        span.filter("first IS NOT NULL")
+        .select("first", "last", F.explode(F.sequence(F.year("first"), F.year("last"))).alias("y"))
+        .repartition("y")
+    )
+    days = years.select(
+        F.explode(
+            F.sequence(
+                F.greatest("first", F.make_date("y", F.lit(1), F.lit(1))),
+                F.least("last", F.make_date("y", F.lit(12), F.lit(31))),
+            )
+        ).alias("date")
     )
     return days.select(
         F.date_format("date", "yyyyMMdd").cast("int").alias("date_key"),

@@ -1,8 +1,8 @@
 """KPIs over the star schema.
 
-Every measure is built from per-row counts that add up, so the plan is the same for all: sum on
-the map side as early as possible, shuffle the fact once to meet the patient dimension, and look
-up the department only after the rows are down to a few groups.
+Every measure is built from per-row counts that add up, so the plan is the same for all: shuffle
+the fact once, by patient, to meet the patient dimension, sum on the map side before the small
+shuffle of the groups, and look up the department only after the rows are down to a few groups.
 
 ``fact_id`` is the fact's primary key, so counting distinct facts is counting facts.
 """
@@ -44,8 +44,10 @@ def _by_gender(
     """Sums of ``parts`` by gender and the fact columns ``keys``. ``gender`` slices the report."""
     fact = star.fact if where is None else star.fact.filter(where)
     rows = fact.select("patient_sk", *keys, *(c.alias(n) for n, c in parts.items()))
-    if star.grain == "visit":
-        # A patient with many visits becomes a few rows per map task before any shuffle.
+    if star.grain == "visit" and not keys:
+        # A patient with many visits becomes a row per map task, and the sum needs no shuffle
+        # besides the join's. With more keys it would need its own, and shrink little: there the
+        # skew join splits a patient with many visits.
         rows = rows.groupBy("patient_sk", *keys).agg(*_sums(parts))
     patients = star.patients.select(F.col("surrogate_key").alias("patient_sk"), "gender")
     if gender is not None:

@@ -23,5 +23,9 @@ def latest_by_key(
 
 
 def latest_encounter(encounters: DataFrame) -> DataFrame:
-    """Each patient's latest admission; equal times are settled by the later event."""
-    return latest_by_key(encounters, "patient_id", ["admission_time", "event_id"])
+    """Each patient's latest admission; equal times are settled by the later arrival, then by the
+    event's number (at one time of arrival, partitions have no order among them)."""
+    order = ["admission_time", "arrived_at", "event_id"]
+    return latest_by_key(
+        encounters, "patient_id", [c for c in order if c in encounters.columns]
+    )

@@ -64,4 +64,5 @@ def synth_events(ids: DataFrame, id_col: str = "event_id", seed: int = 0, as_of=
         (admitted + hours(draw(5, STAY_HOURS) + 1)).alias("discharge_time"),
         (draw(10, BEDS) + 1).alias("bed_id"),
         (draw(11, HOSPITALS) + 1).alias("hospital_id"),
+        now(as_of).alias("arrived_at"),
     )

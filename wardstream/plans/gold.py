@@ -15,9 +15,14 @@ from wardstream.session import materialise
 from wardstream.sources.snapshot import SnapshotTable
 
 
-def build_star(silver: DataFrame, as_of=None, grain: str = "patient") -> Star:
+def build_star(
+    silver: DataFrame, as_of=None, grain: str = "patient", dense_keys: bool = False
+) -> Star:
     """First-load star from silver rows.
 
+    Patient keys are hashes, good for some 10**8 patients; ``dense_keys`` numbers them exactly, for
+    any number, at the price of a sort of the patients.
+
     The latest encounters feed both dimensions and the fact, so they are stored: silver is
     scanned and shuffled once, not three times. The departments are stored because joins then go
     by their true size, which is what the planner's broadcast limit checks: as a rule the lookup
@@ -30,7 +35,9 @@ def build_star(silver: DataFrame, as_of=None, grain: str = "patient") -> Star:
     # At visit grain every visit needs its department, not only the last one of each patient.
     rows = usable if grain == "visit" else latest
     departments = materialise(dims.dim_department(rows), "departments")
-    patients = scd2.scd2_init(scd2.incoming_patients(latest), as_of)
+    patients = scd2.scd2_init(scd2.incoming_patients(latest), as_of, hashed=not dense_keys)
+    if dense_keys:
+        patients = materialise(scd2.with_dense_keys(patients, 0), "patients")
     return Star(
         fact.fact_patient_flow(rows, patients, departments, as_of), patients, departments, grain
     )
@@ -75,7 +82,7 @@ class Gold:
         written = {"latest": self.latest.replace(self._latest(silver))}
         latest = self.latest.read()
         written["dim_patient"] = self.patients.replace(self._patients(latest, as_of))
-        written["dim_department"] = self.departments.replace(dims.dim_department(latest))
+        written["dim_department"] = self.departments.replace(self._departments(latest))
         written["fact_patient_flow"] = self.fact.replace(
             fact.fact_patient_flow(latest, self.patients.read(), self.departments.read(), as_of)
         )
@@ -87,6 +94,13 @@ class Gold:
             rows = self.latest.read().unionByName(rows)
         return latest_encounter(rows)
 
+    def _departments(self, latest: DataFrame) -> DataFrame:
+        """Every department ever seen, so that facts published before keep theirs."""
+        rows = dims.dim_department(latest)
+        if self.departments.exists():
+            rows = rows.unionByName(self.departments.read()).distinct()
+        return rows
+
     def _patients(self, latest: DataFrame, as_of) -> DataFrame:
         """The current versions and the ones this run closes; older history is not touched."""
         incoming = scd2.incoming_patients(latest)

@@ -1,7 +1,6 @@
 """Each registered query as standalone SQL for an independent engine (DuckDB dialect)."""
 
-from wardstream.operators.synth import DEPARTMENTS
-from wardstream.sources.encounters import AS_OF, FIRST_LOAD, MALFORMED
+from wardstream.sources.encounters import AS_OF, FAULTS, FAULTY, FIRST_LOAD, MALFORMED
 
 _NOW = f"TIMESTAMP '{AS_OF}'"
 _FIRST = f"TIMESTAMP '{FIRST_LOAD}'"
@@ -22,10 +21,27 @@ def _print(row: str = "") -> str:
     return f"sha256(coalesce({p}gender, 'NA') || '||' || coalesce(CAST({p}age AS VARCHAR), 'NA'))"
 
 
+def _repaired(rows: str) -> str:
+    return f"""
+      SELECT event_id, patient_id, gender,
+             CASE WHEN age > 100 THEN CAST((event_id % 90 + 90) % 90 + 1 AS INTEGER)
+                  ELSE age END AS age,
+             department,
+             CASE WHEN admission_time IS NULL OR admission_time > {_NOW} THEN {_NOW}
+                  ELSE admission_time END AS admission_time,
+             discharge_time, bed_id, hospital_id, CAST(NULL AS TIMESTAMP) AS arrived_at
+      FROM {rows}"""
+
+
+def _unless(column: str, *faults: str) -> str:
+    gone = ", ".join(str(FAULTS.index(f)) for f in ("unreadable", *faults))
+    return f"CASE WHEN f NOT IN ({gone}) THEN {column} END AS {column}"
+
+
 _CTES = {
     "typed": """
       SELECT event_id,
-             CASE WHEN event_id % 97 <> 0 THEN CAST(user_id AS VARCHAR) END AS patient_id,
+             CAST(user_id AS VARCHAR) AS patient_id,
              CASE WHEN user_id % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
              CAST(floor(value) AS INTEGER) AS age,
              event_type AS department,
@@ -34,14 +50,21 @@ _CTES = {
              CAST(event_id % 500 + 1 AS INTEGER) AS bed_id,
              CAST(event_id % 7 + 1 AS INTEGER) AS hospital_id
       FROM events""",
-    "silver": f"""
-      SELECT event_id, patient_id, gender,
-             CASE WHEN age > 100 THEN CAST(event_id % 90 + 1 AS INTEGER) ELSE age END AS age,
-             department,
-             CASE WHEN admission_time IS NULL OR admission_time > {_NOW} THEN {_NOW}
-                  ELSE admission_time END AS admission_time,
-             discharge_time, bed_id, hospital_id
-      FROM typed""",
+    # Faulty events beside the real ones; f is the fault's number.
+    "faulty": f"""
+      SELECT *, -1 AS f FROM typed UNION ALL
+      SELECT -1 - event_id, {_unless('patient_id', 'no patient')}, {_unless('gender')},
+             {_unless('age', 'wrong type of age')}, {_unless('department', 'no department')},
+             {_unless('admission_time', 'no admission')},
+             CASE WHEN f = {FAULTS.index('discharge before admission')}
+                  THEN admission_time - INTERVAL 5 HOUR
+                  WHEN f NOT IN ({FAULTS.index('unreadable')}, {FAULTS.index('no discharge')})
+                  THEN discharge_time END AS discharge_time,
+             {_unless('bed_id', 'no bed')}, {_unless('hospital_id')}, f
+      FROM (SELECT *, (event_id // {FAULTY}) % {len(FAULTS)} AS f FROM typed
+            WHERE event_id % {FAULTY} = 0)""",
+    "silver": _repaired("typed"),
+    "silver_faulty": _repaired("faulty"),
     "usable": "SELECT * FROM silver WHERE patient_id IS NOT NULL",
     "latest": """
       SELECT * EXCLUDE (rn) FROM (
@@ -158,33 +181,27 @@ _KPIS = {
 }
 
 _ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
-_JSON = f"""CASE WHEN patient_id IS NULL THEN '{MALFORMED}' ELSE
-  '{{"patient_id":"' || patient_id || '","gender":"' || gender || '","age":' || age
-  || ',"department":"' || department
-  || '","admission_time":"' || strftime(admission_time, {_ISO})
-  || '","discharge_time":"' || strftime(discharge_time, {_ISO})
-  || '","bed_id":' || bed_id || ',"hospital_id":' || hospital_id || '}}' END"""
-_BRONZE = f"SELECT event_id, {_JSON} AS raw_json, {_NOW} AS ingested_at FROM typed"
-
-
-def _unless_malformed(columns: dict[str, str]) -> str:
-    return ", ".join(
-        f"CASE WHEN patient_id IS NOT NULL THEN {expr} END AS {name}"
-        for name, expr in columns.items()
-    )
-
-
-_PLAIN = {
-    c: c for c in ("patient_id", "gender", "age", "department", "bed_id", "hospital_id")
-}
-_PARSED_TEXT = _PLAIN | {
-    t: f"strftime({t}, {_ISO})" for t in ("admission_time", "discharge_time")
-}
-_PARSED = _PLAIN | {t: t for t in ("admission_time", "discharge_time")}
-_KEPT = _PLAIN | {"discharge_time": "discharge_time"}
-_PARSED_SILVER = f"""SELECT event_id, {_unless_malformed(_KEPT)},
-  CASE WHEN patient_id IS NOT NULL THEN admission_time ELSE {_NOW} END AS admission_time
-  FROM silver"""
+_FIELDS = ", ".join(
+    f"""'"{name}":' || {text}"""
+    for name, text in {
+        "patient_id": "'\"' || patient_id || '\"'",
+        "gender": "'\"' || gender || '\"'",
+        "age": "age",
+        "department": "'\"' || department || '\"'",
+        "admission_time": f"'\"' || strftime(admission_time, {_ISO}) || '\"'",
+        "discharge_time": f"'\"' || strftime(discharge_time, {_ISO}) || '\"'",
+        "bed_id": "bed_id",
+        "hospital_id": "hospital_id",
+    }.items()
+)
+_JSON = f"""CASE WHEN f = {FAULTS.index('unreadable')} THEN '{MALFORMED}' ELSE
+  '{{' || CASE WHEN f = {FAULTS.index('wrong type of age')} THEN '"age":"old",' ELSE '' END
+  || array_to_string(list_filter([{_FIELDS}], lambda x: x IS NOT NULL), ',') || '}}' END"""
+_BRONZE = f"SELECT event_id, {_JSON} AS raw_json, {_NOW} AS ingested_at FROM faulty"
+_PLAIN = "event_id, patient_id, gender, age, department, bed_id, hospital_id"
+_PARSED_TEXT = f"""SELECT {_PLAIN}, strftime(admission_time, {_ISO}) AS admission_time,
+  strftime(discharge_time, {_ISO}) AS discharge_time FROM faulty"""
+_PARSED_SILVER = f"SELECT * REPLACE ({_NOW} AS arrived_at) FROM silver_faulty"
 
 _RULES = {
     "missing_patient": "patient_id IS NULL",
@@ -207,24 +224,6 @@ _TREND = """
   GROUP BY window_start, gender"""
 
 
-def _draw(slot: int, n: int) -> str:
-    return f"(CAST('0x' || substr(h, {1 + 4 * slot}, 4) AS BIGINT) % {n})"
-
-
-_SYNTH = f"""
-  SELECT event_id, substr(h, 33, 32) AS patient_id,
-         CASE {_draw(1, 2)} WHEN 0 THEN 'Male' ELSE 'Female' END AS gender,
-         CAST(CASE WHEN {_draw(6, 100)} < 5 THEN {_draw(7, 50)} + 101
-              ELSE {_draw(2, 100)} + 1 END AS INTEGER) AS age,
-         {DEPARTMENTS}[{_draw(3, 7)} + 1] AS department,
-         CASE WHEN {_draw(9, 100)} < 5 THEN {_NOW} + ({_draw(8, 72)} + 1) * INTERVAL 1 HOUR
-              ELSE {_NOW} - {_draw(4, 73)} * INTERVAL 1 HOUR END AS admission_time,
-         {_NOW} - {_draw(4, 73)} * INTERVAL 1 HOUR + ({_draw(5, 72)} + 1) * INTERVAL 1 HOUR
-           AS discharge_time,
-         CAST({_draw(10, 500)} + 1 AS INTEGER) AS bed_id,
-         CAST({_draw(11, 7)} + 1 AS INTEGER) AS hospital_id
-  FROM (SELECT event_id, sha256('7:' || event_id) AS h FROM events)"""
-
 # Daily loads: the last row of each patient and day, then runs of equal attributes.
 _HISTORY = f"""
   SELECT patient_id, gender, age, batch_time AS effective_from,
@@ -267,30 +266,32 @@ _SPARK_TEXT = "rtrim(rtrim(strftime(admission_time, '%Y-%m-%d %H:%M:%S.%f'), '0'
 
 _BODIES = {
     "bronze_decode": _BRONZE,
-    "parse_events": f"SELECT event_id, {_unless_malformed(_PARSED_TEXT)} FROM typed",
-    "type_times": f"SELECT event_id, {_unless_malformed(_PARSED)} FROM typed",
-    "clamp_admission": f"""SELECT * REPLACE (CASE WHEN admission_time IS NULL
+    "parse_events": _PARSED_TEXT,
+    "type_times": "SELECT * EXCLUDE (f) FROM faulty",
+    "clamp_admission": f"""SELECT * EXCLUDE (f) REPLACE (CASE WHEN admission_time IS NULL
         OR admission_time > {_NOW} THEN {_NOW} ELSE admission_time END AS admission_time)
-        FROM typed""",
-    "impute_age": """SELECT * REPLACE (CASE WHEN age > 100
-        THEN CAST(event_id % 90 + 1 AS INTEGER) ELSE age END AS age) FROM typed""",
-    "conform_schema": """SELECT * REPLACE (CAST(NULL AS INTEGER) AS bed_id,
-        CAST(NULL AS TIMESTAMP) AS discharge_time) FROM typed""",
+        FROM faulty""",
+    "impute_age": """SELECT * EXCLUDE (f) REPLACE (CASE WHEN age > 100
+        THEN CAST((event_id % 90 + 90) % 90 + 1 AS INTEGER) ELSE age END AS age) FROM faulty""",
+    "conform_schema": """SELECT * EXCLUDE (f) REPLACE (CAST(NULL AS INTEGER) AS bed_id,
+        CAST(NULL AS TIMESTAMP) AS discharge_time), CAST(NULL AS TIMESTAMP) AS arrived_at
+        FROM faulty""",
     "silver": _PARSED_SILVER,
     "quarantine": """SELECT event_id, department, admission_time,
-        'missing patient_id' AS reason FROM silver WHERE patient_id IS NULL""",
-    "rejected_input": f"""SELECT event_id, '{MALFORMED}' AS raw_json, {_NOW} AS ingested_at,
-        'unreadable' AS reason FROM typed WHERE patient_id IS NULL""",
+        'missing patient_id' AS reason FROM silver_faulty WHERE patient_id IS NULL""",
+    "rejected_input": f"""SELECT event_id, {_JSON} AS raw_json, {_NOW} AS ingested_at,
+        CASE WHEN f = {FAULTS.index('unreadable')} THEN 'unreadable'
+        ELSE 'missing patient_id' END AS reason FROM faulty WHERE patient_id IS NULL""",
     "dq_profile": " UNION ALL ".join(
         f"""SELECT count(*) AS rows_checked, '{rule}' AS rule,
-        count(*) FILTER (WHERE {test}) AS violations FROM typed"""
+        count(*) FILTER (WHERE {test}) AS violations FROM faulty"""
         for rule, test in _RULES.items()
     ),
     "surrogate_key": f"""SELECT event_id, {_key('patient_id', _SPARK_TEXT)} AS surrogate_key
-        FROM typed""",
+        FROM faulty""",
     "dense_surrogate_key": """SELECT patient_id, event_id,
         row_number() OVER (ORDER BY patient_id, event_id) AS surrogate_key FROM usable""",
-    "attr_fingerprint": f"SELECT event_id, gender, age, {_print()} AS attr_hash FROM silver",
+    "attr_fingerprint": f"SELECT event_id, gender, age, {_print()} AS attr_hash FROM silver_faulty",
     "latest_encounter": "SELECT * FROM latest",
     "dim_department": "SELECT * FROM dim_department",
     "scd2_init": "SELECT * FROM dim_patient",
@@ -320,8 +321,7 @@ _BODIES = {
     "stream_silver": _PARSED_SILVER,
     "stream_gold": "SELECT * FROM fact",
     "stream_trend": _TREND,
-    "stream_dedup": "SELECT * FROM usable",
-    "synth_events": _SYNTH,
+    "stream_dedup": "SELECT * EXCLUDE (arrived_at) FROM usable",
 }
 for _name, _spec in _KPIS.items():
     _select, _where, _group = (*_spec, "", "p.gender")[:3] if len(_spec) == 1 else _spec

@@ -1,36 +1,62 @@
 """Name the stored gold tables and the KPI views in the catalogue."""
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from wardstream import schemas
 from wardstream.plans.gold import Gold
 from wardstream.plans.views import create_views
 from wardstream.sources.snapshot import SnapshotTable
 from wardstream.sources.tables import create_external_table, repoint_table
 
 
-def _publish_folders(table: SnapshotTable, name: str, column: str, live: str) -> None:
-    """A view over the live folders of a table that is stored in several.
+def _switch(spark: SparkSession, name: str, table: str, columns: list[str]) -> None:
+    """Let the view ``name`` read ``table``, in one catalogue step, and drop the tables it read before."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(columns)} FROM {table}")
+    database, prefix = name.rsplit(".", 1)
+    for other in spark.catalog.listTables(database):
+        mine = other.name.startswith(f"{prefix}_v") and not other.isTemporary
+        if mine and other.tableType != "VIEW" and other.name != table.rsplit(".", 1)[1]:
+            spark.sql(f"DROP TABLE {database}.{other.name}")
 
-    The table underneath covers all versions; the view's condition is on folder columns only, so
-    a reader lists and opens no other version.
+
+def _publish_version(table: SnapshotTable, name: str, column: str) -> None:
+    """The live version of a table stored by ``column``: only its folders are in the catalogue."""
+    spark, version = table.spark, table.version()
+    target = f"{name}_v{version}"
+    if not spark.catalog.tableExists(target):
+        create_external_table(spark, target, table.schema, table.folder(version), (column,))
+    _switch(spark, name, target, table.schema.names)
+
+
+def _publish_folders(table: SnapshotTable, name: str, column: str) -> None:
+    """The live folders of a table whose closed rows stay where they were written.
+
+    There are at most ``FULL_EVERY`` of them and one, however many versions there were.
     """
-    spark, versions = table.spark, f"{name}_versions"
-    if spark.catalog.tableExists(versions):
-        spark.sql(f"MSCK REPAIR TABLE {versions}")
-    else:
+    spark, version = table.spark, table.version()
+    target = f"{name}_v{version}"
+    if not spark.catalog.tableExists(target):
         columns = T.StructType([*table.schema, T.StructField("v", T.LongType())])
-        create_external_table(spark, versions, columns, table.path, ("v", column))
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} AS"
-        f" SELECT {', '.join(table.schema.names)} FROM {versions} WHERE {live}"
-    )
+        spark.sql(
+            f"CREATE TABLE {target} ({schemas.ddl(columns)}) USING parquet"
+            f" PARTITIONED BY (v, {column}) LOCATION '{table.path}'"
+        )
+        for v, path in table.live_folders():
+            value = path.rsplit("=", 1)[1]
+            spark.sql(
+                f"ALTER TABLE {target} ADD PARTITION (v = {v}, {column} = {value})"
+                f" LOCATION '{path}'"
+            )
+    _switch(spark, name, target, table.schema.names)
 
 
 def publish(gold: Gold, database: str) -> list[str]:
     """Point catalogue names at the last complete snapshots; run after each refresh.
 
     Every name changes in one catalogue step, so a reader sees a table's old snapshot or its new
-    one.
+    one. The catalogue holds the live versions only: its size follows the tables, not the number
+    of refreshes. Departments come first and are never dropped, so every published fact finds its own.
     """
     spark = gold.spark
     departments = f"{database}.dim_department"
@@ -40,11 +66,8 @@ def publish(gold: Gold, database: str) -> list[str]:
     else:
         create_external_table(spark, departments, gold.departments.schema, folder)
 
-    v = gold.patients.version()
-    live = f"(is_current AND v = {v}) OR (NOT is_current AND v <= {v})"
-    _publish_folders(gold.patients, f"{database}.dim_patient", "is_current", live)
-    live = f"v = {gold.fact.version()}"
-    _publish_folders(gold.fact, f"{database}.fact_patient_flow", "admission_date", live)
+    _publish_folders(gold.patients, f"{database}.dim_patient", "is_current")
+    _publish_version(gold.fact, f"{database}.fact_patient_flow", "admission_date")
 
     names = ("dim_patient", "dim_department", "fact_patient_flow")
     return create_views(spark, {n: f"{database}.{n}" for n in names}, prefix=f"{database}.")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardstream import schemas
 from wardstream.functions.keys import hashed_key
-from wardstream.operators import clean, dims, fact, kpis, scd2, synth
+from wardstream.operators import clean, dims, fact, kpis, scd2
 from wardstream.operators.keys import dense_keys
 from wardstream.operators.latest import latest_encounter
 from wardstream.plans import views
@@ -35,10 +35,17 @@ def typed(spark, sf_dir) -> DataFrame:
     return src.encounters(src.events(spark, sf_dir))
 
 
+def faulty(spark, sf_dir) -> DataFrame:
+    """Every event, and faulty ones beside them, for the queries that clean."""
+    return src.encounters_with_faults(src.events(spark, sf_dir)).drop("fault")
+
+
+def repaired(rows: DataFrame) -> DataFrame:
+    return clean.conform_schema(clean.impute_age(clean.clamp_admission(rows, AS_OF)))
+
+
 def silver_rows(spark, sf_dir) -> DataFrame:
-    return clean.conform_schema(
-        clean.impute_age(clean.clamp_admission(typed(spark, sf_dir), AS_OF))
-    )
+    return repaired(typed(spark, sf_dir))
 
 
 def usable(spark, sf_dir) -> DataFrame:
@@ -77,17 +84,17 @@ def type_times(spark, sf_dir):
 
 @query
 def clamp_admission(spark, sf_dir):
-    return clean.clamp_admission(typed(spark, sf_dir), AS_OF)
+    return clean.clamp_admission(faulty(spark, sf_dir), AS_OF)
 
 
 @query
 def impute_age(spark, sf_dir):
-    return clean.impute_age(typed(spark, sf_dir))
+    return clean.impute_age(faulty(spark, sf_dir))
 
 
 @query
 def conform_schema(spark, sf_dir):
-    return clean.conform_schema(typed(spark, sf_dir).drop("bed_id", "discharge_time"))
+    return clean.conform_schema(faulty(spark, sf_dir).drop("bed_id", "discharge_time"))
 
 
 @query
@@ -97,7 +104,7 @@ def silver(spark, sf_dir):
 
 @query
 def quarantine(spark, sf_dir):
-    return clean.quarantine(silver_rows(spark, sf_dir)).select(
+    return clean.quarantine(repaired(faulty(spark, sf_dir))).select(
         "event_id", "department", "admission_time", "reason"
     )
 
@@ -109,7 +116,7 @@ def rejected_input(spark, sf_dir):
 
 @query
 def dq_profile(spark, sf_dir):
-    return clean.dq_profile(typed(spark, sf_dir), AS_OF)
+    return clean.dq_profile(faulty(spark, sf_dir), AS_OF)
 
 
 # Keys and dimensions.
@@ -117,7 +124,7 @@ def dq_profile(spark, sf_dir):
 
 @query
 def surrogate_key(spark, sf_dir):
-    return typed(spark, sf_dir).select(
+    return faulty(spark, sf_dir).select(
         "event_id", hashed_key("patient_id", "admission_time").alias("surrogate_key")
     )
 
@@ -131,7 +138,7 @@ def dense_surrogate_key(spark, sf_dir):
 @query
 def attr_fingerprint(spark, sf_dir):
     return scd2.attr_fingerprint(
-        silver_rows(spark, sf_dir).select("event_id", "gender", "age")
+        repaired(faulty(spark, sf_dir)).select("event_id", "gender", "age")
     )
 
 
@@ -275,14 +282,14 @@ def _drain(query) -> None:
     query.awaitTermination()
 
 
-def _bronze(spark, sf_dir, root) -> DataFrame:
-    wire = src.wire(src.events_stream(spark, sf_dir))
+def _bronze(spark, sf_dir, root, faults=True) -> DataFrame:
+    wire = src.wire(src.events_stream(spark, sf_dir), faults)
     _drain(ingest.start_bronze(wire, f"{root}/bronze", f"{root}/cp1", AS_OF, available_now=True))
     return spark.read.schema(schemas.BRONZE).parquet(f"{root}/bronze")
 
 
-def _silver(spark, sf_dir, root) -> DataFrame:
-    _bronze(spark, sf_dir, root)
+def _silver(spark, sf_dir, root, faults=True) -> DataFrame:
+    _bronze(spark, sf_dir, root, faults)
     bronze = table_stream(spark, f"{root}/bronze", schemas.BRONZE)
     _drain(ingest.start_silver(bronze, f"{root}/silver", f"{root}/cp2", AS_OF, available_now=True))
     return spark.read.schema(schemas.SILVER).parquet(f"{root}/silver")
@@ -300,43 +307,50 @@ def stream_silver(spark, sf_dir):
 
 @query
 def stream_gold(spark, sf_dir):
-    """Bronze, silver and gold streams in a row; the fact they end in."""
+    """Bronze, silver and gold streams in a row, gold in several batches; the fact they end in."""
     root = scratch_dir(spark, "stream")
-    _silver(spark, sf_dir, root)
-    rows = table_stream(spark, f"{root}/silver", schemas.SILVER)
+    silver = _silver(spark, sf_dir, root, faults=False)
+    rows = _delivered(spark, silver, root)
     gold = Gold(spark, f"{root}/gold", dense_keys=False)
     _drain(gold_stream.start_gold(rows, gold, f"{root}/cp3", AS_OF, available_now=True))
     return gold.fact.read()
 
 
-def _stream_silver_rows(spark, sf_dir) -> DataFrame:
-    enc = src.encounters(src.events_stream(spark, sf_dir))
-    repaired = clean.impute_age(clean.clamp_admission(enc, AS_OF))
-    return clean.accepted(clean.conform_schema(repaired))
+#: Files of a delivery; each is a micro-batch of its own.
+DELIVERIES = 6
+
+
+def _delivered(spark, rows: DataFrame, root: str) -> DataFrame:
+    """``rows`` as a stream of several micro-batches, in no order of admission."""
+    shuffled = rows.repartition(DELIVERIES, F.xxhash64("event_id", "arrived_at"))
+    shuffled.write.parquet(f"{root}/in")
+    return table_stream(spark, f"{root}/in", schemas.SILVER, max_files_per_trigger=1)
 
 
 @query
 def stream_trend(spark, sf_dir):
-    """Windows closed by the end of the input."""
+    """Windows closed by the end of the input, which comes in several batches in no order of time."""
     root = scratch_dir(spark, "stream")
-    counted = trend.admission_trend(_stream_silver_rows(spark, sf_dir), "1 hour", "1 hour")
-    _drain(ingest.append_stream(counted, f"{root}/out", f"{root}/cp", available_now=True))
-    return spark.read.schema(counted.schema).parquet(f"{root}/out")
+    rows = _delivered(spark, usable(spark, sf_dir), root)
+    _drain(trend.start_trend(rows, f"{root}/out", f"{root}/cp", available_now=True))
+    return trend.read_trend(spark, f"{root}/out", delay="1 hour")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every event delivered twice, kept once."""
+    """Every event delivered twice within an hour, in several batches, and kept once."""
     root = scratch_dir(spark, "stream")
-    rows = _stream_silver_rows(spark, sf_dir)
-    once = trend.dedup_events(rows.unionByName(rows), "1 hour")
+    rows = usable(spark, sf_dir)
+    copies = [
+        rows.withColumn(
+            "arrived_at",
+            F.lit(AS_OF).cast("timestamp_ntz")
+            + F.make_dt_interval(secs=(F.col("event_id") % 1000 + late).cast("decimal(18,6)")),
+        )
+        for late in (0, 1200)
+    ]
+    delivered = _delivered(spark, copies[0].unionByName(copies[1]), root)
+    once = trend.dedup_events(delivered, "1 hour")
     _drain(ingest.append_stream(once, f"{root}/out", f"{root}/cp", available_now=True))
-    return spark.read.schema(schemas.SILVER).parquet(f"{root}/out")
-
-
-# Synthetic data: one encounter per row of the events table.
-
-
-@query
-def synth_events(spark, sf_dir):
-    return synth.synth_events(src.events(spark, sf_dir).select("event_id"), seed=7, as_of=AS_OF)
+    # Which of the two deliveries is kept depends on their order.
+    return spark.read.schema(schemas.SILVER).parquet(f"{root}/out").drop("arrived_at")

@@ -13,7 +13,10 @@ VIEW_NAMES = {
     "patient_volume_trend": "vw_patient_volume_trend",
     "department_inflow": "vw_department_inflow",
     "overstay_patients": "vw_overstay_patients",
+    "bed_occupancy_dept": "vw_bed_occupancy_dept",
 }
+# Views by gender slice, for those who read through SQL: name suffix and the gender kept.
+SLICES = {"female": "Female", "male": "Male"}
 
 
 def register_star(star: Star) -> None:
@@ -33,11 +36,15 @@ _PATIENTS = "JOIN {dim_patient} p ON p.surrogate_key = f.patient_sk"
 _DEPARTMENTS = "JOIN {dim_department} d ON d.surrogate_key = f.department_sk"
 
 # Key columns, measure, row filter.
+_OCCUPANCY = (
+    "100 * (CAST(count(f.bed_id) FILTER (WHERE f.is_currently_admitted) AS DOUBLE)"
+    " / nullif(count(f.bed_id), 0)) AS bed_occupancy_percent"
+)
 _MEASURES = {
+    "bed_occupancy_dept": ("d.department, p.gender", _OCCUPANCY, ""),
     "bed_occupancy": (
         "p.gender",
-        "100 * (CAST(count(f.bed_id) FILTER (WHERE f.is_currently_admitted) AS DOUBLE)"
-        " / nullif(count(f.bed_id), 0)) AS bed_occupancy_percent",
+        _OCCUPANCY,
         "",
     ),
     "bed_turnover_rate": (
@@ -74,9 +81,11 @@ _MEASURES = {
 }
 
 
-def view_sql(kpi: str, tables: dict[str, str]) -> str:
-    """SELECT statement of a KPI over catalogue tables, given their names."""
+def view_sql(kpi: str, tables: dict[str, str], gender: str | None = None) -> str:
+    """SELECT statement of a KPI over catalogue tables, given their names; ``gender`` slices it."""
     keys, measure, where = _MEASURES[kpi]
+    if gender is not None:
+        where = f"{where} {'AND' if where else 'WHERE'} p.gender = '{gender}'"
     joins = _PATIENTS + (f" {_DEPARTMENTS}" if "d." in keys else "")
     text = f"SELECT {keys}, {measure} FROM {{fact_patient_flow}} f {joins} {where} GROUP BY {keys}"
     return text.format(**tables)
@@ -85,7 +94,9 @@ def view_sql(kpi: str, tables: dict[str, str]) -> str:
 def create_views(spark: SparkSession, tables: dict[str, str], prefix: str = "") -> list[str]:
     """Lasting views over catalogue tables; ``prefix`` may name a schema, as ``"kpi."``."""
     names = []
-    for kpi, view in VIEW_NAMES.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {prefix}{view} AS {view_sql(kpi, tables)}")
-        names.append(f"{prefix}{view}")
+    for suffix, gender in {"": None, **{f"_{s}": g for s, g in SLICES.items()}}.items():
+        for kpi, view in VIEW_NAMES.items():
+            name = f"{prefix}{view}{suffix}"
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {view_sql(kpi, tables, gender)}")
+            names.append(name)
     return names

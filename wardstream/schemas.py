@@ -29,6 +29,17 @@ BRONZE = T.StructType(
     ]
 )
 
+# What a broker adds: bronze rows from one carry these too.
+BRONZE_BROKER = T.StructType(
+    [
+        *BRONZE,
+        T.StructField("broker_partition", T.IntegerType()),
+        T.StructField("broker_offset", T.LongType()),
+        T.StructField("broker_time", T.TimestampNTZType()),
+        T.StructField("broker_key", T.StringType()),
+    ]
+)
+
 SILVER = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -40,6 +51,7 @@ SILVER = T.StructType(
         T.StructField("discharge_time", T.TimestampNTZType()),
         T.StructField("bed_id", T.IntegerType()),
         T.StructField("hospital_id", T.IntegerType()),
+        T.StructField("arrived_at", T.TimestampNTZType()),
     ]
 )
 

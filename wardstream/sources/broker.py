@@ -11,12 +11,14 @@ def broker_options(
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = True,
     max_offsets_per_trigger: int | None = None,
+    login_module: str = "org.apache.kafka.common.security.plain.PlainLoginModule",
 ) -> dict[str, str]:
     """Options for one topic, over SASL_SSL when credentials are given.
 
     ``starting_offsets="latest"`` skips the backlog on the first start only; later starts resume
     from the checkpoint. ``fail_on_data_loss=False`` lets offsets the broker has expired be
-    skipped silently.
+    skipped silently. ``login_module`` is the class that logs in; a platform that relocates the
+    connector's classes names its own.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -25,12 +27,11 @@ def broker_options(
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if username is not None:
-        login = "org.apache.kafka.common.security.plain.PlainLoginModule"
         options |= {
             "kafka.security.protocol": "SASL_SSL",
             "kafka.sasl.mechanism": "PLAIN",
             "kafka.sasl.jaas.config": (
-                f'{login} required username="{username}" password="{password}";'
+                f'{login_module} required username="{username}" password="{password}";'
             ),
         }
     if max_offsets_per_trigger is not None:

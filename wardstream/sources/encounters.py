@@ -10,7 +10,7 @@ from wardstream.sources.tables import table_stream
 
 # The clock of every registered query, and the first of two dimension loads.
 AS_OF = "2024-01-30 20:00:00"
-FIRST_LOAD = "2024-01-15 00:00:00"
+FIRST_LOAD = "2024-01-01 08:00:00"
 MALFORMED = "not json"
 
 
@@ -25,11 +25,11 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encounters(rows: DataFrame) -> DataFrame:
-    """Typed but unrepaired encounters. Each 97th event stands for malformed input."""
+    """Typed but unrepaired encounters, one for each event."""
     event = F.col("event_id")
     return rows.select(
         "event_id",
-        F.when(event % 97 != 0, F.col("user_id").cast("string")).alias("patient_id"),
+        F.col("user_id").cast("string").alias("patient_id"),
         F.when(F.col("user_id") % 2 == 0, "Male").otherwise("Female").alias("gender"),
         F.floor("value").cast("int").alias("age"),
         F.col("event_type").alias("department"),
@@ -42,9 +42,58 @@ def encounters(rows: DataFrame) -> DataFrame:
     )
 
 
-def wire(rows: DataFrame) -> DataFrame:
-    """The encounters as broker rows: JSON bytes in ``value``, each 97th one malformed."""
-    typed = encounters(rows)
+#: Each so many events, a faulty one follows under the number -1 - event_id.
+FAULTY = 97
+#: What is wrong with it, in turn.
+FAULTS = (
+    "unreadable",
+    "no patient",
+    "no admission",
+    "no discharge",
+    "discharge before admission",
+    "wrong type of age",
+    "no department",
+    "no bed",
+)
+
+
+def encounters_with_faults(rows: DataFrame) -> DataFrame:
+    """The encounters and, beside them, faulty ones; ``fault`` names what is wrong, NULL if nothing."""
+    event = F.col("event_id")
+    kind = F.get(F.array(*map(F.lit, FAULTS)), ((event / FAULTY).cast("bigint") % len(FAULTS)).cast("int"))
+    both = F.when(event % FAULTY == 0, F.array(F.lit(None).cast("string"), kind)).otherwise(
+        F.array(F.lit(None).cast("string"))
+    )
+    typed = encounters(rows).withColumn("fault", F.explode(both))
+    broken = F.coalesce(F.col("fault") == "unreadable", F.lit(False))
+
+    def without(column: str, fault: str | None = None):
+        gone = broken if fault is None else broken | F.coalesce(F.col("fault") == fault, F.lit(False))
+        return F.when(~gone, F.col(column))
+
+    early = F.col("admission_time") - F.make_dt_interval(hours=F.lit(5))
+    discharge = F.when(F.col("fault") == "discharge before admission", early).otherwise(
+        without("discharge_time", "no discharge")
+    )
+    return typed.withColumns(
+        {
+            "event_id": F.when(F.col("fault").isNull(), event).otherwise(-1 - event),
+            "patient_id": without("patient_id", "no patient"),
+            "gender": without("gender"),
+            "age": without("age", "wrong type of age"),
+            "department": without("department", "no department"),
+            "discharge_time": discharge,
+            "admission_time": without("admission_time", "no admission"),
+            "bed_id": without("bed_id", "no bed"),
+            "hospital_id": without("hospital_id"),
+        }
+    )
+
+
+def wire(rows: DataFrame, faults: bool = True) -> DataFrame:
+    """The encounters as broker rows, faulty ones too: JSON bytes in ``value``."""
+    none = F.lit(None).cast("string")
+    typed = encounters_with_faults(rows) if faults else encounters(rows).withColumn("fault", none)
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     payload = F.to_json(
         F.struct(
@@ -58,5 +107,12 @@ def wire(rows: DataFrame) -> DataFrame:
             "hospital_id",
         )
     )
-    text = F.when(F.col("patient_id").isNull(), MALFORMED).otherwise(payload)
+    text = (
+        F.when(F.col("fault") == "unreadable", MALFORMED)
+        .when(
+            F.col("fault") == "wrong type of age",
+            F.concat(F.lit('{"age":"old",'), F.substring(payload, F.lit(2), F.length(payload))),
+        )
+        .otherwise(payload)
+    )
     return typed.select("event_id", F.encode(text, "UTF-8").alias("value"))

@@ -1,6 +1,6 @@
-"""Event-time reports on the silver stream."""
+"""Reports on the silver stream."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,20 +13,27 @@ def with_event_time(rows: DataFrame, delay: str, time: str = "admission_time") -
 
 
 def dedup_events(
-    rows: DataFrame, delay: str, key: str = "event_id", time: str = "admission_time"
+    rows: DataFrame, delay: str, key: str = "event_id", time: str = "arrived_at"
 ) -> DataFrame:
-    """Drop redelivered events; state is kept only as long as the watermark allows."""
+    """Drop redelivered events; state is kept only as long as the watermark allows.
+
+    The watermark follows the arrival, which moves on with the stream whatever the events tell of, so an
+    event is late only if it arrives ``delay`` out of order. Redeliveries farther apart than
+    that pass: choose it above the broker's redelivery time.
+    """
     marked = with_event_time(rows, delay, time)
     return marked.dropDuplicatesWithinWatermark([key]).drop(_CLOCK)
 
 
 def admission_trend(
-    rows: DataFrame, delay: str = "1 hour", window: str = "1 hour", time: str = "admission_time"
+    rows: DataFrame, delay: str, window: str = "1 hour", time: str = "admission_time"
 ) -> DataFrame:
     """Admissions per window and gender, each window once, when the watermark has passed it.
 
-    Use it after the admission clamp: an admission in the future would carry the watermark with
-    it and make every regular event late.
+    Admissions more than ``delay`` behind the newest are left out, so the delay must cover how far back
+    events may tell of; where that is not known, use :func:`start_trend`, which counts every
+    admission. Use it after the admission clamp: an admission in the future would carry the watermark
+    with it and make every regular event late.
     """
     marked = with_event_time(rows, delay, time)
     counted = marked.groupBy(F.window(_CLOCK, window), "gender").agg(
@@ -40,6 +47,55 @@ def admission_trend(
     )
 
 
+def start_trend(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str = "hour",
+    time: str = "admission_time",
+    available_now: bool = False,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Keep the counts that :func:`read_trend` adds up; every admission counts once, however late.
+
+    Each micro-batch leaves its own counts per window (a unit of time, as ``hour``) and gender, in a folder of its number, so
+    a batch replayed after a crash replaces what it left. No state is held.
+    """
+
+    def count(batch: DataFrame, number: int) -> None:
+        counted = batch.groupBy(
+            F.date_trunc(window, time).cast("timestamp_ntz").alias("window_start"), "gender"
+        ).agg(F.count(F.lit(1)).alias("admissions"), F.max(time).alias("newest"))
+        counted.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(count)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger is not None:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
+def read_trend(
+    spark: SparkSession, path: str, window: str = "1 hour", delay: str | None = None
+) -> DataFrame:
+    """The counts so far per window and gender. ``delay``: only windows that ended so long before the
+    newest admission; their counts still grow if later ones come."""
+    schema = "window_start timestamp_ntz, gender string, admissions bigint, newest timestamp_ntz"
+    parts = spark.read.schema(schema).parquet(path)
+    end = F.col("window_start") + F.expr(f"INTERVAL {window}")
+    counted = parts.groupBy("window_start", "gender").agg(F.sum("admissions").alias("admissions"))
+    counted = counted.select(
+        "window_start", end.alias("window_end"), "gender", "admissions"
+    )
+    if delay is None:
+        return counted
+    newest = parts.agg(F.max(F.date_trunc("millisecond", "newest")).cast("timestamp_ntz").alias("newest"))
+    # One row.
+    closed = F.col("window_end") <= F.col("newest") - F.expr(f"INTERVAL {delay}")
+    return counted.join(F.broadcast(newest), closed).drop("newest")
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows dropped for lateness over the progress reports the query still holds."""
     return sum(
