@@ -31,13 +31,18 @@ def _ship(application: str) -> str:
     return str(path)
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
-    """``df.mapInArrow`` for a function that uses this package, which the executors need not have."""
-    context = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the executors, once."""
+    context = spark.sparkContext
     path = _ship(context.applicationId)
     if path not in _shipped:
         context.addPyFile(path)
         _shipped.add(path)
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` for a function that uses this package, which the executors need not have."""
+    ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

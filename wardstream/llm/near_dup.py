@@ -9,9 +9,10 @@ on average is taken off, and shingles rarer than the sketch can tell weigh 1.
 Samples agree with the probability of the weighted Jaccard similarity (Ioffe 2010). BANDS bands of ROWS samples make the
 buckets: a pair of similarity 0.8 meets in one with probability 0.998. Equal word sequences are one text from the start.
 In each bucket all texts are compared with two leaders; connected components of the pairs that pass
-become classes; then texts of different classes that share a bucket are compared as well. Pairs whose samples agree far too little
-are put aside; each other pair is verified by its weighted Jaccard similarity over both whole texts. Pairs inside a
-class are never listed, so a group of copies costs a few rows for each, and no link between classes is lost.
+become classes; then texts of different classes that share a bucket are compared as well, in blocks of a bounded size. All pairs
+are verified by their weighted Jaccard similarity over both whole texts; of those with a leader, pairs whose samples agree far
+too little are put aside first. Pairs are never listed inside a class nor in a block, so a group
+of copies costs a few rows for each, and no link between classes that share a bucket is lost.
 """
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardstream.llm.common import fields, fresh, hashable, map_batches, slices
+from wardstream.llm.common import fields, fresh, hashable, map_batches, ship, slices
 from wardstream.llm.wordhash import Words, grams, mix, words
 from wardstream.session import materialise
 
@@ -32,6 +33,8 @@ BANDS, ROWS = 20, 6
 SAMPLES = BANDS * ROWS
 #: A pair goes on to verification if this share of its samples agree: five standard deviations below SIMILAR.
 AGREE = 0.62
+#: Bytes of text in a block of a bucket.
+BLOCK = 1 << 21
 #: Draws of the sampling variables; a shingle's hash picks one for each sample.
 _DRAWS = 1 << 16
 _CHUNK = 1 << 12
@@ -249,6 +252,77 @@ def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, table, simi
     return map_batches(both.select("a", "b", "a_text", "b_text"), run, f"a {ids}, b {ids}")
 
 
+def _linked(roots: list, texts: pa.Array, weight: np.ndarray, similar: float) -> list[tuple[int, int]]:
+    """Pairs of places, enough to join what is similar among texts that have ``roots`` for classes.
+
+    All texts but those of the commonest class are compared with all others, by an index of shingles;
+    a pair inside a class, or inside what has been joined, needs no comparison.
+    """
+    names = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+    of = np.array([names[r] for r in roots])
+    main = np.bincount(of).argmax()
+    text, value, count = _shingles(words(texts))
+    mass = weight[_counter(value)].astype(np.float64)
+    n = len(of)
+    total = np.bincount(text, mass * count, n)
+    order = np.argsort(value, kind="stable")
+    ranked, owner, times = value[order], text[order], count[order]
+    first = np.searchsorted(text, np.arange(n + 1))
+    out = []
+    for u in np.flatnonzero(of != main):
+        own = slice(first[u], first[u + 1])
+        low = np.searchsorted(ranked, value[own], side="left")
+        high = np.searchsorted(ranked, value[own], side="right")
+        size = high - low
+        at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        least = np.minimum(times[at], np.repeat(count[own], size)) * np.repeat(mass[own], size)
+        shared = np.bincount(owner[at], least, n)
+        for v in np.flatnonzero(shared >= similar * (total[u] + total - shared)):
+            if of[v] != of[u]:
+                out.append((int(u), int(v)))
+                # The joined class takes the name of one side; the main class keeps its own.
+                gone, stays = (of[u], of[v]) if of[v] == main else (of[v], of[u])
+                of[of == gone] = stays
+    return out
+
+
+def _compared(rest: DataFrame, texts: DataFrame, table, similar: float) -> DataFrame:
+    """Links between texts of different classes (``root``) that share a bucket.
+
+    A bucket is compared in blocks of about BLOCK bytes of text, each pair of blocks in a group of
+    its own; a group sends no more links than it has texts.
+    """
+    ship(rest.sparkSession)
+    held = rest.join(texts, "id")
+    blocks = held.groupBy("bucket").agg(
+        F.ceil(F.sum(F.octet_length("text")) / BLOCK).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
+    pair = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least("own", other).alias("x"), F.greatest("own", other).alias("y")),
+    )
+    dealt = (
+        held.join(blocks, "bucket")
+        .withColumn("own", own)
+        .select("bucket", "id", "root", "text", F.explode(pair).alias("p"))
+        .select("bucket", "p.x", "p.y", "id", "root", "text")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        weight = np.frombuffer(table.value, np.float32)
+        group = group.combine_chunks()
+        roots = [(r["s1"], r["s2"]) for r in group["root"].to_pylist()]
+        column = group["text"].combine_chunks()
+        pairs = _linked(roots, column, weight, similar)
+        ids = group["id"].combine_chunks()
+        a, b = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
+        return pa.table({"a": ids.take(a), "b": ids.take(b)})
+
+    ids = "struct<s1:bigint,s2:bigint>"
+    return dealt.groupBy("bucket", "x", "y").applyInArrow(compare, f"a {ids}, b {ids}")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node (``root``) that each node of the edges (a, b) hangs together with, but for roots themselves.
 
@@ -332,21 +406,11 @@ def classes(
     stars = members.select(F.explode(F.array("lead", "other")).alias("a"), F.col("id").alias("b"))
     links = materialise(_verified(ordered(stars), unique, texts, table, similar), "links")
     roots = components(links)
-    # What is left: texts of different classes in one bucket, neither of them a leader there.
+    # What is left: texts of different classes that share a bucket.
     placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    rest = placed.filter("id != lead AND id != other").join(
-        mixed.filter("x != y").select("bucket"), "bucket", "left_semi"
-    )
-    rest = rest.select("bucket", "id", "root")
-    left, right = rest.alias("l"), rest.alias("r")
-    cross = left.join(
-        right,
-        (F.col("l.bucket") == F.col("r.bucket"))
-        & (F.col("l.id") < F.col("r.id"))
-        & (F.col("l.root") != F.col("r.root")),
-    ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
-    more = materialise(_verified(ordered(cross), unique, texts, table, similar), "links")
+    rest = placed.join(mixed.filter("x != y").select("bucket"), "bucket", "left_semi")
+    more = materialise(_compared(rest.select("bucket", "id", "root"), texts, table, similar), "links")
     roots = components(links.unionByName(more))
 
     worded = signed.select("key", "h1", "h2", "n_words", _id("id"))
