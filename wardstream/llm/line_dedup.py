@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardstream.llm.common import fresh
+from wardstream.session import materialise
 
 _SALT = 7
 
@@ -105,14 +106,16 @@ def repeated_lines(
     )
     found = _fingerprints(rows, unit, run, gram)
     often = found.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    runs = (
+    runs = materialise(
         found.join(often, "fingerprint")
         .select("key", "text_hash", F.explode("runs").alias("r"))
-        .select("key", "text_hash", "r.*")
+        .select("key", "text_hash", "r.*"),
+        "runs",
     )
     place = F.struct("key", "text_hash", "at")
     first = runs.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.max(place).alias("end"))
-    first = first.filter(F.col("origin") != F.col("end")).drop("end")
+    # Stored, so that the join deals out both sides itself and can split a run of many places.
+    first = materialise(first.filter(F.col("origin") != F.col("end")).drop("end"), "first-runs")
     later = runs.join(first, ["h1", "h2"]).filter(place != F.col("origin"))
     lines = F.array_distinct(
         F.flatten(F.transform(F.collect_set(F.struct("first", "last")), lambda r: F.sequence(r["first"], r["last"])))
