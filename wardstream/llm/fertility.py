@@ -31,6 +31,11 @@ PIECES = "piece_bpe_32k.model"
 RUN = 1 << 16
 
 
+#: A few odd words (a key, a number) weigh much in a short text: its least characters per token are lower by this over the
+#: root of its words.
+SLACK = 0.6
+
+
 @dataclass(frozen=True)
 class Band:
     """What is kept, both ends included."""
@@ -231,8 +236,14 @@ def in_band(language: Column, languages=LANGUAGES, scripts=SCRIPTS, other: Band
     """Whether all measures lie in the band of the language, else of the script. False without words."""
 
     def inside(band: Band) -> Column:
-        checks = [F.col(m).between(*getattr(band, m)) for m in ("chars_per_token", "byte_share", "entropy")]
-        return checks[0] & checks[1] & checks[2]
+        low, high = band.chars_per_token
+        chars = F.col("chars_per_token")
+        return (
+            (chars >= low - SLACK / F.sqrt("n_words"))
+            & (chars <= high)
+            & F.col("byte_share").between(*band.byte_share)
+            & F.col("entropy").between(*band.entropy)
+        )
 
     rule = F.when(F.col("n_words") == 0, F.lit(False))
     for kind, bands in ((F.coalesce(language, F.lit("")), languages), (F.col("script"), scripts)):
