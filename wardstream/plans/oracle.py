@@ -320,6 +320,9 @@ _BODIES = {
     "stream_bronze": _BRONZE,
     "stream_silver": _PARSED_SILVER,
     "stream_gold": "SELECT * FROM fact",
+    # Without the patient key, which tells in which batch a patient came first: all batches share a clock.
+    "stream_gold_parts": "SELECT * FROM fact",
+    "gold_refresh_parts": "SELECT * FROM dim2",
     "stream_trend": _TREND,
     "stream_dedup": "SELECT * EXCLUDE (arrived_at) FROM usable",
 }

@@ -12,6 +12,7 @@ from wardstream.operators.keys import dense_keys
 from wardstream.operators.latest import latest_encounter
 from wardstream.plans import views
 from wardstream.plans.gold import Gold, build_star, table_counts
+from wardstream.plans.parted import PartedGold
 from wardstream.session import materialise, scratch_dir
 from wardstream.sources import encounters as src
 from wardstream.sources.encounters import AS_OF, FIRST_LOAD
@@ -316,6 +317,27 @@ def stream_gold(spark, sf_dir):
     return gold.fact.read()
 
 
+@query
+def stream_gold_parts(spark, sf_dir):
+    """The fact after a gold stream by parts, in several batches."""
+    root = scratch_dir(spark, "stream")
+    gold = PartedGold(spark, f"{root}/gold", parts=16)
+    rows = _delivered(spark, silver_rows(spark, sf_dir), root)
+    _drain(gold_stream.start_gold(rows, gold, f"{root}/cp", AS_OF, available_now=True))
+    return gold.fact()
+
+
+@query
+def gold_refresh_parts(spark, sf_dir):
+    """The patient versions after two refreshes by parts."""
+    gold = PartedGold(spark, scratch_dir(spark, "gold-parts"), parts=16)
+    rows = silver_rows(spark, sf_dir)
+    cut = F.lit(FIRST_LOAD).cast("timestamp_ntz")
+    gold.refresh(rows.filter(F.col("admission_time") < cut), FIRST_LOAD)
+    gold.refresh(rows.filter(F.col("admission_time") >= cut), AS_OF)
+    return gold.patients()
+
+
 #: Files of a delivery; each is a micro-batch of its own.
 DELIVERIES = 6
 

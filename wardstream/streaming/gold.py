@@ -5,17 +5,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wardstream.functions.clock import read_clock
 from wardstream.plans.gold import Gold
+from wardstream.plans.parted import PartedGold
 
 
 def start_gold(
     silver: DataFrame,
-    gold: Gold,
+    gold: Gold | PartedGold,
     checkpoint: str,
     as_of=None,
     available_now: bool = False,
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """Refresh the gold tables with each micro-batch of silver.
+    """Refresh the gold tables with each micro-batch of silver; with a ``PartedGold``, only the parts that
+    the batch touches.
 
     A batch replayed after a crash leads to the same tables, since a refresh can be repeated.
     Without ``as_of`` each batch takes the clock once and uses it for all tables.
