@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstream.llm.common import map_batches, slices
+from wardstream.session import materialise
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2024-01-01T00:00:00Z"
@@ -227,7 +228,8 @@ def write_packages(
     rows = pages.select(
         F.col(key).alias("key"), F.col(url).cast("string").alias("url"), body.alias("payload")
     ).withColumn("sha", F.unhex(F.sha1("payload")))
-    last = rows.groupBy("sha").agg(F.max("key").alias("last"))
+    # Stored, so that the join deals out both sides itself and can split a payload of many pages.
+    last = materialise(rows.groupBy("sha").agg(F.max("key").alias("last")), "payloads")
     seen = F.col("last").isNotNull() & ~F.col("key").eqNullSafe(F.col("last"))
     revisit = seen & (F.length("payload") >= least)
 
@@ -287,10 +289,11 @@ def resolved(found: DataFrame) -> DataFrame:
     Read back as written: a record id that occurs twice stands for equal payloads.
     """
     rows = found.withColumn("own_bytes", F.length("payload").cast("long")).drop("payload")
-    sizes = (
+    sizes = materialise(
         rows.filter("record_type = 'response'")
         .groupBy(F.col("record_id").alias("full_id"), F.col("payload_digest").alias("full_digest"))
-        .agg(F.max("own_bytes").alias("full_bytes"))
+        .agg(F.max("own_bytes").alias("full_bytes")),
+        "payload-sizes",
     )
     same = (F.col("refers_to_id") == F.col("full_id")) & (F.col("payload_digest") == F.col("full_digest"))
     return rows.join(sizes, same, "left").select(
