@@ -455,3 +455,10 @@ def test_odd_texts_are_encoded(spark, machines):
     nothing = piece_fst.decode(spark.createDataFrame([(None,), ([131, 132],)], "ids array<int>")).collect()
     assert nothing[0].decoded is None and nothing[1].decoded == "��"
     assert piece_fst.encode(df.limit(0)).count() == 0
+
+
+def test_rules_of_the_normaliser(machines):
+    fst = piece_fst.PieceTransducer(piece_fst._load(piece_fst.MODEL), {"ﬁ": "fi", "ﬁx": "fasten", "\t": " "})
+    assert fst.encode("ﬁn\tﬁx") == machines[1].encode("fin fasten")
+    column = pa.array(["ﬁn\tﬁx", None], pa.string())
+    assert piece_fst._ids(column, fst).to_pylist() == [machines[1].encode("fin fasten"), []]
