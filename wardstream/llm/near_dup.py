@@ -294,8 +294,12 @@ def _compared(rest: DataFrame, texts: DataFrame, table, similar: float) -> DataF
     """
     ship(rest.sparkSession)
     held = rest.join(texts, "id")
-    blocks = held.groupBy("bucket").agg(
-        F.ceil(F.sum(F.octet_length("text")) / BLOCK).cast("int").alias("blocks")
+    sizes = texts.select("id", F.octet_length("text").alias("size"))
+    blocks = materialise(
+        rest.join(sizes, "id")
+        .groupBy("bucket")
+        .agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")),
+        "blocks",
     )
     own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
     pair = F.transform(
@@ -382,10 +386,13 @@ def classes(
     )
     # Two leaders a bucket, other ones in each bucket.
     rank = F.struct(F.xxhash64("bucket", "id").alias("r"), "id")
-    leaders = (
+    # Stored, as are other sides of joins that are summed up by the join's own key: so the join
+    # deals out both sides itself and can split a bucket or class of many texts.
+    leaders = materialise(
         spread.groupBy("bucket")
         .agg(F.min(rank)["id"].alias("lead"), F.max(rank)["id"].alias("other"))
-        .filter("lead != other")
+        .filter("lead != other"),
+        "leaders",
     )
     members = materialise(spread.join(leaders, "bucket"), "buckets")
     wanted = unique.join(members.select("id").distinct(), "id", "left_semi")
@@ -407,21 +414,31 @@ def classes(
     links = materialise(_verified(ordered(stars), unique, texts, table, similar), "links")
     roots = components(links)
     # What is left: texts of different classes that share a bucket.
-    placed = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = members.join(roots, "id", "left").select(
+        "bucket", "id", F.coalesce("root", "id").alias("root")
+    )
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    rest = placed.join(mixed.filter("x != y").select("bucket"), "bucket", "left_semi")
-    more = materialise(_compared(rest.select("bucket", "id", "root"), texts, table, similar), "links")
+    mixed = materialise(mixed.filter("x != y").select("bucket"), "mixed")
+    rest = materialise(placed.join(mixed, "bucket", "left_semi"), "rest")
+    more = materialise(_compared(rest, texts, table, similar), "links")
     roots = components(links.unionByName(more))
 
-    worded = signed.select("key", "h1", "h2", "n_words", _id("id"))
-    joined = worded.join(roots, "id", "left").withColumn(
-        "root",
-        F.when(F.col("n_words") > 0, F.coalesce("root", "id")).otherwise(_id("root", "h")),
+    worded = F.col("n_words") > 0
+    joined = materialise(
+        signed.select("key", "h1", "h2", "n_words", _id("id"))
+        .join(roots, "id", "left")
+        .withColumn("root", F.when(worded, F.coalesce("root", "id")).otherwise(_id("root", "h")))
+        .withColumn("worded", worded)
+        .drop("id"),
+        "placed",
+    )
+    heads = materialise(
+        joined.groupBy("root", "worded").agg(
+            F.min(F.struct("key", "h1", "h2")).alias("head"), F.count("*").alias("class_size")
+        ),
+        "heads",
     )
-    heads = joined.groupBy("root", F.col("n_words") > 0).agg(
-        F.min(F.struct("key", "h1", "h2")).alias("head"), F.count("*").alias("class_size")
-    ).withColumnRenamed("(n_words > 0)", "worded")
-    return joined.withColumn("worded", F.col("n_words") > 0).join(heads, ["root", "worded"]).select(
+    return joined.join(heads, ["root", "worded"]).select(
         F.col("key").alias(key),
         "h1",
         "h2",
