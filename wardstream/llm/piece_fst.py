@@ -315,6 +315,16 @@ def _texts(column: pa.Array, fst: PieceTransducer) -> pa.Array:
     return pc.if_else(column.is_valid(), texts, None).cast(pa.string())
 
 
+def _spelled_again(column: pa.Array, ids: pa.Array, fst: PieceTransducer) -> pa.Array:
+    """Whether each list of ids spells its text, marks U+2581 as spaces."""
+    out, done = [], 0
+    for part in slices(pa.RecordBatch.from_arrays([column], ["text"]), "text", 2 << 20):
+        written = pc.replace_substring(pc.fill_null(part.column("text"), ""), MARK, " ")
+        out.append(pc.equal(_texts(ids.slice(done, part.num_rows), fst), written))
+        done += part.num_rows
+    return pa.concat_arrays(out)
+
+
 def encode(
     docs: DataFrame,
     text: str = "text",
@@ -340,12 +350,11 @@ def encode(
     def run(batches):
         fst = PieceTransducer(file.value, rules)
         for batch in batches:
-            for part in slices(batch, text):
-                column = part.column(text)
-                found = [_ids(column, fst)]
+            # The more texts at once, the fewer stretches are searched twice.
+            for part in slices(batch, text, 12 << 20):
+                found = [_ids(part.column(text), fst)]
                 if again:
-                    written = pc.replace_substring(pc.fill_null(column, ""), MARK, " ")
-                    found.append(pc.equal(_texts(found[0], fst), written))
+                    found.append(_spelled_again(part.column(text), found[0], fst))
                 yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *new])
 
     check = f", `{again}` boolean" if again else ""
