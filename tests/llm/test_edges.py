@@ -380,6 +380,30 @@ def test_blocks_of_odd_markup():
     assert main_text.blocks("") == [] and main_text.blocks("<") == [(main_text.OPEN, "<")]
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<div style="overflow:hidden"><p>text</p></div>', [(1, "text")]),
+        ('<div class="overflow-hidden" data-hidden=1><p>text</p></div>', [(1, "text")]),
+        ("<div hidden>no</div><p style='color:red; display : none'>no</p><p>text</p>", [(2, "no"), (2, "no"), (1, "text")]),
+        ('<body class="has-sidebar comments-open"><article>text</article></body>', [(0, "text")]),
+        ('<body class="sidebar" style="display:none"><p>text</p></body>', [(1, "text")]),
+        ('<article><div class="entry-header"><h1>title</h1></div><div class="header">by</div>text</article>', [(0, "title"), (0, "by"), (0, "text")]),
+        ('<div class="social-history"><p>text</p></div>', [(1, "text")]),
+        ('<div class="sidebar"><p>no</p><article>text<nav>no</nav></article></div>', [(2, "no"), (0, "text"), (2, "no")]),
+        ('<form><main>text</main></form>', [(0, "text")]),
+        ('<p>text of the page</p><div class="comments"><article>reader</article></div>', [(1, "text of the page"), (2, "reader")]),
+        ('<div hidden><article>no</article></div>', [(2, "no")]),
+        ('<article>text<div class="comments"><article>reader</article></div></article>', [(0, "text"), (2, "reader")]),
+        ('<article class="related teaser">no</article><main>text</main>', [(2, "no"), (0, "text")]),
+        ('<div class="site-footer">no</div><div class="share-buttons">no</div>', [(2, "no"), (2, "no")]),
+        ('<article><p class="notice">no<p>one<p class="notice"><b>no<div>two</div><p class=ad>no<hr>three</article>', [(2, "no"), (0, "one"), (2, "no"), (0, "two"), (2, "no"), (0, "three")]),
+    ],
+)
+def test_containers_by_their_own_names(page, want):
+    assert main_text.blocks(page) == want
+
+
 def test_pages_without_an_article_lose_what_their_host_repeats(spark):
     menu = "home news sport weather travel culture science shop about contact"
     rows = [(i, f"http://h.example/{i}", f"<div>{menu}</div><p>{sentence(i, 15)}</p>") for i in range(6)]

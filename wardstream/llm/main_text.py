@@ -30,6 +30,8 @@ LENGTH = 8
 CHUNK = 1 << 19
 
 ARTICLE, OPEN, OTHER = 0, 1, 2
+#: Only while a page is read: an article inside of an element that is none, and what is not shown at all.
+_NESTED, _UNSEEN = 3, 4
 # Names of elements; fixed values of HTML.
 _RAW = "script|style|template|textarea|title|noscript|iframe|svg|math|object|canvas|audio|video|select"
 _ASIDE = set("nav header footer aside form menu dialog button fieldset figure".split()) - {"figure"}
@@ -45,7 +47,17 @@ _ASIDE_NAMES = set(
     "modal overlay newsletter subscribe subscription signup login share sharing social comment comments disqus reply "
     "replies related recommended teaser pagination pager widget toolbar search contentinfo complementary".split()
 )
+#: Words that may stand beside those in one name (site-footer, share-buttons) and leave its sense.
+_ASIDE_PARTS = set(
+    "site main page top bottom left right primary secondary global bar box list item items link links button buttons section "
+    "area container wrapper block content form menu icon icons text".split()
+)
 _ARTICLE_NAMES = set("main article".split())
+#: Start tags that end an open paragraph.
+_ENDS_P = set(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
+    "h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{_RAW})\b.*?(?:</(?P=raw)\s*>|\Z)"
@@ -54,39 +66,51 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:until-found|false))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_NAMED = re.compile(r"class|id|role|itemprop|hidden|style", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_UNDISPLAYED = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
 
 
+def _is_aside(value: str, around: int) -> bool:
+    """Whether a class, id or role names something beside the article: a whole name of it does, not a word of one."""
+    for name in value.split():
+        found = set(_WORD.findall(name))
+        if found & _ASIDE_NAMES and found <= _ASIDE_NAMES | _ASIDE_PARTS:
+            # An article's own header holds its title.
+            if not (found == {"header"} and around in (ARTICLE, _NESTED)):
+                return True
+    return False
+
+
 def _kind(tag: str, rest: str, around: int) -> int:
     """What an element holds, given what it stands in."""
-    if around == OTHER:
-        return OTHER
-    if tag in ("article", "main"):
-        return ARTICLE
-    if tag in _ASIDE and not (tag == "header" and around == ARTICLE):
-        return OTHER
-    if rest and not rest.isspace():
-        if _HIDDEN.search(rest):
-            return OTHER
-        for name, *values in _NAMED.findall(rest):
-            value = "".join(values).lower()
-            if name.lower() == "itemprop":
-                if value == "articlebody":
-                    return ARTICLE
-                continue
-            found = set(_WORD.findall(value))
-            if found & _ASIDE_NAMES:
-                return OTHER
-            if name.lower() == "role" and found & _ARTICLE_NAMES:
-                return ARTICLE
-    return around
+    if around == _UNSEEN or tag in ("html", "body"):
+        return around
+    inner = _NESTED if around in (OTHER, _NESTED) else ARTICLE
+    named, aside = tag in ("article", "main"), tag in _ASIDE and not (tag == "header" and around in (ARTICLE, _NESTED))
+    if rest and _NAMED.search(rest):
+        for name, *values in _ATTRIBUTE.findall(rest):
+            name, value = name.lower(), "".join(values).lower()
+            if name == "hidden" and value not in ("until-found", "false"):
+                return _UNSEEN
+            if name == "aria-hidden" and value == "true" or name == "style" and _UNDISPLAYED.search(value):
+                return _UNSEEN
+            if name == "itemprop":
+                named = named or value == "articlebody"
+            elif name in ("class", "id", "role"):
+                aside = aside or _is_aside(value, around)
+                named = named or name == "role" and not _ARTICLE_NAMES.isdisjoint(value.split())
+    return OTHER if aside else inner if named else around
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
-    """The text blocks of a page, in order, and what each stands in."""
+    """The text blocks of a page, in order, and what each stands in.
+
+    An article inside of an element that is none (a comment, a teaser; or all of a page in a form) counts if the page has no other
+    and less text outside of elements that are none.
+    """
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
     around, held = OPEN, []
@@ -109,6 +133,14 @@ def blocks(page: str) -> list[tuple[int, str]]:
         tag = tag.lower()
         if tag == "br":
             held.append(" ")
+        if tag in _ENDS_P and not token["close"]:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == "p":
+                    flush()
+                    around = stack[i][1]
+                    del stack[i:]
+                if i == len(stack) or stack[i][0] not in _INLINE:
+                    break
         if tag in _VOID:
             continue
         if not token["close"]:
@@ -133,7 +165,10 @@ def blocks(page: str) -> list[tuple[int, str]]:
                     del stack[i:]
                     break
     flush()
-    return out
+    size = [sum(len(text) for kind, text in out if kind == k) for k in (ARTICLE, OPEN, _NESTED)]
+    nested = OTHER if size[0] or size[1] >= size[2] else ARTICLE
+    final = {_NESTED: nested, _UNSEEN: OTHER}
+    return [(final.get(kind, kind), text) for kind, text in out]
 
 
 def _stream(found: list[tuple[int, str]]) -> str:
