@@ -415,6 +415,36 @@ def test_pages_without_an_article_lose_what_their_host_repeats(spark):
     assert main_text.extract(df.limit(0)).count() == 0
 
 
+def test_articles_lose_what_many_pages_of_their_host_repeat(spark):
+    plea = "please subscribe to our letter and never miss a story again"
+    quote = sentence(99, 12)
+    rows, want = [], {}
+    for h in range(4):
+        for i in range(8):
+            k, own = 100 * h + i, sentence(100 * h + i, 30)
+            text = f"{own} {quote}" if i < 2 else own
+            rows.append((k, f"http://h{h}.example/{i}", f"<nav>menu {k}</nav><article><p>{text}</p><div>{plea}</div></article>"))
+            want[k] = text
+        # Copies of one article, the second with another menu and the third edited.
+        copy = sentence(100 * h + 50, 40)
+        for i, more in enumerate(("", "", " edited")):
+            rows.append((100 * h + 50 + i, f"http://h{h}.example/copy{i}", f"<nav>{i}</nav><main><p>{copy}{more}</p></main>"))
+            want[100 * h + 50 + i] = copy + more
+        # An open page that has the same plea.
+        rows.append((100 * h + 60, f"http://h{h}.example/open", f"<p>{sentence(h + 1000, 9)}</p><p>{plea}</p>"))
+        want[100 * h + 60] = sentence(h + 1000, 9)
+    for i in range(3):
+        k, only = 900 + i, sentence(900, 40) + f" version {i}"
+        rows.append((k, f"http://copies.example/{i}", f"<article>{only}</article>"))
+        want[k] = only
+    df = frame(spark, rows, "page_id long, url string, html string")
+    out = main_text.extract(df.repartition(3).union(df.limit(20))).collect()
+    assert {r.page_id: r.text for r in out} == want and len(out) == len(rows) + 20
+    # Hosts in one chunk and hosts in several.
+    one, many = (sorted(map(tuple, main_text.repeated(df, chunk=n).collect())) for n in (main_text.CHUNK, 100))
+    assert one == many and len(one) > 32
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=40), st.integers(1, 9))
 def test_suffix_ranks_order_prefixes(tokens, depth):

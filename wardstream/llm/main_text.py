@@ -1,17 +1,21 @@
-"""Main text of web pages: named containers, and a suffix array over each host.
+"""Main text of web pages: a suffix array over each host, checked by named containers.
 
-The pages of a host share what is no article: menus, notices, adverts, footers. The token streams of a host's pages
-(what stands outside of named articles) are concatenated into suffix arrays, sorted by prefix doubling as deep as a
-repeat must be long (LENGTH tokens). Neighbours there with equal prefixes are the long substrings; one that occurs on two or more
-distinct pages is boilerplate, the tokens it covers are removed, and unique runs are kept.
+The pages of a host share what is no article: menus, notices, adverts, footers. The token streams of a host's pages, articles and
+all, are concatenated into suffix arrays, sorted by prefix doubling as deep as a repeat must be long (LENGTH tokens). Neighbours
+there with equal prefixes are the long substrings; the tokens of one that is boilerplate are removed from every page, and
+unique runs are kept.
 
 Repeats alone cannot give exact articles: a menu that no other page has would stay, and an article published
-twice would go. So where a page names its containers (``article``, ``main``, ``nav``, ``aside``, class names
-and the like), an exact check follows: text in a named article is kept whole, and text in other named containers or beside an
-article goes. Pages without an article are decided by the repeats.
+twice would go, or a passage that two articles quote. So where a page names its containers (``article``, ``main``, ``nav``,
+``aside``, class names and the like), an exact check follows. Text in other named containers or beside an article goes. Text in
+a named article goes where the host has the substring on many pages: MANY distinct ones at the least and a share of WIDE of all.
+What fewer pages have is another copy of the article or of a part of it, and is restored; so is an article of which such
+substrings make up half. On pages without an article, substrings that stand outside of articles on two distinct
+pages go too.
 
 A suffix array covers a bounded chunk (CHUNK tokens) of one host; chunks come from a range partitioning, which splits
-hosts of any size, and are merged by their prefixes. A chunk sends one row for each distinct prefix.
+hosts of any size. A host that lies in one chunk is decided there. The chunks of others are merged by their prefixes: each
+sends one row for each distinct prefix.
 """
 
 import html as entities
@@ -28,6 +32,9 @@ from wardstream.session import materialise
 
 LENGTH = 8
 CHUNK = 1 << 19
+#: A substring of named articles is boilerplate on so many distinct pages and such a share of the host's distinct pages.
+MANY = 3
+WIDE = 0.5
 
 ARTICLE, OPEN, OTHER = 0, 1, 2
 #: Only while a page is read: an article inside of an element that is none, and what is not shown at all.
@@ -171,11 +178,6 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return [(final.get(kind, kind), text) for kind, text in out]
 
 
-def _stream(found: list[tuple[int, str]]) -> str:
-    """What stands outside of named articles."""
-    return " ".join(text for kind, text in found if kind != ARTICLE)
-
-
 def _keyed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     rows = pages.select(
         F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html")
@@ -186,23 +188,36 @@ def _keyed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
 
 
 def _streams(rows: DataFrame) -> DataFrame:
-    """Each page's tokens outside of named articles, by host."""
+    """Each page's tokens by host, and the ends of runs of tokens: outside of named articles, inside, outside and so on.
+
+    A token is 32 bits of its hash; LENGTH of them in a row tell substrings apart.
+    """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
-                texts = [_stream(blocks(x or "")) for x in part.column("html").to_pylist()]
+                texts, counts, pages = [], [], []
+                for x in part.column("html").to_pylist():
+                    runs: list[tuple[bool, list[str]]] = [(False, [])]
+                    for kind, text in blocks(x or ""):
+                        if (kind == ARTICLE) != runs[-1][0]:
+                            runs.append((kind == ARTICLE, []))
+                        runs[-1][1].append(text)
+                    texts += [" ".join(r) for _, r in runs]
+                    counts.append(len(runs))
+                    pages.append(len(texts))
                 w = words(pa.array(texts, pa.string()), SOLID, lower=False)
-                tokens = pa.ListArray.from_arrays(
-                    pa.array(w.first, pa.int32()), pa.array(w.hash.view(np.int64))
-                )
+                first = w.first[np.append(0, pages)]
+                ends = w.first[1:] - np.repeat(first[:-1], counts)
+                tokens = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(w.hash.astype(np.uint32).view(np.int32)))
+                ends = pa.ListArray.from_arrays(pa.array(np.append(0, pages), pa.int32()), pa.array(ends, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("h1"), part.column("h2"), part.column("host"), tokens],
-                    ["h1", "h2", "host", "tokens"],
+                    [part.column("h1"), part.column("h2"), part.column("host"), tokens, ends],
+                    ["h1", "h2", "host", "tokens", "ends"],
                 )
 
-    schema = "h1 bigint, h2 bigint, host bigint, tokens array<bigint>"
+    schema = "h1 bigint, h2 bigint, host bigint, tokens array<int>, ends array<int>"
     return map_batches(rows.select("h1", "h2", F.xxhash64(host).alias("host"), "html"), run, schema)
 
 
@@ -222,102 +237,204 @@ def suffix_classes(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def _prefixes(batches):
-    """Chunks of (host, h1, h2, stream, tokens), sorted by host, into a row for each distinct prefix."""
-    held: list[tuple] = []
-    size = 0
-
-    def close():
-        lengths = [len(x[4]) for x in held]
-        # A token of its own after each page, so that no prefix reaches into the next.
-        ends = mix(np.arange(1, len(held) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        stream = np.concatenate([y for x, e in zip(held, ends, strict=True) for y in (x[4], [e])])
-        first = np.concatenate([[0], np.cumsum(np.array(lengths) + 1)])
-        page = np.repeat(np.arange(len(held)), np.array(lengths) + 1)
-        rank = suffix_classes(stream, LENGTH)
-        at = np.arange(len(stream))
-        whole = at + LENGTH < first[page + 1]
-        order = at[whole][np.argsort(rank[whole], kind="stable")]  # the suffix array
-        if not len(order):
+_FOUND = (
+    "h1 bigint, h2 bigint, covered array<int>, host bigint, prefix bigint, low bigint, high bigint, n bigint, "
+    "edges array<bigint>, places array<struct<h1:bigint,h2:bigint,at:int,named:boolean>>"
+)
+
+
+def _lists(values: pa.Array, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+
+def _chunk(held: list[tuple], whole_host: bool) -> pa.RecordBatch | None:
+    """A chunk of (host, h1, h2, stream, tokens, ends), sorted, with the columns of _FOUND.
+
+    Of a whole host, what is covered on each page (see ``repeated``); else a row for each distinct prefix with its least and
+    greatest stream outside of articles, the number of its streams between the chunk's first and last, those of the two, and
+    its places.
+    """
+    lengths = np.array([len(x[4]) for x in held])
+    # A token of its own after each page, so that no prefix reaches into the next.
+    marks = mix(np.arange(1, len(held) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    stream = np.concatenate([y for x, e in zip(held, marks, strict=True) for y in (x[4], [e])])
+    first = np.concatenate([[0], np.cumsum(lengths + 1)])
+    page = np.repeat(np.arange(len(held)), lengths + 1)
+    step = np.zeros(len(stream) + 1, np.int64)
+    for x, at in zip(held, first, strict=False):
+        for i, end in enumerate(x[5][:-1]):
+            step[at + end] += 1 if i % 2 == 0 else -1
+        step[at + len(x[4])] -= 1 if len(x[5]) % 2 == 0 else 0
+    inside = np.cumsum(step)[:-1] > 0
+    named = np.array([len(x[5]) > 1 for x in held])
+    rank = suffix_classes(stream, LENGTH)
+    at = np.arange(len(stream))
+    whole = at + LENGTH < first[page + 1]
+    order = at[whole][np.argsort(rank[whole], kind="stable")]  # the suffix array
+    if not len(order):
+        return None
+    new = np.append(True, rank[order[1:]] != rank[order[:-1]])
+    starts = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    # Pages of equal streams are one and lie side by side; places of a prefix are in the order of pages.
+    ids = np.array([x[3] for x in held], np.int64)
+    other = np.append(True, ids[1:] != ids[:-1])
+    number = (np.cumsum(other) - 1)[page[order]]
+    fresh_page = new | np.append(True, number[1:] != number[:-1])
+    outside = ~inside[order]
+    none = np.iinfo(np.int64)
+    low = np.minimum.reduceat(np.where(outside, ids[page[order]], none.max), starts)
+    high = np.maximum.reduceat(np.where(outside, ids[page[order]], none.min), starts)
+    place = order - first[page[order]]
+    if whole_host:
+        count = np.add.reduceat(fresh_page, starts)
+        wide = ((count >= MANY) & (count >= WIDE * other.sum()))[group]
+        hit = wide | ((low < high)[group] & ~named[page[order]])
+        key = np.sort(page[order][hit] << 32 | (2 * place[hit] + wide[hit]))
+        # Rows equal in all are side by side, and one is enough.
+        again = np.array([False] + [x[1:3] == y[1:3] for x, y in zip(held, held[1:], strict=False)])
+        key = key[~again[key >> 32]]
+        on, where = np.unique(key >> 32, return_index=True)
+        if not len(on):
             return None
-        new = np.append(True, rank[order[1:]] != rank[order[:-1]])
-        starts = np.flatnonzero(new)
-        ids = np.array([x[3] for x in held], np.int64)[page[order]]
-        h1 = np.array([x[1] for x in held], np.int64)[page[order]]
-        h2 = np.array([x[2] for x in held], np.int64)[page[order]]
+        columns = [
+            pa.array(np.array([held[i][1] for i in on], np.int64)),
+            pa.array(np.array([held[i][2] for i in on], np.int64)),
+            _lists(pa.array((key & 0xFFFFFFFF).astype(np.int32)), where),
+        ]
+    else:
+        last = other.sum() - 1
+        edge = (number == 0) | (number == last)
+        at_edge = fresh_page & edge
         places = pa.StructArray.from_arrays(
-            [pa.array(h1), pa.array(h2), pa.array((order - first[page[order]]).astype(np.int32))], ["h1", "h2", "at"]
-        )
-        prefix = grams(stream, LENGTH)[order[starts]].view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(starts), held[0][0], np.int64)),
-                pa.array(prefix),
-                pa.array(np.minimum.reduceat(ids, starts)),
-                pa.array(np.maximum.reduceat(ids, starts)),
-                pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)), pa.int32()), places),
-            ],
-            ["host", "prefix", "low", "high", "places"],
+            [pa.array(np.array([x[k] for x in held], np.int64)[page[order]]) for k in (1, 2)]
+            + [pa.array(place.astype(np.int32)), pa.array(named[page[order]])],
+            ["h1", "h2", "at", "named"],
         )
+        sums = np.concatenate([[0], np.cumsum(at_edge)])
+        columns = [
+            pa.nulls(len(starts), pa.int64()),
+            pa.nulls(len(starts), pa.int64()),
+            pa.nulls(len(starts), pa.list_(pa.int32())),
+            pa.array(np.full(len(starts), held[0][0], np.int64)),
+            pa.array(grams(stream, LENGTH)[order[starts]].view(np.int64)),
+            pa.array(low),
+            pa.array(high),
+            pa.array(np.add.reduceat((fresh_page & ~edge).astype(np.int64), starts)),
+            _lists(pa.array(ids[page[order]][at_edge]), sums[starts]),
+            _lists(places, starts),
+        ]
+    columns += [pa.nulls(len(columns[0]), f.type) for f in list(_ARROW)[len(columns) :]]
+    out = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
+    # In the order of their first places, prefixes of a page stand together, and what they share packs well.
+    return out if whole_host else out.take(pa.array(np.argsort(order[starts])))
+
+
+_PLACE = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("named", pa.bool_())])
+_ARROW = pa.schema(
+    [("h1", pa.int64()), ("h2", pa.int64()), ("covered", pa.list_(pa.int32()))]
+    + [(c, pa.int64()) for c in ("host", "prefix", "low", "high", "n")]
+    + [("edges", pa.list_(pa.int64())), ("places", pa.list_(_PLACE))]
+)
+
 
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("host", "h1", "h2", "stream")]
-        for *row, tokens in zip(*columns, batch.column("tokens"), strict=True):
-            if held and (held[0][0] != row[0] or size >= CHUNK):
-                if (out := close()) is not None:
-                    yield out
-                held.clear()
-                size = 0
-            held.append((*row, tokens.values.to_numpy().view(np.uint64)))
-            size += len(held[-1][4])
-    if held and (out := close()) is not None:
-        yield out
-
-
-def repeated(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def _prefixes(chunk: int):
+    """Pages of (host, h1, h2, stream, tokens, ends), sorted by host, in chunks.
+
+    The first and the last host of a task may lie in other tasks too.
+    """
+
+    def run(batches):
+        held: list[tuple] = []
+        size, hosts, split = 0, 0, False
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("host", "h1", "h2", "stream")]
+            for *row, tokens, ends in zip(*columns, batch.column("tokens"), batch.column("ends"), strict=True):
+                over = size >= chunk
+                if held and (held[0][0] != row[0] or over):
+                    done = held[0][0] != row[0]
+                    if (out := _chunk(held, done and hosts > 0 and not split)) is not None:
+                        yield out
+                    split, hosts = not done, hosts + done
+                    held.clear()
+                    size = 0
+                held.append((*row, mix(tokens.values.to_numpy().view(np.uint32).astype(np.uint64)), ends.as_py()))
+                size += len(held[-1][4])
+        if held and (out := _chunk(held, False)) is not None:
+            yield out
+
+    return run
+
+
+def repeated(
+    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", chunk: int = CHUNK
+) -> DataFrame:
     """For each page with boilerplate: ``h1``, ``h2`` (hashes of key, url and html) and ``covered``, the sorted places
-    in its stream where a repeated substring of LENGTH tokens begins.
+    in its stream where such a substring of LENGTH tokens begins, times two, plus one if many pages of the host have it.
 
     Pages of equal streams are one page here, so that copies do not make each other boilerplate.
     """
     streams = materialise(_streams(_keyed(pages, key, url, html)), "streams")
-    chunks = (
-        streams.filter(F.size("tokens") >= LENGTH)
-        .withColumn("stream", F.xxhash64("tokens"))
-        .repartitionByRange("host", "stream", "h1")
-        .sortWithinPartitions("host", "stream", "h1", "h2")
+    known = streams.filter(F.size("tokens") >= LENGTH).withColumn("stream", F.xxhash64("tokens"))
+    chunks = known.repartitionByRange("host", "stream", "h1").sortWithinPartitions("host", "stream", "h1", "h2")
+    found = materialise(
+        map_batches(chunks.select("host", "h1", "h2", "stream", "tokens", "ends"), _prefixes(chunk), _FOUND), "prefixes"
+    )
+    parts = found.filter("host IS NOT NULL")
+    total = materialise(
+        known.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("total")), "host-pages"
     )
-    schema = "host bigint, prefix bigint, low bigint, high bigint, places array<struct<h1:bigint,h2:bigint,at:int>>"
-    found = materialise(map_batches(chunks.select("host", "h1", "h2", "stream", "tokens"), _prefixes, schema), "prefixes")
+    count = F.col("inner") + F.size("edges")
     shared = materialise(
-        found.groupBy("host", "prefix")
-        .agg(F.min("low").alias("a"), F.max("high").alias("b"))
-        .filter("a != b")
-        .select("host", "prefix"),
+        parts.groupBy("host", "prefix")
+        .agg(
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.sum("n").alias("inner"),
+            F.array_distinct(F.flatten(F.collect_set("edges"))).alias("edges"),
+        )
+        .filter((F.col("low") < F.col("high")) | (count >= MANY))
+        .join(total, "host")
+        .select(
+            "host",
+            "prefix",
+            (F.col("low") < F.col("high")).alias("twice"),
+            ((count >= MANY) & (count >= WIDE * F.col("total"))).cast("int").alias("wide"),
+        )
+        .filter("twice OR wide = 1"),
         "shared-prefixes",
     )
-    return (
-        found.select("host", "prefix", "places")
+    merged = (
+        parts.select("host", "prefix", "places")
         .join(shared, ["host", "prefix"])
-        .select(F.explode("places").alias("p"))
+        .select(F.explode("places").alias("p"), "twice", "wide")
+        .filter("wide = 1 OR NOT p.named")
         .groupBy("p.h1", "p.h2")
-        .agg(F.sort_array(F.collect_set("p.at")).alias("covered"))
+        .agg(F.sort_array(F.collect_set(F.expr("2 * p.at + wide"))).alias("covered"))
     )
+    return found.filter("host IS NULL").select("h1", "h2", "covered").unionByName(merged)
 
 
-def _unique_runs(found: list[tuple[int, str]], covered: list[int]) -> str:
-    """The open blocks without their covered tokens."""
-    gone = {i for at in covered for i in range(at, at + LENGTH)}
-    out, place = [], 0
+def _unique_runs(found: list[tuple[int, str]], covered: list[int]) -> tuple[str, bool]:
+    """The article's blocks, or else the open ones, without their covered tokens, and whether there is an article."""
+    named = any(kind == ARTICLE for kind, _ in found)
+    wanted = ARTICLE if named else OPEN
+    if not covered:
+        return "\n".join(text for kind, text in found if kind == wanted), named
+    gone = {i for x in covered if x % 2 or not named for i in range(x >> 1, (x >> 1) + LENGTH)}
+    out, place, size, lost = [], 0, 0, 0
     for kind, text in found:
-        if kind == ARTICLE:
-            continue
         tokens = re.findall(r"[^\x20\x09-\x0D]+", text)
-        left = [t for i, t in enumerate(tokens, place) if i not in gone]
+        if kind == wanted:
+            left = [t for i, t in enumerate(tokens, place) if i not in gone]
+            size, lost = size + len(tokens), lost + len(tokens) - len(left)
+            if left:
+                out.append(" ".join(left))
         place += len(tokens)
-        if kind == OPEN and left:
-            out.append(" ".join(left))
-    return "\n".join(out)
+    if named and 2 * lost >= size:
+        # Another copy of the article.
+        return _unique_runs(found, [])
+    return "\n".join(out), named
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -330,42 +447,22 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     """
     rows = _keyed(pages, key, url, html)
 
-    def read(named: bool):
-        def run(batches):
-            for batch in batches:
-                for part in slices(batch, "html"):
-                    texts: list[str | None] = []
-                    for x in part.column("html").to_pylist():
-                        found = blocks(x or "")
-                        inside = [text for k, text in found if k == ARTICLE]
-                        texts.append("\n".join(inside) if inside else None)
-                    text = pa.array(texts, pa.string())
-                    keep = text.is_valid() if named else text.is_null()
-                    last = text if named else part.column("html")
-                    columns = [part.column(c) for c in ("key", "url", "h1", "h2")]
-                    out = pa.RecordBatch.from_arrays([*columns, last], ["key", "url", "h1", "h2", "text"])
-                    yield out.filter(keep)
-
-        return run
-
-    schema = fields(rows, "key", more="url string, h1 bigint, h2 bigint, text string")
-    known = map_batches(rows, read(True), schema)
-    unknown = map_batches(rows, read(False), schema).join(repeated(pages, key, url, html), ["h1", "h2"], "left")
+    # Stored, so that a small one need not deal out the pages.
+    boilerplate = materialise(repeated(pages, key, url, html), "boilerplate")
+    joined = rows.join(boilerplate, ["h1", "h2"], "left")
 
     def decide(batches):
         for batch in batches:
-            texts = [
-                _unique_runs(blocks(x or ""), c or [])
-                for x, c in zip(*(batch.column(n).to_pylist() for n in ("text", "covered")), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], ["key", "url", "text"]
-            )
-
-    schema = fields(rows, "key", more="url string, text string")
-    decided = map_batches(unknown.select("key", "url", "text", "covered"), decide, schema)
-    return (
-        known.select("key", "url", "text", F.lit(True).alias("named"))
-        .unionByName(decided.withColumn("named", F.lit(False)))
-        .select(F.col("key").alias(key), F.col("url").alias(url), "text", "named")
-    )
+            for part in slices(batch, "html"):
+                found = [
+                    _unique_runs(blocks(x or ""), c or [])
+                    for x, c in zip(*(part.column(n).to_pylist() for n in ("html", "covered")), strict=True)
+                ]
+                texts, named = pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key"), part.column("url"), texts, named], ["key", "url", "text", "named"]
+                )
+
+    schema = fields(rows, "key", more="url string, text string, named boolean")
+    decided = map_batches(joined.select("key", "url", "html", "covered"), decide, schema)
+    return decided.select(F.col("key").alias(key), F.col("url").alias(url), "text", "named")
