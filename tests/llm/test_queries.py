@@ -90,6 +90,28 @@ def test_op3_keeps_labelled_clean_documents(spark):
     assert share[0, False] >= 0.4 * (share[0, False] + share.get((0, True), 0))
 
 
+def test_op3_rejects_labelled_bad_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    kept = QUERIES["op3_fertility_rules"](spark, sf)
+    found = kept.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("NOT base_failed")
+    share = {(r.quality, r.kept): r["count"] for r in found.groupBy("quality", "kept").count().collect()}
+    assert share.get((1, False), 0) == 0
+    assert share[0, False] >= 0.95 * (share[0, False] + share.get((0, True), 0))
+
+
+def test_op3_keeps_short_prose(spark):
+    from wardstream.llm import fertility
+
+    texts = {
+        "en": "The council met on Tuesday to discuss the new bridge, and after two hours of debate its members agreed to ask the engineers for another report.",
+        "de": "Der Rat traf sich am Dienstag, um über die neue Brücke zu sprechen, und nach zwei Stunden bat er die Ingenieure um einen weiteren Bericht.",
+        "es": "El consejo se reunió el martes para hablar del nuevo puente y, después de dos horas, pidió a los ingenieros otro informe sobre los costes.",
+        "fr": "Le conseil s'est réuni mardi pour parler du nouveau pont et, après deux heures, il a demandé aux ingénieurs un autre rapport sur les coûts.",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "lang string, text string")
+    assert [r.kept for r in fertility.kept(docs).collect()] == [True] * 4
+
+
 def test_op5_classes_of_plain_comparison(spark, docs):
     """All pairs by plain Python on the sampled weights' own terms."""
     import numpy as np
