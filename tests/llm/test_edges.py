@@ -328,6 +328,27 @@ def test_the_model_finds_unnamed_strings(spark):
     assert not any(got[len(unnamed) + i] for i in range(len(plain)))
 
 
+def test_every_run_is_scored(spark):
+    rng = np.random.default_rng(5)
+
+    def random(alphabet, n):
+        return "".join(alphabet[i] for i in rng.integers(0, len(alphabet), n))
+
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    signs = letters + "0123456789"
+    train = [(i, f"The ordinary words of a sentence_number_{i % 7} of The Quick Brown Foxes Jumping Over Lazy Dogs And Zebras Visiting Kings Under Great Halls Where Naomi Packed Eleven Yellow Crates In 1999 Monday Rather Simple, token = '{random(signs, 30)}' and more plain identifiers", "s") for i in range(800)]
+    model = secrets.train(frame(spark, train))
+    head, tail, hexes = random(signs, 20), random(signs, 21) + "Z", random("0123456789abcdef", 24)
+    texts = [f"see {random(letters, 24)}." for _ in range(20)] + [f"see {random(signs, 12)}." for _ in range(20)]
+    texts += [f"see {head}Z{hexes}{tail}.", f"see Z{tail}_token=abcdef12", f"ordinary-{hexes}"]
+    got = {r.doc_id: (r.s, r.b) for r in secrets.scan(frame(spark, [(i, x, "s") for i, x in enumerate(texts)]), model=model).select("doc_id", secrets.spelled(F.col("spans")).alias("s"), secrets.spelled(F.col("base")).alias("b")).collect()}
+    assert np.mean([got[i][0] == "markov:4:28" for i in range(20)]) >= 0.9
+    assert np.mean([got[i][0] == "markov:4:16" for i in range(20, 40)]) >= 0.7
+    assert got[40][0].split(",")[0] == f"markov:4:{len(texts[40]) - 1}" and "hex:" in got[40][1]
+    assert got[41][0] == "markov:4:28,assign:28:42"
+    assert got[42][0] == got[42][1] != ""
+
+
 def test_odd_secrets(spark):
     rows = [
         (1, None, "s"),

@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and character Markov models for strings without one.
 
 Two first-order models of characters are trained on the corpus: one of random strings (the values that the fixed patterns find)
-and one of ordinary words and identifiers (those outside of them). A run of 16 or more key characters with both a letter and a
-digit is a secret where the random model explains it better by a log-likelihood ratio of MARGIN. The labelled sample is
+and one of ordinary words and identifiers (those outside of them). Every run of 8 or more key characters is scored. One of LONG or
+more is a secret where the random model explains it better by a log-likelihood ratio of MARGIN, a shorter one by one of
+SHORT_MARGIN a character. What stands before an assignment in the same run is a run of its own; where fixed patterns match only a part of a run, the
+rest is scored by itself, and the whole run is the secret if the rest is one. The labelled sample is
 bounded: the documents whose seeded hash is lowest, SAMPLE of them as expected; every document is
 scanned, over its whole text.
 
@@ -28,8 +30,12 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
 #: Characters of the value of an assignment.
 LEAST = 6
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{8,}"
+#: Characters from which a run is scored as a whole.
+LONG = 16
 ORDINARY = r"[A-Za-z0-9_-]{4,}"
+#: What every run has that a fixed pattern matches in part (the name of an assignment may end a run).
+_HOLDS = f"{_NAME}|{ACCESS}|{HEX}"
 SPANS = "array<struct<start:int,rank:int,end:int>>"
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
@@ -37,6 +43,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SYMBOLS = len(ALPHABET) + 1
 SAMPLE = 4000
 MARGIN = 8.0
+SHORT_MARGIN = 1.0
 SMOOTHING = 0.5
 
 
@@ -140,6 +147,43 @@ def score(token: Column, model: list[float]) -> Column:
     return F.aggregate(_pairs(token), F.lit(0.0), lambda acc, cell: acc + F.get(table, cell))
 
 
+def _enough(ratio: Column, n: Column) -> Column:
+    """Whether a log-likelihood ratio of ``n`` characters makes a secret."""
+    return ratio >= F.when(n >= LONG, F.lit(MARGIN)).otherwise(F.greatest(F.lit(MARGIN), n * F.lit(SHORT_MARGIN)))
+
+
+def _rest(text: Column, s: Column, base: Column) -> Column:
+    """The parts of a run that no span of ``base`` covers."""
+    kept = F.transform(
+        F.sequence(s["start"], s["end"] - 1),
+        lambda i: F.when(F.exists(base, lambda b: (b["start"] <= i) & (i < b["end"])), F.lit(" ")).otherwise(
+            F.substring(text, i + 1, F.lit(1))
+        ),
+    )
+    return F.filter(F.split(F.array_join(kept, ""), " "), lambda x: x != "")
+
+
+def _scored(text: Column, model: list[float]) -> Column:
+    """Places of the runs that are secrets, or that may hold a match of a fixed pattern or the name of one."""
+    parts = F.zip_with(
+        F.split(text, CANDIDATE, -1),
+        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
+        lambda gap, x: F.struct(
+            F.length(gap).alias("gap"), F.length(x).alias("n"), _enough(score(x, model), F.length(x)).alias("secret"), F.regexp_like(x, F.lit(_HOLDS)).alias("holds")
+        ),
+    )
+    kind = "array<struct<start:int,rank:int,end:int,secret:boolean>>"
+
+    def step(acc: Column, x: Column) -> Column:
+        begin, end = acc["at"] + x["gap"], acc["at"] + x["gap"] + x["n"]
+        one = F.struct(begin.alias("start"), F.lit(3).alias("rank"), end.alias("end"), x["secret"].alias("secret"))
+        out = F.when(x["secret"] | x["holds"], F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
+        return F.when(x["n"].isNotNull(), F.struct(end.alias("at"), out.alias("out"))).otherwise(acc)
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+
+
 def scan(
     docs: DataFrame, key: str = "doc_id", text: str = "text", model: list[float] | None = None
 ) -> DataFrame:
@@ -154,19 +198,33 @@ def scan(
     whole, token = fresh(rows, "whole", "token")
     # Each step stands on a column of its own, so that no pattern is run twice.
     found = rows.withColumn(whole, F.coalesce(F.col(text).cast("string"), F.lit("")))
-    found = found.withColumn("base", base_spans(F.col(whole))).withColumn(
-        token, _places(F.col(whole), CANDIDATE, 3)
+    # Few runs are secrets, so each one is scored before places are added up. Where a fixed pattern matches too, its run is looked at below.
+    found = found.withColumn("base", base_spans(F.col(whole))).withColumn(token, _scored(F.col(whole), model))
+    own = F.filter(
+        token, lambda s: s["secret"] & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     )
 
-    def is_secret(s: Column) -> Column:
-        string = F.substring(F.col(whole), s["start"] + 1, s["end"] - s["start"])
-        mixed = F.regexp_like(string, F.lit("[0-9]")) & F.regexp_like(string, F.lit("[A-Za-z]"))
-        clear = ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return clear & mixed & F.when(clear & mixed, score(string, model) >= MARGIN).otherwise(False)
+    def cut(s: Column) -> Column:
+        """The run up to the first assignment in it."""
+        named = F.filter("base", lambda b: (b["rank"] == 0) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        end = F.least(s["end"], F.coalesce(F.array_min(F.transform(named, lambda b: b["start"])), s["end"]))
+        return F.struct(s["start"].alias("start"), s["rank"].alias("rank"), end.alias("end"))
+
+    touched = F.filter(token, lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+
+    def has_more(s: Column) -> Column:
+        rest = _rest(F.col(whole), s, F.col("base"))
+        ratio = F.aggregate(rest, F.lit(0.0), lambda acc, x: acc + score(x, model))
+        n = F.aggregate(rest, F.lit(0), lambda acc, x: acc + F.length(x))
+        return (n > 0) & _enough(ratio, n)
+
+    pieces = F.filter(F.transform(touched, cut), lambda s: s["start"] < s["end"])
+    more = F.filter(pieces, has_more)
+
+    def plain(spans: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
 
-    return found.withColumn(
-        "spans", F.sort_array(F.concat("base", F.filter(token, is_secret)))
-    ).drop(whole, token)
+    return found.withColumn("spans", F.sort_array(F.concat("base", plain(own), more))).drop(whole, token)
 
 
 def spelled(spans: Column) -> Column:
