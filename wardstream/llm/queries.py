@@ -5,7 +5,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstream.llm import chat, decontaminate, fertility, line_dedup, main_text, near_dup, piece_fst, secrets, sharding, zip_warc
+from wardstream.llm import (
+    chat,
+    decontaminate,
+    fertility,
+    line_dedup,
+    main_text,
+    near_dup,
+    piece_fst,
+    prefix_bpe,
+    resample,
+    secrets,
+    sharding,
+    zip_warc,
+)
 from wardstream.llm.common import table
 from wardstream.session import scratch_dir
 
@@ -327,3 +340,76 @@ def op9_host_suffixes(spark, sf_dir):
     return main_text.extract(table(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
     )
+
+
+# 11. Byte-level BPE encoding and decoding.
+
+
+@query
+def op11_prefix_bpe(spark, sf_dir):
+    """The byte-level ids of every document, and what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return prefix_bpe.encode(docs, packed=True, decoded="decoded").select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+# 13. Target-distribution importance resampling.
+
+
+@query
+def op13_bracketed_resample(spark, sf_dir):
+    """A quarter of the documents, drawn towards the benchmark."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample.resample(docs, table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLE["op13_bracketed_resample"] = f"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(range(8), lambda c, k:
+                 CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS c
+        FROM range(256) r(i))
+),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT {_WORDS} AS w FROM benchmark),
+fd AS (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda p: w[p] || ' ' || w[p + 1]))) AS f FROM d
+),
+fi AS (
+  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda p: w[p] || ' ' || w[p + 1]))) AS f FROM i
+),
+bucket AS (
+  SELECT f, xor(4294967295, list_reduce(range(length(x) // 2), lambda c, j:
+              xor(t[xor(c, ('0x' || substr(x, 2 * j + 1, 2))::BIGINT) % 256 + 1], c // 256),
+              4294967295)) % 10000 AS b
+  FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM fd UNION SELECT f FROM fi)), crc
+),
+total AS (SELECT (SELECT count(*) FROM fd)::DOUBLE AS s, (SELECT count(*) FROM fi)::DOUBLE AS t),
+ds AS (SELECT b, count(*) AS s FROM fd JOIN bucket USING (f) GROUP BY b),
+dt AS (SELECT b, count(*) AS t FROM fi JOIN bucket USING (f) GROUP BY b),
+gain AS (
+  SELECT r.b, floor(1000 * ln((coalesce(dt.t, 0) + 1)::DOUBLE * (total.s + 10000)
+                              / ((coalesce(ds.s, 0) + 1)::DOUBLE * (total.t + 10000))))::BIGINT AS g
+  FROM range(10000) r(b) LEFT JOIN ds USING (b) LEFT JOIN dt USING (b), total
+),
+mean AS (
+  SELECT doc_id, count(*) AS n, sum(g)::BIGINT AS g FROM fd JOIN bucket USING (f) JOIN gain USING (b) GROUP BY doc_id
+),
+scored AS (
+  SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+         coalesce((g - ((g % n) + n) % n) // n, 0)::BIGINT AS weight,
+         coalesce((g - ((g % n) + n) % n) // n, 0)::BIGINT + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('7:' || d.doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN mean USING (doc_id)
+),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 25 * n // 100 THEN k END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
