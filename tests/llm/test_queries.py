@@ -33,7 +33,7 @@ def by_id(df, key="doc_id"):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert list(PIPELINE_QUERIES) == ["pipeline"]
 
 

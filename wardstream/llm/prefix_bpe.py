@@ -16,7 +16,7 @@ import base64
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -123,9 +123,8 @@ class PrefixBpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.index = _Index(self)
-        self.flat: list[np.ndarray] = []
-        self.counts: list[int] = []
+        self.index = _Index()
+        self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def merged(self, data: bytes) -> list[int]:
         """Merging by rank, the leftmost of equals first: what defines the encoding."""
@@ -182,6 +181,26 @@ class PrefixBpe:
         self.fill(data, last, len(data))
         return self.row(last)
 
+    def encode_many(self, data: list[bytes]) -> list[list[int]]:
+        """The ids of matches. What is stored of a prefix is kept for the next one in order of bytes that begins alike."""
+        out: list[list[int]] = [[]] * len(data)
+        last, before = [], b""
+        for i in sorted(range(len(data)), key=data.__getitem__):
+            now = data[i]
+            whole = self.rank.get(now)
+            if whole is not None:
+                out[i] = [whole]
+                continue
+            same = 0
+            for x, y in zip(now, before):  # noqa: B905
+                if x != y:
+                    break
+                same += 1
+            del last[same:]
+            self.fill(now, last, len(now))
+            out[i], before = self.row(last), now
+        return out
+
     def matches(self, text: str) -> Iterator[list[str]]:
         """The matches of the pattern, some at a time; what it skips belongs to none."""
         shown = text
@@ -230,10 +249,11 @@ class PrefixBpe:
                     else:
                         codes.append(code(match))
             ends.append(len(codes))
-        if self.flat:
-            self.flat = [np.concatenate([np.asarray(x, np.uint32) for x in self.flat])]
-        flat = self.flat[0] if self.flat else np.zeros(0, np.uint32)
-        counts = np.asarray(self.counts, np.int64)
+        rows = self.encode_many([m.encode() for m in self.index.new])
+        self.index.new = []
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(rows), np.uint32)])
+        self.counts = np.concatenate([self.counts, np.fromiter(map(len, rows), np.int64, len(rows))])
+        flat, counts = self.flat, self.counts
         first = np.cumsum(counts) - counts
         if long:
             flat = np.concatenate([flat, *(np.asarray(x, np.uint32) for x in long.values())])
@@ -257,17 +277,15 @@ class PrefixBpe:
 
 
 class _Index(dict):
-    """The number of each distinct match, whose ids are computed when it is first met."""
+    """The number of each distinct match; ``new`` ones have no ids yet."""
 
-    def __init__(self, bpe: PrefixBpe):
+    def __init__(self):
         super().__init__()
-        self.bpe = bpe
+        self.new: list[str] = []
 
     def __missing__(self, match: str) -> int:
-        ids = self.bpe.encode_match(match.encode())
-        self.bpe.flat.append(ids)
-        self.bpe.counts.append(len(ids))
-        number = self[match] = len(self.bpe.counts) - 1
+        self.new.append(match)
+        number = self[match] = len(self)
         return number
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstream.llm import (
+    align,
     chat,
     decontaminate,
     fertility,
@@ -357,6 +358,16 @@ def op11_prefix_bpe(spark, sf_dir):
     )
 
 
+# 12. Cross-tokenizer alignment.
+
+
+@query
+def op12_diagonal_runs(spark, sf_dir):
+    """Byte-level tokens of all documents aligned with pieces."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.linked(docs)[0]
+
+
 # 13. Target-distribution importance resampling.
 
 

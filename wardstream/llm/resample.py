@@ -226,7 +226,9 @@ def resample(
     An empty table stays empty, an empty target makes rare features gain.
     """
     gain = gains(bucket_counts(docs, text, longest, buckets), bucket_counts(target, "text", longest, buckets))
-    found = weighed(docs, gain, text, longest).drop(text)
+    rows = docs.drop(*(c for c in ("score", "rank") if c not in (key, text)))
+    found = weighed(rows, gain, text, longest).drop(text)
+    (able,) = fresh(found, "able")
     found = found.withColumn("score", F.col("weight") + noise(key, seed))
-    stored = materialise(found.withColumn("_able", F.col("n_words") >= least_words), "resample")
-    return draw(stored, percent, key, among="_able").drop("_able")
+    stored = materialise(found.withColumn(able, F.col("n_words") >= least_words), "resample")
+    return draw(stored, percent, key, among=able).drop(able)
