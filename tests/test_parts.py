@@ -1,0 +1,254 @@
+"""Gold by parts: crashes at every step, parts that divide, exact keys, and the latest encounters as a stream's state."""
+
+import random
+import shutil
+
+import pytest
+from conftest import CLOCK, SF, rows, silver, t
+from pyspark.sql import functions as F
+
+from wardstream import schemas
+from wardstream.operators import kpis
+from wardstream.plans.gold import Gold
+from wardstream.plans.parted import PartedGold, PartState, depth
+from wardstream.plans.registry import silver_rows
+from wardstream.session import scratch_dir
+from wardstream.sources.snapshot import SnapshotTable
+from wardstream.sources.tables import matching_paths, table_stream
+from wardstream.streaming import gold as gold_stream
+
+AS_OF, LATER = "2024-01-30 20:00:00", "2024-02-02 00:00:00"
+
+
+@pytest.fixture
+def base(spark):
+    return scratch_dir(spark, "test-parts")
+
+
+def changes(spark):
+    """One patient with other attributes in a new department, and one who is new."""
+    stay = {"admission_time": "2024-02-01 00:00:00", "discharge_time": "2024-02-03 00:00:00"}
+    return silver(
+        spark,
+        {"event_id": 10**6, "patient_id": "1", "gender": "Male", "age": 7, "department": "new", **stay},
+        {"event_id": 10**6 + 1, "patient_id": "fresh", "age": 3, **stay},
+    )
+
+
+def tables(gold):
+    return [rows(gold.fact()), rows(gold.patients()), rows(gold.departments())]
+
+
+class Killed(Exception):
+    pass
+
+
+STEPS = ["latest", "dim_patient", "dim_department", "fact_patient_flow", "manifest"]
+
+
+@pytest.fixture(scope="module")
+def undisturbed(spark):
+    """A copy of the folder after one refresh, its tables, and those after a second one."""
+    path = scratch_dir(spark, "test-parts")
+    gold = PartedGold(spark, path, parts=2, split_rows=5, key_block=4)
+    gold.refresh(silver_rows(spark, SF), AS_OF)
+    first = tables(gold)
+    shutil.copytree(path, f"{path}-copy")
+    gold.refresh(changes(spark), LATER)
+    return f"{path}-copy", first, tables(gold)
+
+
+@pytest.mark.parametrize("half", [True, False], ids=["half written", "written"])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_refresh_killed_at_any_step(spark, base, monkeypatch, undisturbed, step, half):
+    """Readers see the refresh before, and the replay ends in the tables of an undisturbed run."""
+    copy, first, second = undisturbed
+    shutil.copytree(copy, base)
+    gold = PartedGold(spark, base, parts=2, split_rows=5, key_block=4)
+    writer = type(spark.range(1).write)
+    written = writer.parquet
+
+    def killed(self, path, *args, **kw):
+        mine = f"/{step}/" in path and path.startswith(base)
+        if mine and half:
+            # Some rows are there, no marker is.
+            self.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        written(self, path, *args, **kw)
+        if mine:
+            raise Killed
+
+    monkeypatch.setattr(writer, "parquet", killed)
+    with pytest.raises(Killed):
+        gold.refresh(changes(spark), LATER)
+    monkeypatch.setattr(writer, "parquet", written)
+    after = PartedGold(spark, base, parts=2, split_rows=5, key_block=4)
+    # A manifest that was written is the refresh; one without its marker is none.
+    assert tables(after) == (second if step == "manifest" and not half else first)
+    after.refresh(changes(spark), LATER)
+    assert tables(after) == second
+    star = after.star()
+    assert star.fact.join(star.departments, star.fact.department_sk == star.departments.surrogate_key).count() == star.fact.count()
+
+
+def test_readers_of_one_manifest_see_one_refresh(spark, base, monkeypatch):
+    gold = PartedGold(spark, base, parts=4)
+    gold.refresh(silver_rows(spark, SF), AS_OF)
+    before = gold.state()
+    gold.refresh(changes(spark), LATER)
+    assert gold.fact(before).count() == 15 and gold.fact().count() == 16
+    assert gold.departments(before).filter("department = 'new'").isEmpty()
+
+
+def files(root):
+    import os
+
+    return {f"{d}/{n}": os.stat(f"{d}/{n}").st_mtime_ns for d, _, names in os.walk(root) for n in names if n.startswith("part-")}
+
+
+def patients(spark, first, last, at):
+    data = spark.range(first, last).select(
+        F.col("id").alias("event_id"), F.concat(F.lit("p"), F.col("id") % 1000).alias("patient_id"), F.lit("Female").alias("gender"),
+        (F.col("id") / 1000).cast("int").alias("age"), F.lit("ICU").alias("department"), F.lit(at).cast("timestamp_ntz").alias("admission_time"),
+        F.lit(None).cast("timestamp_ntz").alias("discharge_time"), F.lit(1).alias("bed_id"), F.lit(1).alias("hospital_id"),
+        F.lit(at).cast("timestamp_ntz").alias("arrived_at"),
+    )
+    return data.select(*schemas.SILVER.names)
+
+
+def test_parts_divide_as_they_grow(spark, base):
+    gold = PartedGold(spark, base, parts=1, split_rows=100, key_block=16)
+    days = [f"2024-01-{d:02d} 00:00:00" for d in range(1, 9)]
+    counts = []
+    for k, (low, high) in enumerate([(0, 50), (50, 200), (200, 600), (600, 1000)]):
+        before, state = files(base), gold.state()
+        gold.refresh(patients(spark, low, high, days[k]), days[k])
+        counts.append(len(gold.state().parts))
+        untouched = {p.part for p in state.parts if p.versions} & {p.part for p in gold.state().parts if p.refresh <= k}
+        kept = {f: m for f, m in before.items() if any(f"/part={p}/" in f for p in untouched)}
+        assert kept.items() <= files(base).items()
+    assert counts[0] == 1 and counts[-1] >= 16
+    assert sum(p.versions for p in gold.state().parts) == gold.patients().count() == 1000
+    # Each hash belongs to one part.
+    codes = [p.part for p in gold.state().parts]
+    for h in random.Random(1).sample(range(1 << 32), 200):
+        assert sum(h & ((1 << depth(c)) - 1) == c ^ (1 << depth(c)) for c in codes) == 1
+    # One patient's row leaves the files of all other parts alone.
+    before, state = files(base), gold.state()
+    (part,) = gold.refresh(patients(spark, 1007, 1008, days[4]), days[4])
+    after = files(base)
+    for name in ("latest", "dim_patient", "fact_patient_flow"):
+        mine = {f for f in after if f"/{name}/" in f and f not in before}
+        assert mine and all(f"/part={part}/" in f for f in mine)
+    assert before.items() <= after.items()
+    whole = Gold(spark, f"{base}-whole")
+    for k, (low, high) in enumerate([(0, 50), (50, 200), (200, 600), (600, 1000), (1007, 1008)]):
+        whole.refresh(patients(spark, low, high, days[k]), days[k])
+    versions = [c for c in schemas.DIM_PATIENT.names if c != "surrogate_key"]
+    assert rows(gold.patients(), *versions) == rows(whole.patients.read(), *versions)
+    plain = [c for c in schemas.FACT.names if c != "patient_sk"]
+    assert rows(gold.fact(), *plain) == rows(whole.fact.read(), *plain)
+
+
+def test_a_large_part_is_written_by_several_tasks(spark, base):
+    gold = PartedGold(spark, base, parts=1)
+    # Many small files between the steps, as a large part has many large ones.
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled")
+    for n in names:
+        spark.conf.set(n, "false" if "enabled" in n else "64k")
+    try:
+        data = silver_rows(spark, SF).withColumn("patient_id", F.concat("patient_id", F.lit("-"), "event_id"))
+        more = data.crossJoin(spark.range(20)).withColumn("patient_id", F.concat("patient_id", F.lit("-"), "id")).drop("id")
+        gold.refresh(more, AS_OF)
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+    assert len([f for f in files(base) if "/fact_patient_flow/" in f]) > 1
+
+
+def test_keys_are_exact_and_their_gaps_bounded(spark, base):
+    """Keys by blocks over several refreshes, one of them replayed, as many as versions and with few gaps."""
+    block = 8
+    gold = PartedGold(spark, base, parts=4, key_block=block)
+    cut = F.lit("2024-01-01 08:00:00").cast("timestamp_ntz")
+    data = silver_rows(spark, "/root/testdata/sf0.01")
+    gold.refresh(data.filter(F.col("admission_time") < cut), "2024-01-01 08:00:00")
+    gold.refresh(data, AS_OF)
+    keys = [r.surrogate_key for r in gold.patients().collect()]
+    assert len(keys) == len(set(keys)) == 235 and min(keys) >= 1
+    assert max(keys) < gold.state().free_key <= 1 + len(keys) + block * len(gold.state().parts)
+    held = rows(gold.patients())
+    gold.refresh(data, AS_OF)
+    assert rows(gold.patients()) == held
+    hashed = PartedGold(spark, f"{base}-hashed", parts=4)
+    hashed.refresh(data.filter(F.col("admission_time") < cut), "2024-01-01 08:00:00")
+    hashed.refresh(data, AS_OF)
+    plain = [c for c in schemas.DIM_PATIENT.names if c != "surrogate_key"]
+    assert rows(gold.patients(), *plain) == rows(hashed.patients(), *plain)
+    for name in ("department_inflow", "bed_occupancy", "patient_volume_trend"):
+        assert rows(kpis.KPIS[name](gold.star())) == rows(kpis.KPIS[name](hashed.star()))
+
+
+def test_blocks_of_keys():
+    part, given, free = PartState(4).taking(10, 1, 8)
+    assert given == (1, 0, 1) and (part.next_key, part.last_key, free) == (11, 16, 17)
+    part, given, free = part.taking(6, 41, 8)
+    assert given == (11, 6, 41) and (part.next_key, part.last_key, free) == (17, 16, 41)
+    part, given, free = PartState(4, next_key=15, last_key=16).taking(5, 41, 8)
+    assert given == (15, 2, 41) and (part.next_key, part.last_key, free) == (44, 48, 49)
+    first, second = part.split(1)
+    assert (first.part, second.part) == (0b1000, 0b1100)
+    assert (first.next_key, first.last_key, second.next_key, second.last_key) == (44, 48, 1, 0)
+
+
+# The latest encounters as state.
+
+
+def stream_rows(spark, path):
+    return table_stream(spark, path, schemas.SILVER, max_files_per_trigger=1)
+
+
+def test_latest_state_equals_the_batch(spark, base):
+    data = silver_rows(spark, SF)
+    data.repartition(5, "event_id").write.parquet(f"{base}/in")
+    gold = PartedGold(spark, f"{base}/gold", parts=4, keeps_latest=False)
+    query = gold_stream.start_gold(stream_rows(spark, f"{base}/in"), gold, f"{base}/c", AS_OF, available_now=True)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 5
+    whole = Gold(spark, f"{base}/whole", dense_keys=False)
+    whole.refresh(data, AS_OF)
+    assert rows(gold.fact()) == rows(whole.fact.read())
+    assert set(rows(gold.departments())) >= set(rows(whole.departments.read()))
+    assert not matching_paths(spark, f"{base}/gold/latest")
+
+
+def test_a_batch_emits_the_changed_patients_alone(spark, base):
+    emitted = []
+
+    class Watched(PartedGold):
+        def refresh(self, batch, as_of=None):
+            emitted.append(sorted((r.patient_id, r.event_id) for r in batch.collect()))
+            return super().refresh(batch, as_of)
+
+    def run(*records):
+        silver(spark, *records).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        gold = Watched(spark, f"{base}/gold", parts=2, keeps_latest=False)
+        gold_stream.start_gold(stream_rows(spark, f"{base}/in"), gold, f"{base}/c", CLOCK, available_now=True).awaitTermination()
+        return gold
+
+    run(*({"event_id": i, "patient_id": f"p{i}"} for i in range(20)))
+    assert len(emitted[-1]) == 20
+    # A later encounter of one patient is one row; so is one that comes late, which changes nothing.
+    gold = run({"event_id": 100, "patient_id": "p3", "admission_time": t("2024-01-09 00:00:00"), "age": 50}, {"event_id": 99, "patient_id": "p3"})
+    assert emitted[-1] == [("p3", 100)]
+    held = tables(gold)
+    gold = run({"event_id": 101, "patient_id": "p3", "admission_time": t("2024-01-01 00:00:00"), "age": 9})
+    assert emitted[-1] == [("p3", 100)] and tables(gold) == held
+    assert gold.patients().filter("is_current").count() == gold.fact().count() == 20
+    assert rows(gold.patients().filter("patient_id = 'p3'"), "age", "is_current") == [(30, False), (50, True)]
+
+
+def test_manifests_are_snapshots(spark, base):
+    gold = PartedGold(spark, base, parts=2)
+    assert gold.state().as_of is None and gold.fact().isEmpty() and gold.patients().isEmpty() and gold.departments().isEmpty()
+    assert gold.refresh(silver(spark, {}).filter("false"), CLOCK) == []
+    assert isinstance(gold.manifest, SnapshotTable) and gold.state().as_of == t(CLOCK)

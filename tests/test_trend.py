@@ -1,0 +1,114 @@
+"""Trend counts in tiers, their owner, and distinct patients by sketches."""
+
+import random
+
+import pytest
+from conftest import rows, silver
+from pyspark.sql import functions as F
+
+from wardstream import schemas
+from wardstream.session import scratch_dir
+from wardstream.sources.tables import matching_paths, remove_path, table_stream
+from wardstream.streaming import trend
+
+
+@pytest.fixture
+def base(spark):
+    return scratch_dir(spark, "test-trend")
+
+
+def load(spark, base, *records):
+    df = silver(spark, *({"admission_time": f"2024-01-08 {h:02d}:00:00", "patient_id": p} for h, p in records))
+    df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+
+def start(spark, base, checkpoint="cp", **kw):
+    stream = table_stream(spark, f"{base}/in", schemas.SILVER, max_files_per_trigger=1)
+    query = trend.start_trend(stream, f"{base}/out", f"{base}/{checkpoint}", available_now=True, **kw)
+    query.awaitTermination()
+    return query
+
+
+def counts(spark, base, **kw):
+    return sorted((r.window_start.hour, r.gender, *r[3:]) for r in trend.read_trend(spark, f"{base}/out", **kw).collect())
+
+
+def test_folders_are_added_up_in_tiers(spark, base):
+    rng, want = random.Random(3), {}
+    for _ in range(11):
+        batch = [(rng.randrange(4), f"p{rng.randrange(6)}") for _ in range(5)]
+        load(spark, base, *batch)
+        for h, p in batch:
+            want.setdefault(h, []).append(p)
+    start(spark, base, tier=2)
+    held = trend._folders(spark, f"{base}/out")
+    assert trend._cover(held) == [(0, 7), (8, 9), (10, 10)]
+    expected = sorted((h, "Male", len(x), len(set(x))) for h, x in want.items())
+    assert counts(spark, base, patients=True) == expected
+    assert counts(spark, base) == [x[:3] for x in expected]
+    # Of those replaced, only the last range's are still there for readers who listed them.
+    assert len(held) <= 3 + 2 * 4
+
+
+def test_the_number_of_folders_is_bounded(spark, base):
+    """A thousand batches, without the stream."""
+    counted = spark.createDataFrame([], trend._COUNTS)
+    held = set()
+    for n in range(1000):
+        held.add((n, n))
+        size = 32
+        while (n + 1) % size == 0:
+            held.add((n + 1 - size, n))
+            size *= 32
+        if size > 32:
+            live = set(trend._cover(held))
+            held = {r for r in held if r in live or any(a <= r[0] and b == n for a, b in live)}
+        assert len(held) <= 3 * 32 + 2
+    assert trend._cover(held) == [(32 * k, 32 * k + 31) for k in range(31)] + [(n, n) for n in range(992, 1000)]
+    for first, last in [(0, 0), (1, 1), (0, 1), (3, 3)]:
+        trend._write_counts(counted, f"{base}/out", first, last)
+    assert trend._cover(trend._folders(spark, f"{base}/out")) == [(0, 1), (3, 3)]
+
+
+def test_a_batch_replayed_after_it_was_added_up(spark, base):
+    for k in range(4):
+        load(spark, base, (k, "a"))
+    start(spark, base, tier=2)
+    before = counts(spark, base)
+    # The commit of the last batch is lost, as in a crash after its work was done.
+    for p in matching_paths(spark, f"{base}/cp/commits/*3"):
+        remove_path(spark, p)
+    start(spark, base, tier=2)
+    assert counts(spark, base) == before == [(k, "Male", 1) for k in range(4)]
+
+
+def test_counts_belong_to_one_checkpoint(spark, base):
+    load(spark, base, (1, "a"), (2, "b"))
+    start(spark, base)
+    before = counts(spark, base)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start(spark, base, "other")
+    remove_path(spark, f"{base}/cp")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start(spark, base)
+    assert counts(spark, base) == before
+
+
+def test_sketches_in_any_order(spark):
+    """50,000 patients in 20 batches: within five standard errors, and alike however they are merged."""
+    ids = spark.range(200_000).select((F.col("id") % 20).alias("batch"), F.xxhash64(F.pmod(F.hash("id"), F.lit(50_000))).cast("string").alias("patient_id"))
+    exact = ids.select("patient_id").distinct().count()
+    sketches = ids.groupBy("batch").agg(F.hll_sketch_agg("patient_id", F.lit(trend.SKETCH)).alias("patients"))
+    parts = [r.patients for r in sketches.collect()]
+    found = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(parts)
+        df = spark.createDataFrame([(i % (seed + 1), x) for i, x in enumerate(parts)], "tier int, patients binary")
+        tiers = df.repartition(3).groupBy("tier").agg(F.hll_union_agg("patients").alias("patients"))
+        found.add(tiers.agg(F.hll_sketch_estimate(F.hll_union_agg("patients")).alias("n")).first().n)
+    assert len(found) == 1 and abs(found.pop() - exact) <= 5 * 0.016 * exact
+
+
+def test_no_counts_yet(spark, base):
+    assert rows(trend.read_trend(spark, f"{base}/none", delay="1 hour")) == []
+    assert rows(trend.read_trend(spark, f"{base}/none", patients=True)) == []

@@ -1,5 +1,7 @@
 """Fact table: look up both dimensions, derive the stay metrics."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,11 @@ COLUMNS = schemas.FACT.names
 
 
 def fact_patient_flow(
-    encounters: DataFrame, dim_patient: DataFrame, dim_department: DataFrame, as_of=None
+    encounters: DataFrame,
+    dim_patient: DataFrame,
+    dim_department: DataFrame,
+    as_of=None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One fact row per encounter row given.
 
@@ -18,7 +24,8 @@ def fact_patient_flow(
     the visit grain. Unmatched lookups give a NULL key. The department lookup comes first: its
     dimension is small, and once its key replaces the text a narrower row is shuffled for the
     patient lookup. Neither side is forced to broadcast: the planner does so only below its size
-    limit, and beyond that a hot patient or department is split by the skew join.
+    limit, and beyond that a hot patient or department is split by the skew join. ``keep`` names columns of the
+    encounters that stay beside the fact's own.
     """
     departments = dim_department.select(
         F.col("surrogate_key").alias("department_sk"), "department", "hospital_id"
@@ -34,6 +41,7 @@ def fact_patient_flow(
         "admission_time",
         "discharge_time",
         "bed_id",
+        *keep,
     )
     keyed = (
         rows.join(departments, ["department", "hospital_id"], "left")
@@ -53,6 +61,7 @@ def fact_patient_flow(
         ),
         "bed_id",
         now(as_of).alias("event_ingestion_time"),
+        *keep,
     )
 
 

@@ -153,14 +153,14 @@ def merge_current(
 
 
 def scd2_apply(
-    target: DataFrame, incoming: DataFrame, as_of=None, null_safe: bool = False
+    target: DataFrame, incoming: DataFrame, as_of=None, null_safe: bool = False, hashed: bool = True
 ) -> DataFrame:
     """The whole dimension after ``incoming``. Closed history passes through unshuffled.
 
     Patients absent from ``incoming`` stay as they are. ``target`` is read twice, so pass a
-    stored table, not a long chain of earlier applies.
+    stored table, not a long chain of earlier applies. Without ``hashed``, opened versions have no key yet.
     """
-    merged = merge_current(current_versions(target), incoming, as_of, null_safe)
+    merged = merge_current(current_versions(target), incoming, as_of, null_safe, hashed)
     return target.filter("NOT is_current").select(*COLUMNS).unionByName(merged)
 
 

@@ -323,7 +323,12 @@ _BODIES = {
     # Without the patient key, which tells in which batch a patient came first: all batches share a clock.
     "stream_gold_parts": "SELECT * FROM fact",
     "gold_refresh_parts": "SELECT * FROM dim2",
+    "gold_refresh_split": "SELECT * EXCLUDE (surrogate_key), true AS exact_key FROM dim2",
+    "stream_gold_state": "SELECT * FROM fact",
     "stream_trend": _TREND,
+    "stream_trend_patients": _TREND.replace(
+        "count(*) AS admissions", "count(*) AS admissions, count(DISTINCT patient_id) AS patients"
+    ).replace("AS window_start, gender FROM", "AS window_start, gender, patient_id FROM"),
     "stream_dedup": "SELECT * EXCLUDE (arrived_at) FROM usable",
 }
 for _name, _spec in _KPIS.items():

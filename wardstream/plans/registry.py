@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardstream import schemas
@@ -338,6 +338,32 @@ def gold_refresh_parts(spark, sf_dir):
     return gold.patients()
 
 
+@query
+def gold_refresh_split(spark, sf_dir):
+    """The patient versions after two refreshes by parts that divide as they grow, with exact keys taken in blocks.
+
+    Which key a version gets depends on its part, so what is returned of it is whether no other has it and it was given out.
+    """
+    gold = PartedGold(spark, scratch_dir(spark, "gold-split"), parts=1, split_rows=64, key_block=16)
+    rows = silver_rows(spark, sf_dir)
+    cut = F.lit(FIRST_LOAD).cast("timestamp_ntz")
+    gold.refresh(rows.filter(F.col("admission_time") < cut), FIRST_LOAD)
+    gold.refresh(rows.filter(F.col("admission_time") >= cut), AS_OF)
+    given = F.col("surrogate_key").between(1, gold.state().free_key - 1)
+    alone = F.count(F.lit(1)).over(Window.partitionBy("surrogate_key")) == 1
+    return gold.patients().withColumn("exact_key", given & alone).drop("surrogate_key")
+
+
+@query
+def stream_gold_state(spark, sf_dir):
+    """The fact after a gold stream by parts whose state holds the latest encounters, in several batches."""
+    root = scratch_dir(spark, "stream")
+    gold = PartedGold(spark, f"{root}/gold", parts=1, split_rows=64, keeps_latest=False)
+    rows = _delivered(spark, silver_rows(spark, sf_dir), root)
+    _drain(gold_stream.start_gold(rows, gold, f"{root}/cp", AS_OF, available_now=True))
+    return gold.fact()
+
+
 #: Files of a delivery; each is a micro-batch of its own.
 DELIVERIES = 6
 
@@ -358,6 +384,15 @@ def stream_trend(spark, sf_dir):
     return trend.read_trend(spark, f"{root}/out", delay="1 hour")
 
 
+@query
+def stream_trend_patients(spark, sf_dir):
+    """Closed windows with the number of distinct patients, from the sketches of several batches, added up in tiers."""
+    root = scratch_dir(spark, "stream")
+    rows = _delivered(spark, usable(spark, sf_dir), root)
+    _drain(trend.start_trend(rows, f"{root}/out", f"{root}/cp", available_now=True, tier=2))
+    return trend.read_trend(spark, f"{root}/out", delay="1 hour", patients=True)
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Every event delivered twice within an hour, in several batches, and kept once."""

@@ -33,6 +33,23 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or []]
 
 
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; nothing if it is absent."""
+    files, path = _file_system(spark, path)
+    files.delete(path, True)
+
+
+def touch_path(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``; nothing if it is there."""
+    files, path = _file_system(spark, path)
+    files.createNewFile(path)
+
+
 def create_external_table(
     spark: SparkSession,
     name: str,
