@@ -204,7 +204,10 @@ def test_op12_against_bytes(spark, docs, sides):
 
 
 def test_alignment_of_odd_texts_over_blocks(spark, sides, monkeypatch):
-    monkeypatch.setattr(align, "BLOCK", 200)
+    monkeypatch.setattr(align, "BLOCK", 600)
+    monkeypatch.setattr(align, "PART", 200)
+    monkeypatch.setattr(align, "REMEMBERED", 40)
+    monkeypatch.setattr(align, "WINDOW", 7)
     texts = [*odd_texts(800, 25), None, "", "▁", "a ▁b", "<s> </s> <|endoftext|> <0x41>", "a b", "a b"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     want, count = corpus_columns({i: aligned(sides, text) for i, text in enumerate(texts)})
@@ -225,13 +228,14 @@ def test_runs_and_groups_of_any_ends(x, y):
     a, b = np.cumsum(x).tolist(), np.cumsum(y).tolist()
     end = max(a[-1], b[-1])
     a, b = ([*e, end] if e[-1] < end else e for e in (a, b))
-    runs, group_a, group_b, link_a, link_b = align.runs_and_groups(a, b)
+    runs, group_a, group_b = align.group_starts(a, b)
     starts = sorted([(i + k, j + k) for i, j, n in runs for k in range(n)] + list(zip(group_a, group_b, strict=True)))
     cuts = sorted(set(a) & set(b))
     assert starts == [(0, 0)] + [(a.index(c) + 1, b.index(c) + 1) for c in cuts[:-1]]
     for one, two in zip(runs, runs[1:], strict=False):
         assert one[0] + one[2] < two[0]
-    links = sorted([(i + k, j + k) for i, j, n in runs for k in range(n)] + list(zip(link_a, link_b, strict=True)))
+    ga, gb = (np.array([*x, n]) for x, n in zip(zip(*starts, strict=True), (len(a), len(b)), strict=True))
+    links = sorted(zip(*(x.tolist() for x in align.overlaps(np.array(a), np.array(b), ga, gb)), strict=True))
     owner = [[n for n, (s, t) in enumerate(zip([0, *e], e, strict=False)) for _ in range(t - s)] for e in (a, b)]
     assert links == sorted(set(zip(*owner, strict=True)))
 

@@ -18,6 +18,7 @@ import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -34,8 +35,8 @@ from wardstream.session import materialise
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Bytes of text in a block; distinct stretches a task remembers; stretches whose tokens are aligned at once.
-BLOCK, REMEMBERED, WINDOW = 8 << 20, 1 << 19, 1 << 18
+#: Bytes of text in a block, and of those aligned at once; distinct stretches a task remembers; stretches in a window.
+BLOCK, PART, REMEMBERED, WINDOW = 16 << 20, 2 << 20, 1 << 18, 1 << 18
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -94,42 +95,56 @@ class Pieces:
         return self.processor.encode(texts, num_threads=1)
 
 
-def runs_and_groups(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[int], list[int], list[int], list[int]]:
+def group_starts(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[int], list[int]]:
     """Two rows of ends that end together, cut where both have an end.
 
-    Returns the one-to-one runs (place in ``a``, place in ``b``, length), the places where irregular groups begin in ``a`` and in ``b``, and the
-    places in ``a`` and in ``b`` of tokens that overlap within irregular groups.
+    Returns the one-to-one runs (place in ``a``, place in ``b``, length) and the places where irregular groups begin in ``a`` and in ``b``.
     """
-    runs, group_a, group_b, link_a, link_b = [], [], [], [], []
+    runs, group_a, group_b = [], [], []
     i = j = 0
     n = len(a)
+    # Past the ends nothing is equal.
+    a, b = [*a, -1], [*b, -2]
     while i < n:
-        k, step = 0, 1
-        while i + k < n and a[i + k : i + k + step] == b[j + k : j + k + step]:
-            k += step
-            step *= 2
-        k = min(k, n - i)
-        while step > 1 and i + k < n:
-            step //= 2
-            if a[i + k : i + k + step] == b[j + k : j + k + step]:
-                k = min(k + step, n - i)
-        if k:
+        x, y = a[i], b[j]
+        if x == y:
+            k, step = 1, 1
+            while a[i + k : i + k + step] == b[j + k : j + k + step] and i + k < n:
+                k += step
+                step *= 2
+            while step > 1:
+                step //= 2
+                if a[i + k : i + k + step] == b[j + k : j + k + step]:
+                    k += step
             runs.append((i, j, k))
             i += k
             j += k
-            if i == n:
+            if i >= n:
                 break
+            x, y = a[i], b[j]
         group_a.append(i)
         group_b.append(j)
-        while True:
-            link_a.append(i)
-            link_b.append(j)
-            x, y = a[i], b[j]
-            i += x <= y
-            j += y <= x
-            if x == y:
-                break
-    return runs, group_a, group_b, link_a, link_b
+        while x != y:
+            if x < y:
+                i += 1
+                x = a[i]
+            else:
+                j += 1
+                y = b[j]
+        i += 1
+        j += 1
+    return runs, group_a, group_b
+
+
+def overlaps(end_a: np.ndarray, end_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of tokens that have bytes in common, given the ends of all tokens and where groups begin, and one more."""
+    sizes_a, sizes_b = np.diff(group_a), np.diff(group_b)
+    single = (sizes_a == 1) & (sizes_b == 1)
+    one_a, one_b = group_a[:-1][single], group_b[:-1][single]
+    # In an irregular group each stretch between neighbouring ends of either side is of one pair, and each pair has one.
+    ends = np.sort(np.concatenate([end_a[np.repeat(~single, sizes_a)], end_b[np.repeat(~single, sizes_b)]]))
+    ends = ends[np.append(True, ends[1:] != ends[:-1])] if len(ends) else ends
+    return np.concatenate([one_a, np.searchsorted(end_a, ends)]), np.concatenate([one_b, np.searchsorted(end_b, ends)])
 
 
 @dataclass
@@ -169,32 +184,56 @@ class Aligner:
         self.words = np.array([f"{i}{c}" for i in range(many) for c in ",|;"], object)
         self._forget()
 
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        self.counts: list[list[int]] = [[], []]
-        self.right: list[bool] = []
+    def _forget(self, keep: np.ndarray | None = None) -> None:
+        """Forget all stretches, but those of the numbers ``keep``."""
+        if keep is None:
+            self.known: dict[bytes, int] = {}
+            self.flat = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+            self.counts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+            self.right, self.uses = np.zeros(0, bool), np.zeros(0, np.int64)
+            return
+        self.flat = [_gather(f, c, keep)[0] for f, c in zip(self.flat, self.counts, strict=True)]
+        self.counts = [c[keep] for c in self.counts]
+        self.right, self.uses = self.right[keep], self.uses[keep] // 2
+        number = np.full(len(self.known), -1)
+        number[keep] = np.arange(len(keep))
+        number = number.tolist()
+        self.known = {s: number[i] for s, i in self.known.items() if number[i] >= 0}
 
     def _learn(self, stretches: list[bytes]) -> np.ndarray:
         """The numbers of stretches, of which new ones are encoded by both sides."""
         if len(self.known) >= REMEMBERED:
-            self._forget()
-        new, learned = [s for s in stretches if s not in self.known], [[], []]
+            # Those met in most parts stay.
+            most = np.argsort(-self.uses, kind="stable")[: REMEMBERED // 2]
+            self._forget(np.sort(most[self.uses[most] > 1]))
+        new = [s for s in stretches if s not in self.known]
         for k in range(0, len(new), 1 << 13):
-            some = new[k : k + (1 << 13)]
-            texts = [s[1:].decode() for s in some]
-            both = [side.encode(texts) for side in self.sides]
-            for s, *ids in zip(some, *both, strict=True):
-                joined = [b"".join(map(side.spelled.__getitem__, row)) for side, row in zip(self.sides, ids, strict=True)]
-                right = joined[0] == s == joined[1]
-                self.known[s] = len(self.right)
-                self.right.append(right)
-                for x in (0, 1):
-                    learned[x] += ids[x] if right else ()
-                    self.counts[x].append(len(ids[x]) if right else 0)
+            self._encode(new[k : k + (1 << 13)])
+        found = np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
+        self.uses[found] += 1
+        return found
+
+    def _encode(self, new: list[bytes]) -> None:
+        texts = [s[1:].decode() for s in new]
+        right, rows, sizes = np.ones(len(new), bool), [], []
+        bytes_ = np.fromiter(map(len, new), np.int64, len(new))
+        for side, size in zip(self.sides, self.size, strict=True):
+            ids = side.encode(texts)
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, n.sum())
+            if b"".join(map(side.spelled.__getitem__, flat.tolist())) != b"".join(new) or not np.array_equal(
+                np.add.reduceat(np.append(size[flat], 0), np.cumsum(n) - n), bytes_
+            ):
+                right &= [b"".join(map(side.spelled.__getitem__, row)) == s for row, s in zip(ids, new, strict=True)]
+            rows.append(flat)
+            sizes.append(n)
         for x in (0, 1):
-            self.flat[x] = np.concatenate([self.flat[x], np.array(learned[x], np.int64)])
-        return np.array([self.known[s] for s in stretches], np.int64)
+            self.flat[x] = np.concatenate([self.flat[x], rows[x][np.repeat(right, sizes[x])]])
+            self.counts[x] = np.concatenate([self.counts[x], np.where(right, sizes[x], 0)])
+        first = len(self.known)
+        self.known.update(zip(new, range(first, first + len(new)), strict=True))
+        self.right = np.concatenate([self.right, right])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
     def tokens(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both sides, and the offsets of texts in them; and the places in both where stretches begin."""
@@ -218,14 +257,14 @@ class Aligner:
         where = number[coded.indices.to_numpy(zero_copy_only=False)] if n else np.zeros(0, np.int64)
         at = np.searchsorted(edges, offsets)
         # A text of which a stretch is not spelled by a side has no tokens at all.
-        wrong = np.concatenate([[0], np.cumsum(~np.asarray(self.right, bool)[where] if n else where)])
+        wrong = np.concatenate([[0], np.cumsum(~self.right[where])])
         whole = wrong[at[1:]] == wrong[at[:-1]]
         stays = np.repeat(whole, np.diff(at))
         where = where[stays]
         at = np.concatenate([[0], np.cumsum(np.where(whole, np.diff(at), 0))])
         out = []
         for x in (0, 1):
-            ids, starts = _gather(self.flat[x], np.asarray(self.counts[x], np.int64), where)
+            ids, starts = _gather(self.flat[x], self.counts[x], where)
             out.append((ids, starts[at], starts))
         (a, first_a, starts_a), (b, first_b, starts_b) = out
         return a, b, first_a, first_b, np.stack([starts_a, starts_b])
@@ -233,27 +272,24 @@ class Aligner:
     def align(self, column: pa.Array) -> Aligned:
         a, b, first_a, first_b, starts = self.tokens(column)
         end_a, end_b = np.cumsum(self.size[0][a]), np.cumsum(self.size[1][b])
-        parts: list[list[np.ndarray]] = [[], [], [], []]
+        starts_a, starts_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         # Stretches end together, so they can be aligned some at a time.
         for k in range(0, starts.shape[1] - 1, WINDOW):
             to = min(k + WINDOW, starts.shape[1] - 1)
             (a0, b0), (a1, b1) = starts[:, k].tolist(), starts[:, to].tolist()
-            runs, *lists = runs_and_groups(end_a[a0:a1].tolist(), end_b[b0:b1].tolist())
+            runs, irregular_a, irregular_b = group_starts(end_a[a0:a1].tolist(), end_b[b0:b1].tolist())
             run = np.array(runs, np.int64).reshape(-1, 3)
             inside = np.arange(run[:, 2].sum()) - np.repeat(np.cumsum(run[:, 2]) - run[:, 2], run[:, 2])
-            one_a, one_b = (np.repeat(run[:, x], run[:, 2]) + inside for x in (0, 1))
-            group_a, group_b, link_a, link_b = (np.array(x, np.int64) for x in lists)
-            order = np.argsort(np.concatenate([one_a, group_a]), kind="stable")
-            found = (
-                np.concatenate([one_a, group_a])[order] + a0, np.concatenate([one_b, group_b])[order] + b0,
-                np.concatenate([one_a, link_a]) + a0, np.concatenate([one_b, link_b]) + b0,
-            )
-            for part, x in zip(parts, found, strict=True):
-                part.append(x)
-        group_a, group_b, link_a, link_b = (np.concatenate([np.zeros(0, np.int64), *p]) for p in parts)
+            group_a = np.concatenate([np.repeat(run[:, 0], run[:, 2]) + inside, irregular_a]).astype(np.int64)
+            group_b = np.concatenate([np.repeat(run[:, 1], run[:, 2]) + inside, irregular_b]).astype(np.int64)
+            order = np.argsort(group_a, kind="stable")
+            starts_a.append(group_a[order] + a0)
+            starts_b.append(group_b[order] + b0)
+        group_a, group_b = np.concatenate(starts_a), np.concatenate(starts_b)
         first_group = np.searchsorted(group_a, first_a)
         group_a, group_b = np.append(group_a, len(a)), np.append(group_b, len(b))
-        return Aligned(a, b, first_a, first_b, group_a, group_b, first_group, link_a, link_b)
+        links = overlaps(end_a, end_b, group_a, group_b)
+        return Aligned(a, b, first_a, first_b, group_a, group_b, first_group, *links)
 
     def spelled(self, found: Aligned) -> Iterator[str]:
         """The groups of each text: ids of a side joined by commas, sides by a bar, groups by semicolons."""
@@ -300,7 +336,7 @@ def align(docs: DataFrame, text: str = "text", a: str = BYTE_LEVEL, b: str = PIE
     def run(batches):
         one = aligner()
         for batch in batches:
-            for part in slices(batch, text, BLOCK):
+            for part in slices(batch, text, PART):
                 found = one.align(part.column(text))
                 groups = np.diff(found.first_group)
                 ends_a = found.group_a[1:] - np.repeat(found.first_a[:-1], groups)
@@ -329,29 +365,34 @@ def _block_rows(aligner: Callable[[], Aligner], text: str, block: str, pairs: st
 
     def run(batches):
         one = aligner()
+        wide = np.int64(len(one.size[0])) * one.width
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, text, BLOCK):
-                found = one.align(part.column(text))
-                n_links = np.zeros(part.num_rows, np.int64)
-                doc = np.searchsorted(found.first_a, found.link_a, side="right") - 1
-                n_links[:] = np.bincount(doc, minlength=part.num_rows)
-                wide = np.int64(len(one.size[0])) * one.width
-                key, n = np.unique(doc * wide + found.a[found.link_a] * one.width + found.b[found.link_b], return_counts=True)
-                held, docs = np.unique(key % wide, return_counts=True)
-                first = np.searchsorted(key, np.arange(part.num_rows + 1) * wide)
-                digest = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in one.spelled(found)]
-                sides = np.diff(found.first_a), np.diff(found.first_b), np.diff(found.first_group), n_links
-                keep = [c for c in part.schema.names if c != text]
-                columns = [part.column(c) for c in keep]
-                columns += [*map(pa.array, sides), pa.array(digest, pa.string())]
-                columns += [pa.array(np.full(part.num_rows, number))]
-                columns += [_lists(key % wide, first, pa.int64()), _lists(n, first, pa.int64())]
-                names = [*keep, "n_a", "n_b", "n_groups", "n_links", "groups_sha256", block, pairs, times]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for whole in slices(batch, text, BLOCK):
+                seen = []
+                for part in slices(whole, text, PART):
+                    found = one.align(part.column(text))
+                    doc = np.searchsorted(found.first_a, found.link_a, side="right") - 1
+                    n_links = np.bincount(doc, minlength=part.num_rows)
+                    key = doc * wide + found.a[found.link_a] * one.width + found.b[found.link_b]
+                    key, n = np.unique(key, return_counts=True)
+                    pair = key % wide
+                    seen.append(np.unique(pair, return_counts=True))
+                    first = np.searchsorted(key, np.arange(part.num_rows + 1) * wide)
+                    digest = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in one.spelled(found)]
+                    numbers = np.diff(found.first_a), np.diff(found.first_b), np.diff(found.first_group), n_links
+                    keep = [c for c in part.schema.names if c != text]
+                    columns = [part.column(c) for c in keep]
+                    columns += [*map(pa.array, numbers), pa.array(digest, pa.string())]
+                    columns += [pa.array(np.full(part.num_rows, number))]
+                    columns += [_lists(pair, first, pa.int64()), _lists(n, first, pa.int64())]
+                    names = [*keep, "n_a", "n_b", "n_groups", "n_links", "groups_sha256", block, pairs, times]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+                held, where = np.unique(np.concatenate([p for p, _ in seen]), return_inverse=True)
+                docs = np.bincount(where, np.concatenate([n for _, n in seen]), minlength=len(held)).astype(np.int64)
                 none = [pa.nulls(1, c.type) for c in columns[:-3]]
-                whole = [pa.array([-1 - number]), pa.array([held], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*none, *whole], names)
+                last = [pa.array([-1 - number]), pa.array([held], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*none, *last], names)
                 number += 1
 
     return run
