@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 
 from wardstream import schemas
 from wardstream.plans.gold import Gold
-from wardstream.plans.publish import publish
+from wardstream.plans.parted import PartedGold
+from wardstream.plans.publish import publish, publish_parts
 from wardstream.sources.broker import broker_stream
 from wardstream.sources.tables import table_stream
 from wardstream.streaming import ingest
@@ -48,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--stream", action="store_true", help="follow silver instead of one refresh")
     gold.add_argument("--as-of", help="clock of the refresh; the current time by default")
     gold.add_argument("--hashed-keys", action="store_true", help="hash patient keys")
+    gold.add_argument("--by-parts", action="store_true", help="rewrite only the parts that new rows touch")
 
     for p in (bronze, silver, gold):
         p.add_argument("--format", default="parquet", help="table format of bronze and silver")
@@ -55,14 +57,22 @@ def _parser() -> argparse.ArgumentParser:
 
     tables = job("publish", stream=False)
     tables.add_argument("--database", required=True)
+    tables.add_argument("--by-parts", action="store_true", help="the gold tables are kept by parts")
     return parser
 
 
+def _parted(spark: SparkSession, args: argparse.Namespace, **kw) -> PartedGold:
+    return PartedGold(spark, args.path, parts=1, key_block=None if args.hashed_keys else 10_000, **kw)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"wardstream-{args.job}").getOrCreate()
     if args.job == "publish":
-        publish(Gold(spark, args.path), args.database)
+        if args.by_parts:
+            publish_parts(PartedGold(spark, args.path), args.database)
+        else:
+            publish(Gold(spark, args.path), args.database)
         return
     timing = {"available_now": args.available_now, "trigger": args.trigger}
     running = []
@@ -95,8 +105,15 @@ def main(argv: list[str] | None = None) -> None:
         if not args.checkpoint:
             raise SystemExit("--stream needs --checkpoint")
         gold = Gold(spark, args.path, dense_keys=not args.hashed_keys)
+        if args.by_parts:
+            # The stream's state holds the latest encounters.
+            gold = _parted(spark, args, keeps_latest=False)
         silver = table_stream(spark, args.silver, schemas.SILVER, args.format)
         running.append(start_gold(silver, gold, args.checkpoint, args.as_of, **timing))
+    elif args.by_parts:
+        silver = spark.read.format(args.format).schema(schemas.SILVER).load(args.silver)
+        written = _parted(spark, args).refresh(silver, args.as_of)
+        print(f"parts={len(written)}")
     else:
         gold = Gold(spark, args.path, dense_keys=not args.hashed_keys)
         silver = spark.read.format(args.format).schema(schemas.SILVER).load(args.silver)

@@ -330,10 +330,14 @@ _BODIES = {
         "count(*) AS admissions", "count(*) AS admissions, count(DISTINCT patient_id) AS patients"
     ).replace("AS window_start, gender FROM", "AS window_start, gender, patient_id FROM"),
     "stream_dedup": "SELECT * EXCLUDE (arrived_at) FROM usable",
+    "stream_once": "SELECT * EXCLUDE (arrived_at) FROM usable",
 }
+_BODIES["stream_quality"] = _BODIES["dq_profile"]
 for _name, _spec in _KPIS.items():
     _select, _where, _group = (*_spec, "", "p.gender")[:3] if len(_spec) == 1 else _spec
     _BODIES[_name] = _kpi(_select, _where, _group)
     _BODIES[f"{_name}_visits"] = _kpi(_select, _where, _group, "_visits")
+for _name in ("patient_demographics", "department_inflow"):
+    _BODIES[f"{_name}_bucketed"] = _BODIES[f"{_name}_visits"]
 
 ORACLE = {name: _with(body) for name, body in _BODIES.items()}

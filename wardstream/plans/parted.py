@@ -125,7 +125,7 @@ class PartedGold:
         parts = [PartState(r.part, r.refresh, r.versions, r.next_key, r.last_key) for r in rows if r.part]
         return State(tuple(sorted(parts, key=lambda p: p.part)), whole.refresh, whole.next_key, whole.as_of)
 
-    def _folder(self, name: str, refresh: int) -> str:
+    def folder(self, name: str, refresh: int) -> str:
         return f"{self.path}/{name}/r={refresh}"
 
     def _read(
@@ -136,7 +136,7 @@ class PartedGold:
         held = [p for p in state.parts if p.versions and (touched is None or p.part in touched)]
         if not held:
             return self.spark.createDataFrame([], placed)
-        paths = [f"{self._folder(name, p.refresh)}/{PART}={p.part}" for p in held]
+        paths = [f"{self.folder(name, p.refresh)}/{PART}={p.part}" for p in held]
         reader = self.spark.read.schema(placed).option("basePath", f"{self.path}/{name}")
         return reader.parquet(*paths).select(*placed.names)
 
@@ -145,7 +145,7 @@ class PartedGold:
         if not state.departments:
             return self.spark.createDataFrame([], schemas.DIM_DEPARTMENT)
         return self.spark.read.schema(schemas.DIM_DEPARTMENT).parquet(
-            self._folder("dim_department", state.departments)
+            self.folder("dim_department", state.departments)
         )
 
     def patients(self, state: State | None = None) -> DataFrame:
@@ -209,7 +209,7 @@ class PartedGold:
             .write.partitionBy(PART)
             .options(**_COMPLETE)
             .mode("overwrite")
-            .parquet(self._folder(name, number))
+            .parquet(self.folder(name, number))
         )
 
     def _refresh_parts(self, arrived: DataFrame, touched: set[int], state: State, number: int, as_of) -> State:
@@ -254,7 +254,7 @@ class PartedGold:
 
         departments = self.departments(state).unionByName(dims.dim_department(changed)).distinct()
         departments.write.options(**_COMPLETE).mode("overwrite").parquet(
-            self._folder("dim_department", number)
+            self.folder("dim_department", number)
         )
         self._write_facts(changed, touched, held, levels, state, after_state, number, as_of)
         return after_state

@@ -13,12 +13,13 @@ from wardstream.operators.latest import latest_encounter
 from wardstream.plans import views
 from wardstream.plans.gold import Gold, build_star, table_counts
 from wardstream.plans.parted import PartedGold
+from wardstream.plans.publish import catalogue_star, publish_bucketed
 from wardstream.session import materialise, scratch_dir
 from wardstream.sources import encounters as src
 from wardstream.sources.encounters import AS_OF, FIRST_LOAD
 from wardstream.sources.tables import create_external_table, table_stream
 from wardstream.streaming import gold as gold_stream
-from wardstream.streaming import ingest, trend
+from wardstream.streaming import ingest, once, quality, trend
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -276,6 +277,21 @@ def view_department_inflow(spark, sf_dir):
     return spark.sql(views.view_sql("department_inflow", tables))
 
 
+def _bucketed(kpi: str) -> Query:
+    def run(spark, sf_dir):
+        place = scratch_dir(spark, "bucketed")
+        database = f"wardstream_{place.rsplit('-', 1)[1]}"
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
+        publish_bucketed(star(spark, sf_dir, "visit"), database, buckets=16)
+        return kpis.KPIS[kpi](catalogue_star(spark, database, "visit"))
+
+    return run
+
+
+for _name in ("patient_demographics", "department_inflow"):
+    QUERIES[f"{_name}_bucketed"] = _bucketed(_name)
+
+
 # Streams. Each run has its own folder and checkpoint, and returns the table it wrote.
 
 
@@ -411,3 +427,34 @@ def stream_dedup(spark, sf_dir):
     _drain(ingest.append_stream(once, f"{root}/out", f"{root}/cp", available_now=True))
     # Which of the two deliveries is kept depends on their order.
     return spark.read.schema(schemas.SILVER).parquet(f"{root}/out").drop("arrived_at")
+
+
+@query
+def stream_once(spark, sf_dir):
+    """Every event delivered twice, thirty days apart, in several batches, and kept once."""
+    root = scratch_dir(spark, "stream")
+    rows = usable(spark, sf_dir)
+    copies = [
+        rows.withColumn("arrived_at", F.lit(AS_OF).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(days)))
+        for days in (0, 30)
+    ]
+    delivered = _delivered(spark, copies[0].unionByName(copies[1]), root)
+    _drain(once.start_once(delivered, f"{root}/out", f"{root}/cp", available_now=True))
+    # Which of the two deliveries is kept depends on their order.
+    return once.read_once(spark, f"{root}/out", schemas.SILVER).drop("arrived_at")
+
+
+@query
+def stream_quality(spark, sf_dir):
+    """Rule violations, added up from the counts that a silver stream left for each of its batches."""
+    root = scratch_dir(spark, "stream")
+    bronze = _bronze(spark, sf_dir, root)
+    split = bronze.repartition(DELIVERIES, F.xxhash64("event_id", "raw_json"))
+    split.write.parquet(f"{root}/in")
+    rows = table_stream(spark, f"{root}/in", schemas.BRONZE, max_files_per_trigger=1)
+    log = quality.QualityLog(spark, f"{root}/quality", "dq")
+    with log:
+        silver = ingest.start_silver(rows, f"{root}/silver", f"{root}/cp", AS_OF, dq="dq", available_now=True)
+        _drain(silver)
+        log.wait(silver)
+    return quality.profile(spark, f"{root}/quality").filter("rule <> 'wrong_type'")

@@ -1,13 +1,12 @@
 """Reports on the silver stream."""
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardstream.sources.snapshot import _COMPLETE
-from wardstream.sources.tables import matching_paths, remove_path, touch_path
+from wardstream.sources.tables import matching_paths, remove_path
+from wardstream.streaming.owner import claim, mark
 
 _CLOCK = "_event_time"
 #: Sketches of distinct patients have 2^12 registers.
@@ -111,17 +110,6 @@ def _fold(spark: SparkSession, path: str, number: int, tier: int) -> None:
                 remove_path(spark, folder)
 
 
-def _claim(spark: SparkSession, path: str, checkpoint: str) -> None:
-    """Raise if the counts at ``path`` were not left by the stream of ``checkpoint``."""
-    if not matching_paths(spark, f"{path}/from=*"):
-        return
-    known = matching_paths(spark, f"{checkpoint}/metadata")
-    own = json.loads(spark.read.text(known[0]).first().value)["id"] if known else None
-    owners = {p.rsplit("-owner-", 1)[1] for p in matching_paths(spark, f"{path}/_stream-owner-*")}
-    if own is None or owners and own not in owners:
-        raise ValueError(f"{path} holds the counts of another checkpoint, whose batches have the same numbers")
-
-
 def start_trend(
     rows: DataFrame,
     path: str,
@@ -142,7 +130,7 @@ def start_trend(
     A checkpoint numbers its batches from 0, so counts belong to one checkpoint: another one, or one started anew, raises.
     """
     spark = rows.sparkSession
-    _claim(spark, path, checkpoint)
+    claim(spark, path, checkpoint, "from=*")
 
     def count(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -164,7 +152,7 @@ def start_trend(
     elif trigger is not None:
         writer = writer.trigger(processingTime=trigger)
     query = writer.start()
-    touch_path(spark, f"{path}/_stream-owner-{query.id}")
+    mark(spark, path, query.id)
     return query
 
 
