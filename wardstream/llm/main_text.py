@@ -7,17 +7,19 @@ unique runs are kept.
 
 Repeats alone cannot give exact articles: a menu that no other page has would stay, and an article published
 twice would go, or a passage that two articles quote. So where a page names its containers (``article``, ``main``, ``nav``,
-``aside``, class names and the like), an exact check follows. Text in other named containers or beside an article goes. Text in
-a named article goes where the host has the substring on many pages: MANY distinct ones at the least and a share of WIDE of all.
-What fewer pages have is another copy of the article or of a part of it, and is restored; so is an article of which such
-substrings make up half. On pages without an article, substrings that stand outside of articles on two distinct
+``aside``, class names and the like), an exact check follows. Text in other named containers or beside an article goes. A block in
+a named article goes, unless it is a heading, if all of it is substrings that many pages of the host have in their articles: MANY
+distinct pages at the least and a share of WIDE of all. What fewer pages have is another copy of the article or of a part of it, and stays;
+so does an article of which such blocks make up half. On pages without an article, substrings that stand outside of articles on two distinct
 pages go too.
 
-A suffix array covers a bounded chunk (CHUNK tokens) of one host; chunks come from a range partitioning, which splits
-hosts of any size. A host that lies in one chunk is decided there. The chunks of others are merged by their prefixes: each
-sends one row for each distinct prefix.
+Hosts of up to CHUNK tokens are decided in one suffix array. A larger one is split into chunks, and what it shares
+is found in three steps that send no places: each chunk names the substrings that a share of WIDE / 2 of its own pages have; those named
+by chunks of enough pages are counted on all pages (of a substring that WIDE of all pages have, no count can fail this test); and
+those found wide are looked up again on each page.
 """
 
+import hashlib
 import html as entities
 import re
 
@@ -30,6 +32,7 @@ from wardstream.llm.common import fields, map_batches, slices
 from wardstream.llm.wordhash import SOLID, grams, mix, words
 from wardstream.session import materialise
 
+_KEY = "host bigint, stream bigint, variant bigint"
 LENGTH = 8
 CHUNK = 1 << 19
 #: A substring of named articles is boilerplate on so many distinct pages and such a share of the host's distinct pages.
@@ -60,6 +63,7 @@ _ASIDE_PARTS = set(
     "area container wrapper block content form menu icon icons text".split()
 )
 _ARTICLE_NAMES = set("main article".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open paragraph.
 _ENDS_P = set(
     "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -112,8 +116,8 @@ def _kind(tag: str, rest: str, around: int) -> int:
     return OTHER if aside else inner if named else around
 
 
-def blocks(page: str) -> list[tuple[int, str]]:
-    """The text blocks of a page, in order, and what each stands in.
+def blocks(page: str, headings: set[int] | None = None) -> list[tuple[int, str]]:
+    """The text blocks of a page, in order, and what each stands in. The places of headings are added to ``headings``.
 
     An article inside of an element that is none (a comment, a teaser; or all of a page in a form) counts if the page has no other
     and less text outside of elements that are none.
@@ -127,6 +131,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
             text = _SPACE.sub(" ", "".join(held)).strip()
             held.clear()
             if text:
+                if headings is not None and any(tag in _HEADINGS for tag, _ in stack):
+                    headings.add(len(out))
                 out.append((around, text))
 
     for token in _TOKEN.finditer(page):
@@ -187,14 +193,20 @@ def _keyed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     )
 
 
+def _number(tokens: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def _streams(rows: DataFrame) -> DataFrame:
     """Each page's tokens by host, and the ends of runs of tokens: outside of named articles, inside, outside and so on.
 
-    A token is 32 bits of its hash; LENGTH of them in a row tell substrings apart.
+    A token is 32 bits of its hash; LENGTH of them in a row tell substrings apart. ``stream`` and ``variant`` are hashes of the tokens and of the
+    ends. Of pages that are equal in them, a task gives the tokens once; the others have none, and so have pages of less than LENGTH.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
     def run(batches):
+        seen: set[tuple[int, int, int]] = set()
         for batch in batches:
             for part in slices(batch, "html"):
                 texts, counts, pages = [], [], []
@@ -208,16 +220,26 @@ def _streams(rows: DataFrame) -> DataFrame:
                     counts.append(len(runs))
                     pages.append(len(texts))
                 w = words(pa.array(texts, pa.string()), SOLID, lower=False)
+                hashes = w.hash.astype(np.uint32).view(np.int32)
                 first = w.first[np.append(0, pages)]
                 ends = w.first[1:] - np.repeat(first[:-1], counts)
-                tokens = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(w.hash.astype(np.uint32).view(np.int32)))
-                ends = pa.ListArray.from_arrays(pa.array(np.append(0, pages), pa.int32()), pa.array(ends, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("h1"), part.column("h2"), part.column("host"), tokens, ends],
-                    ["h1", "h2", "host", "tokens", "ends"],
-                )
-
-    schema = "h1 bigint, h2 bigint, host bigint, tokens array<int>, ends array<int>"
+                where = np.append(0, pages)
+                keys, tokens, cuts = [], [], []
+                for i, at in enumerate(part.column("host").to_pylist()):
+                    mine, cut = hashes[first[i] : first[i + 1]], ends[where[i] : where[i + 1]]
+                    key = (at, _number(mine), _number(cut.astype(np.int64)))
+                    keys.append(key)
+                    fresh = len(mine) >= LENGTH and key not in seen
+                    if fresh:
+                        seen.add(key)
+                    tokens.append(mine if fresh else None)
+                    cuts.append(cut if fresh else None)
+                columns = [part.column("h1"), part.column("h2"), *(pa.array([k[i] for k in keys], pa.int64()) for i in range(3))]
+                columns.append(pa.array(np.diff(first), pa.int32()))
+                columns += [pa.array(tokens, pa.list_(pa.int32())), pa.array(cuts, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "host", "stream", "variant", "size", "tokens", "ends"])
+
+    schema = f"h1 bigint, h2 bigint, {_KEY}, size int, tokens array<int>, ends array<int>"
     return map_batches(rows.select("h1", "h2", F.xxhash64(host).alias("host"), "html"), run, schema)
 
 
@@ -237,203 +259,264 @@ def suffix_classes(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-_FOUND = (
-    "h1 bigint, h2 bigint, covered array<int>, host bigint, prefix bigint, low bigint, high bigint, n bigint, "
-    "edges array<bigint>, places array<struct<h1:bigint,h2:bigint,at:int,named:boolean>>"
-)
+def _lists(values: np.ndarray, starts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), pa.array(values).cast(kind))
 
 
-def _lists(values: pa.Array, starts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+def _inside(n: int, ends: list[int]) -> np.ndarray:
+    """Which of ``n`` tokens stand in a named article; all of them on a page that names none."""
+    if len(ends) == 1:
+        return np.ones(n, bool)
+    return np.repeat(np.arange(len(ends)) % 2 == 1, np.diff(ends, prepend=0))
 
 
-def _chunk(held: list[tuple], whole_host: bool) -> pa.RecordBatch | None:
-    """A chunk of (host, h1, h2, stream, tokens, ends), sorted, with the columns of _FOUND.
+class _Array:
+    """The suffix array of pages of one host, (host, stream, variant, tokens, ends) in order of streams.
 
-    Of a whole host, what is covered on each page (see ``repeated``); else a row for each distinct prefix with its least and
-    greatest stream outside of articles, the number of its streams between the chunk's first and last, those of the two, and
-    its places.
+    Prefixes are numbered; ``page`` and ``place`` tell where each stands, ``group`` which prefix it is. Pages of equal streams are one page.
     """
-    lengths = np.array([len(x[4]) for x in held])
-    # A token of its own after each page, so that no prefix reaches into the next.
-    marks = mix(np.arange(1, len(held) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    stream = np.concatenate([y for x, e in zip(held, marks, strict=True) for y in (x[4], [e])])
-    first = np.concatenate([[0], np.cumsum(lengths + 1)])
-    page = np.repeat(np.arange(len(held)), lengths + 1)
-    step = np.zeros(len(stream) + 1, np.int64)
-    for x, at in zip(held, first, strict=False):
-        for i, end in enumerate(x[5][:-1]):
-            step[at + end] += 1 if i % 2 == 0 else -1
-        step[at + len(x[4])] -= 1 if len(x[5]) % 2 == 0 else 0
-    inside = np.cumsum(step)[:-1] > 0
-    named = np.array([len(x[5]) > 1 for x in held])
-    rank = suffix_classes(stream, LENGTH)
-    at = np.arange(len(stream))
-    whole = at + LENGTH < first[page + 1]
-    order = at[whole][np.argsort(rank[whole], kind="stable")]  # the suffix array
-    if not len(order):
+
+    def __init__(self, held: list[tuple]):
+        lengths = np.array([len(x[3]) for x in held])
+        # A token of its own after each page, so that no prefix reaches into the next.
+        marks = mix(np.arange(1, len(held) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.tokens = np.concatenate([y for x, e in zip(held, marks, strict=True) for y in (x[3], [e])])
+        first = np.concatenate([[0], np.cumsum(lengths + 1)])
+        page = np.repeat(np.arange(len(held)), lengths + 1)
+        at = np.arange(len(self.tokens))
+        whole = at + LENGTH < first[page + 1]
+        rank = suffix_classes(self.tokens, LENGTH)
+        self.order = at[whole][np.argsort(rank[whole], kind="stable")]
+        new = np.append(True, rank[self.order[1:]] != rank[self.order[:-1]])[: len(self.order)]
+        self.starts, self.group = np.flatnonzero(new), np.cumsum(new) - 1
+        self.page = page[self.order]
+        self.place = self.order - first[self.page]
+        self.inside = np.concatenate([np.append(_inside(n, x[4]), False) for n, x in zip(lengths, held, strict=True)])[self.order]
+        self.named = np.array([len(x[4]) > 1 for x in held])[self.page]
+        streams = np.array([x[1] for x in held], np.int64)
+        number = np.cumsum(np.append(True, streams[1:] != streams[:-1])) - 1
+        self.number, self.pages = number[self.page], int(number[-1]) + 1
+
+    def on(self, which: np.ndarray) -> np.ndarray:
+        """On how many distinct pages each prefix stands at the places ``which``."""
+        group, number = self.group[which], self.number[which]
+        # Places of a prefix are in the order of pages.
+        new = np.append(True, (group[1:] != group[:-1]) | (number[1:] != number[:-1]))[: len(group)]
+        return np.bincount(group[new], minlength=len(self.starts))
+
+
+_COVERED = f"{_KEY}, covered array<int>"
+
+
+def _covered(held: list[tuple]) -> pa.RecordBatch | None:
+    """What is covered on each page of a whole host."""
+    array = _Array(held)
+    if not len(array.order):
         return None
-    new = np.append(True, rank[order[1:]] != rank[order[:-1]])
-    starts = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    # Pages of equal streams are one and lie side by side; places of a prefix are in the order of pages.
-    ids = np.array([x[3] for x in held], np.int64)
-    other = np.append(True, ids[1:] != ids[:-1])
-    number = (np.cumsum(other) - 1)[page[order]]
-    fresh_page = new | np.append(True, number[1:] != number[:-1])
-    outside = ~inside[order]
-    none = np.iinfo(np.int64)
-    low = np.minimum.reduceat(np.where(outside, ids[page[order]], none.max), starts)
-    high = np.maximum.reduceat(np.where(outside, ids[page[order]], none.min), starts)
-    place = order - first[page[order]]
-    if whole_host:
-        count = np.add.reduceat(fresh_page, starts)
-        wide = ((count >= MANY) & (count >= WIDE * other.sum()))[group]
-        hit = wide | ((low < high)[group] & ~named[page[order]])
-        key = np.sort(page[order][hit] << 32 | (2 * place[hit] + wide[hit]))
-        # Rows equal in all are side by side, and one is enough.
-        again = np.array([False] + [x[1:3] == y[1:3] for x, y in zip(held, held[1:], strict=False)])
-        key = key[~again[key >> 32]]
-        on, where = np.unique(key >> 32, return_index=True)
-        if not len(on):
-            return None
-        columns = [
-            pa.array(np.array([held[i][1] for i in on], np.int64)),
-            pa.array(np.array([held[i][2] for i in on], np.int64)),
-            _lists(pa.array((key & 0xFFFFFFFF).astype(np.int32)), where),
-        ]
-    else:
-        last = other.sum() - 1
-        edge = (number == 0) | (number == last)
-        at_edge = fresh_page & edge
-        places = pa.StructArray.from_arrays(
-            [pa.array(np.array([x[k] for x in held], np.int64)[page[order]]) for k in (1, 2)]
-            + [pa.array(place.astype(np.int32)), pa.array(named[page[order]])],
-            ["h1", "h2", "at", "named"],
-        )
-        sums = np.concatenate([[0], np.cumsum(at_edge)])
-        columns = [
-            pa.nulls(len(starts), pa.int64()),
-            pa.nulls(len(starts), pa.int64()),
-            pa.nulls(len(starts), pa.list_(pa.int32())),
-            pa.array(np.full(len(starts), held[0][0], np.int64)),
-            pa.array(grams(stream, LENGTH)[order[starts]].view(np.int64)),
-            pa.array(low),
-            pa.array(high),
-            pa.array(np.add.reduceat((fresh_page & ~edge).astype(np.int64), starts)),
-            _lists(pa.array(ids[page[order]][at_edge]), sums[starts]),
-            _lists(places, starts),
-        ]
-    columns += [pa.nulls(len(columns[0]), f.type) for f in list(_ARROW)[len(columns) :]]
-    out = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
-    # In the order of their first places, prefixes of a page stand together, and what they share packs well.
-    return out if whole_host else out.take(pa.array(np.argsort(order[starts])))
-
-
-_PLACE = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("named", pa.bool_())])
-_ARROW = pa.schema(
-    [("h1", pa.int64()), ("h2", pa.int64()), ("covered", pa.list_(pa.int32()))]
-    + [(c, pa.int64()) for c in ("host", "prefix", "low", "high", "n")]
-    + [("edges", pa.list_(pa.int64())), ("places", pa.list_(_PLACE))]
-)
+    count = array.on(array.inside)
+    wide = ((count >= MANY) & (count >= WIDE * array.pages))[array.group] & array.inside
+    # On pages without an article all places count as inside of one, and all are outside too.
+    twice = (array.on(~array.inside | ~array.named) > 1)[array.group] & ~array.named
+    hit = wide | twice
+    key = np.sort(array.page[hit] << 32 | (2 * array.place[hit] + wide[hit]))
+    on, where = np.unique(key >> 32, return_index=True)
+    if not len(on):
+        return None
+    columns = [pa.array(np.array([held[i][k] for i in on], np.int64)) for k in range(3)]
+    columns.append(_lists(key & 0xFFFFFFFF, where, pa.int32()))
+    return pa.RecordBatch.from_arrays(columns, ["host", "stream", "variant", "covered"])
 
 
-def _prefixes(chunk: int):
-    """Pages of (host, h1, h2, stream, tokens, ends), sorted by host, in chunks.
+def _candidates(held: list[tuple]) -> pa.RecordBatch | None:
+    """The prefixes that half of WIDE of a chunk's pages have in their articles, and the number of its pages."""
+    array = _Array(held)
+    if not len(array.order):
+        return None
+    often = array.on(array.inside) >= max(1, WIDE / 2 * array.pages)
+    prefix = grams(array.tokens, LENGTH)[array.order[array.starts[often]]].view(np.int64)
+    columns = [np.full(len(prefix), held[0][0], np.int64), prefix, np.full(len(prefix), array.pages, np.int64)]
+    return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["host", "prefix", "pages"])
+
+
+def _rows(batches):
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("host", "stream", "variant")]
+        for *row, tokens, ends in zip(*columns, batch.column("tokens"), batch.column("ends"), strict=True):
+            yield (*row, mix(tokens.values.to_numpy().view(np.uint32).astype(np.uint64)), ends.as_py())
 
-    The first and the last host of a task may lie in other tasks too.
-    """
+
+def _by_chunk(decide, chunk: int | None):
+    """``decide`` on the rows of each host, which come sorted by host, stream and variant; on ``chunk`` tokens at a time, if given. Rows of one
+    stream stay together, and of rows equal in all one counts."""
 
     def run(batches):
         held: list[tuple] = []
-        size, hosts, split = 0, 0, False
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("host", "h1", "h2", "stream")]
-            for *row, tokens, ends in zip(*columns, batch.column("tokens"), batch.column("ends"), strict=True):
-                over = size >= chunk
-                if held and (held[0][0] != row[0] or over):
-                    done = held[0][0] != row[0]
-                    if (out := _chunk(held, done and hosts > 0 and not split)) is not None:
-                        yield out
-                    split, hosts = not done, hosts + done
-                    held.clear()
-                    size = 0
-                held.append((*row, mix(tokens.values.to_numpy().view(np.uint32).astype(np.uint64)), ends.as_py()))
-                size += len(held[-1][4])
-        if held and (out := _chunk(held, False)) is not None:
+        size = 0
+        for row in _rows(batches):
+            full = chunk is not None and size >= chunk and held and held[-1][1] != row[1]
+            if held and (held[0][0] != row[0] or full):
+                if (out := decide(held)) is not None:
+                    yield out
+                held, size = [], 0
+            if held and held[-1][:3] == row[:3]:
+                continue
+            held.append(row)
+            size += len(row[3])
+        if held and (out := decide(held)) is not None:
             yield out
 
     return run
 
 
-def repeated(
-    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", chunk: int = CHUNK
-) -> DataFrame:
-    """For each page with boilerplate: ``h1``, ``h2`` (hashes of key, url and html) and ``covered``, the sorted places
-    in its stream where such a substring of LENGTH tokens begins, times two, plus one if many pages of the host have it.
+def _found(pick, schema: str, wanted: str | None = None):
+    """A function for batches of pages that makes, of each page's prefixes and places, rows of ``schema`` besides the page's key.
 
-    Pages of equal streams are one page here, so that copies do not make each other boilerplate.
+    ``pick`` chooses among the places inside of articles (all, on pages without one) and gives the columns; ``wanted`` names a column of
+    prefixes, those that count.
     """
-    streams = materialise(_streams(_keyed(pages, key, url, html)), "streams")
-    known = streams.filter(F.size("tokens") >= LENGTH).withColumn("stream", F.xxhash64("tokens"))
-    chunks = known.repartitionByRange("host", "stream", "h1").sortWithinPartitions("host", "stream", "h1", "h2")
-    found = materialise(
-        map_batches(chunks.select("host", "h1", "h2", "stream", "tokens", "ends"), _prefixes(chunk), _FOUND), "prefixes"
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            given = batch.column(wanted) if wanted else [None] * batch.num_rows
+            out = []
+            for (*key, tokens, ends), some in zip(_rows([batch]), given, strict=True):
+                prefix = grams(tokens, LENGTH).view(np.int64)
+                inside = _inside(len(tokens), ends)[: len(prefix)]
+                known = None if some is None else np.isin(prefix, some.values.to_numpy())
+                values = pick(prefix, inside, len(ends) > 1, known)
+                if len(values[0]):
+                    out.append((*key, *values))
+            columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(3)]
+            columns += [pa.array([x[3 + i] for x in out], pa.list_(pa.int64())) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "stream", "variant", *names])
+
+    return run
+
+
+def _wide_on_many_chunks(pages: DataFrame, sizes: DataFrame, chunk: int) -> DataFrame:
+    """For hosts of several chunks the places of prefixes that many pages have in their articles: rows of _COVERED."""
+    dealt = pages.repartitionByRange("host", "stream").sortWithinPartitions("host", "stream", "variant")
+    named = map_batches(dealt, _by_chunk(_candidates, chunk), "host bigint, prefix bigint, pages bigint")
+    # Where WIDE of all pages have a prefix, chunks that name it have this share of the pages. So at most 1 / share times as many prefixes
+    # are left as the pages of a chunk can have in common: some times the length of a page, whatever the number of chunks.
+    share = WIDE / 2 / (1 - WIDE / 2)
+    likely = (
+        named.groupBy("host", "prefix")
+        .agg(F.sum("pages").alias("pages"))
+        .join(sizes, "host")
+        .filter(F.col("pages") >= share * F.col("total"))
+        .groupBy("host")
+        .agg(F.collect_list("prefix").alias("wanted"))
     )
-    parts = found.filter("host IS NOT NULL")
-    total = materialise(
-        known.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("total")), "host-pages"
+    likely = materialise(likely, "likely-prefixes")
+    having = _found(lambda prefix, inside, named, known: [np.unique(prefix[inside & known])], "prefixes array", "wanted")
+    schema = f"{_KEY}, prefixes array<bigint>"
+    counted = (
+        map_batches(pages.join(likely, "host"), having, schema)
+        .select("host", "stream", F.explode("prefixes").alias("prefix"))
+        .groupBy("host", "prefix")
+        .agg(F.countDistinct("stream").alias("pages"))
     )
-    count = F.col("inner") + F.size("edges")
-    shared = materialise(
-        parts.groupBy("host", "prefix")
-        .agg(
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-            F.sum("n").alias("inner"),
-            F.array_distinct(F.flatten(F.collect_set("edges"))).alias("edges"),
-        )
-        .filter((F.col("low") < F.col("high")) | (count >= MANY))
-        .join(total, "host")
-        .select(
-            "host",
-            "prefix",
-            (F.col("low") < F.col("high")).alias("twice"),
-            ((count >= MANY) & (count >= WIDE * F.col("total"))).cast("int").alias("wide"),
-        )
-        .filter("twice OR wide = 1"),
-        "shared-prefixes",
+    wide = (
+        counted.join(sizes, "host")
+        .filter((F.col("pages") >= MANY) & (F.col("pages") >= WIDE * F.col("total")))
+        .groupBy("host")
+        .agg(F.collect_list("prefix").alias("wanted"))
     )
-    merged = (
-        parts.select("host", "prefix", "places")
-        .join(shared, ["host", "prefix"])
-        .select(F.explode("places").alias("p"), "twice", "wide")
-        .filter("wide = 1 OR NOT p.named")
-        .groupBy("p.h1", "p.h2")
-        .agg(F.sort_array(F.collect_set(F.expr("2 * p.at + wide"))).alias("covered"))
+    wide = materialise(wide, "wide-prefixes")
+    covering = _found(lambda prefix, inside, named, known: [2 * np.flatnonzero(inside & known) + 1], "covered array", "wanted")
+    return map_batches(pages.join(wide, "host"), covering, f"{_KEY}, covered array<bigint>")
+
+
+def _twice_on_many_chunks(pages: DataFrame) -> DataFrame:
+    """For hosts of several chunks the places, on pages without an article, of prefixes that stand outside of articles on two pages."""
+    nameless = pages.filter(F.size("ends") == 1)
+    some = materialise(nameless.select("host").distinct(), "nameless-hosts")
+
+    def beside(prefix, inside, named, known):
+        return [np.unique(prefix[~inside] if named else prefix)]
+
+    outside = map_batches(pages.join(some, "host", "left_semi"), _found(beside, "prefixes array"), f"{_KEY}, prefixes array<bigint>")
+    shared = (
+        outside.select("host", "stream", F.explode("prefixes").alias("prefix"))
+        .groupBy("host", "prefix")
+        .agg(F.min("stream").alias("low"), F.max("stream").alias("high"))
+        .filter("low < high")
+        .select("host", "prefix")
     )
-    return found.filter("host IS NULL").select("h1", "h2", "covered").unionByName(merged)
+    shared = materialise(shared, "shared-prefixes")
+    placed = map_batches(
+        nameless,
+        _found(lambda prefix, inside, named, known: [prefix, np.arange(len(prefix))], "prefixes array, places array"),
+        f"{_KEY}, prefixes array<bigint>, places array<bigint>",
+    )
+    each = placed.select("host", "stream", "variant", F.explode(F.arrays_zip("prefixes", "places")).alias("x"))
+    found = each.select("host", "stream", "variant", F.col("x.prefixes").alias("prefix"), "x.places").join(shared, ["host", "prefix"])
+    return found.groupBy("host", "stream", "variant").agg(F.collect_list(2 * F.col("places")).alias("covered"))
 
 
-def _unique_runs(found: list[tuple[int, str]], covered: list[int]) -> tuple[str, bool]:
-    """The article's blocks, or else the open ones, without their covered tokens, and whether there is an article."""
+def repeated(
+    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", chunk: int = CHUNK
+) -> DataFrame:
+    """For each page with boilerplate: ``h1``, ``h2`` (hashes of key, url and html) and ``covered``, the sorted places
+    in its stream where such a substring of LENGTH tokens begins, times two, plus one if many pages of the host have it in
+    their articles. On a page with an article only such places inside of it are named.
+
+    Pages of equal streams are one page here, so that copies do not make each other boilerplate, and copies in any number
+    are decided once.
+    """
+    streams = materialise(_streams(_keyed(pages, key, url, html)), "streams")
+    known = streams.filter(F.col("size") >= LENGTH)
+    texts = streams.filter("tokens IS NOT NULL").select("host", "stream", "variant", "tokens", "ends")
+    sizes = (
+        known.groupBy("host", "stream")
+        .agg(F.first("size").alias("size"))
+        .groupBy("host")
+        .agg(F.count(F.lit(1)).alias("total"), F.sum("size").alias("size"))
+    )
+    large = materialise(sizes.filter(F.col("size") > chunk), "large-hosts")
+    order = ["host", "stream", "variant"]
+    dealt = texts.join(large, "host", "left_anti").repartition("host").sortWithinPartitions(*order)
+    found = map_batches(dealt, _by_chunk(_covered, None), _COVERED)
+    if not large.isEmpty():
+        parts = texts.join(large, "host", "left_semi")
+        both = _wide_on_many_chunks(parts, large, chunk).unionByName(_twice_on_many_chunks(parts))
+        merged = both.groupBy("host", "stream", "variant").agg(F.flatten(F.collect_list("covered")).alias("c"))
+        # A place that is both counts once, as wide.
+        lesser = F.transform(F.filter("c", lambda x: x % 2 == 1), lambda x: x - 1)
+        covered = F.sort_array(F.array_except("c", lesser)).cast("array<int>")
+        found = found.unionByName(merged.select("host", "stream", "variant", covered.alias("covered")))
+    # Stored, so that pages of which there are many copies can be split.
+    found = materialise(found, "covered")
+    each = known.select("h1", "h2", "host", "stream", "variant").distinct()
+    return each.join(found, ["host", "stream", "variant"]).select("h1", "h2", "covered")
+
+
+def _unique_runs(page: str, covered: list[int]) -> tuple[str, bool]:
+    """The article's blocks, or else the open ones, without what is boilerplate, and whether there is an article."""
+    headings: set[int] = set()
+    found = blocks(page, headings)
     named = any(kind == ARTICLE for kind, _ in found)
     wanted = ARTICLE if named else OPEN
+    every = "\n".join(text for kind, text in found if kind == wanted)
     if not covered:
-        return "\n".join(text for kind, text in found if kind == wanted), named
-    gone = {i for x in covered if x % 2 or not named for i in range(x >> 1, (x >> 1) + LENGTH)}
+        return every, named
+    gone = {i for x in covered for i in range(x >> 1, (x >> 1) + LENGTH)}
     out, place, size, lost = [], 0, 0, 0
-    for kind, text in found:
+    for number, (kind, text) in enumerate(found):
         tokens = re.findall(r"[^\x20\x09-\x0D]+", text)
         if kind == wanted:
             left = [t for i, t in enumerate(tokens, place) if i not in gone]
+            if named and (left or number in headings):
+                left = tokens
             size, lost = size + len(tokens), lost + len(tokens) - len(left)
             if left:
                 out.append(" ".join(left))
         place += len(tokens)
     if named and 2 * lost >= size:
         # Another copy of the article.
-        return _unique_runs(found, [])
+        return every, named
     return "\n".join(out), named
 
 
@@ -455,7 +538,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         for batch in batches:
             for part in slices(batch, "html"):
                 found = [
-                    _unique_runs(blocks(x or ""), c or [])
+                    _unique_runs(x or "", c or [])
                     for x, c in zip(*(part.column(n).to_pylist() for n in ("html", "covered")), strict=True)
                 ]
                 texts, named = pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.bool_())
