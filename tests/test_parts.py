@@ -188,6 +188,24 @@ def test_keys_are_exact_and_their_gaps_bounded(spark, base):
         assert rows(kpis.KPIS[name](gold.star())) == rows(kpis.KPIS[name](hashed.star()))
 
 
+def test_tidy_removes_what_no_manifest_names(spark, base):
+    gold = PartedGold(spark, base, parts=4, split_rows=40, key_block=16)
+    sizes = []
+    for k in range(5):
+        gold.refresh(patients(spark, 100 * k, 100 * k + (100 if k < 2 else 3), f"2024-01-0{k + 1} 00:00:00"), f"2024-01-0{k + 1} 00:00:00")
+        gold.tidy(1)
+        sizes.append(len(files(base)))
+        before = tables(gold)
+        # What a dead run left goes too.
+        spark.range(1).write.parquet(f"{base}/latest/r=99/part=5")
+        assert gold.tidy(1) == 1 and tables(gold) == before
+    assert max(sizes[2:]) <= min(sizes[1:3]) + 4
+    held = gold.state()
+    gold.refresh(changes(spark), LATER)
+    gold.tidy(2)
+    assert gold.fact(held).count() > 0 and gold.manifest.version() == 6
+
+
 def test_blocks_of_keys():
     part, given, free = PartState(4).taking(10, 1, 8)
     assert given == (1, 0, 1) and (part.next_key, part.last_key, free) == (11, 16, 17)

@@ -25,6 +25,7 @@ from wardstream.operators.kpis import Star
 from wardstream.operators.latest import latest_by_key, latest_encounter
 from wardstream.session import materialise
 from wardstream.sources.snapshot import _COMPLETE, SnapshotTable
+from wardstream.sources.tables import matching_paths, remove_path
 
 #: Stored beside the columns of a table: the hash of the row's patient.
 HASH, PART = "patient_hash", "part"
@@ -93,6 +94,12 @@ class State:
         return [whole, *((p.part, p.refresh, p.versions, p.next_key, p.last_key, None) for p in self.parts)]
 
 
+def _state(rows: list) -> State:
+    whole = next(r for r in rows if r.part == 0)
+    parts = [PartState(r.part, r.refresh, r.versions, r.next_key, r.last_key) for r in rows if r.part]
+    return State(tuple(sorted(parts, key=lambda p: p.part)), whole.refresh, whole.next_key, whole.as_of)
+
+
 @dataclass
 class PartedGold:
     """The gold tables under one folder. One writer at a time.
@@ -120,10 +127,7 @@ class PartedGold:
         if not self.manifest.exists():
             first = PartState(1).split((max(self.parts, 1) - 1).bit_length())
             return State(tuple(first))
-        rows = self.manifest.read().collect()  # as many rows as parts
-        whole = next(r for r in rows if r.part == 0)
-        parts = [PartState(r.part, r.refresh, r.versions, r.next_key, r.last_key) for r in rows if r.part]
-        return State(tuple(sorted(parts, key=lambda p: p.part)), whole.refresh, whole.next_key, whole.as_of)
+        return _state(self.manifest.read().collect())  # as many rows as parts
 
     def folder(self, name: str, refresh: int) -> str:
         return f"{self.path}/{name}/r={refresh}"
@@ -167,6 +171,32 @@ class PartedGold:
         state = self.state()
         return Star(self.fact(state), self.patients(state), self.departments(state))
 
+    def _state_of(self, version: int) -> State:
+        rows = self.spark.read.schema(MANIFEST).parquet(self.manifest.folder(version)).collect()
+        return _state(rows)
+
+    def tidy(self, keep: int = 2) -> int:
+        """Remove what only manifests older than the last ``keep`` name, and what runs that died have left; returns how many folders.
+
+        Readers who began before those refreshes lose their files, so keep as many as refresh while a report runs. Not while a refresh runs.
+        """
+        last = self.manifest.version()
+        held = matching_paths(self.spark, f"{self.manifest.path}/v=*")
+        versions = sorted(int(p.rsplit("=", 1)[1]) for p in held)
+        kept = [v for v in versions if last - keep < v <= last]
+        states = [self._state_of(v) for v in kept]
+        live = {f"r={p.refresh}/{PART}={p.part}" for s in states for p in s.parts}
+        live |= {f"r={s.departments}" for s in states}
+        gone = [p for p in held if int(p.rsplit("=", 1)[1]) not in kept]
+        for name in ("latest", "dim_patient", "fact_patient_flow"):
+            found = matching_paths(self.spark, f"{self.path}/{name}/r=*/{PART}=*")
+            gone += [p for p in found if "/".join(p.rsplit("/", 2)[1:]) not in live]
+        found = matching_paths(self.spark, f"{self.path}/dim_department/r=*")
+        gone += [p for p in found if p.rsplit("/", 1)[1] not in live]
+        for p in gone:
+            remove_path(self.spark, p)
+        return len(gone)
+
     # Writing.
 
     def refresh(self, silver: DataFrame, as_of: datetime | str | None = None) -> list[int]:
