@@ -9,13 +9,17 @@ The template marks a turn as ``<|turn|>role<|text|>text<|end|>``. Strings in rol
 for control are escaped by a backslash after their (last) opening bracket, and one more where there are some
 already, so that unescaping gives every text back.
 
-Only DataFrame functions are used. Work is per conversation: its turns are gathered in one row, as its texts are.
+Only DataFrame functions are used. Windows are chosen on the sums alone; of a conversation only these numbers are gathered. The turns are
+then joined to their windows by place, and the texts of a window, which the budget bounds, are gathered: work grows with the
+turns, however many a conversation has.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wardstream.session import materialise
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Control strings after their last opening character; fixed values of common templates. None holds another opening
 #: character, so what is put in after one never changes another.
@@ -64,34 +68,53 @@ def windows(
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    # Three markers a turn, so the sums rise and their order is the order of the turns.
+    # Three markers a turn, so the sums rise.
     tokens = n_tokens(F.col("role")) + n_tokens(F.col("text")) + MARKS
     in_order = Window.partitionBy("conv").orderBy("turn", "role", "text")
-    summed = (
-        said.withColumn("tokens", tokens)
-        .withColumn("upto", F.sum("tokens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .select(
-            "conv",
-            F.struct(
-                "upto",
-                F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)).alias("head"),
-                escape(F.col("text")).alias("body"),
-                (F.col("role") == "assistant").alias("target"),
-                (F.col("role") == "system").alias("system"),
-            ).alias("t"),
-        )
-        .groupBy("conv")
-        .agg(F.sort_array(F.collect_list("t")).alias("t"))
-        .withColumn("lead", F.get("t", F.lit(0))["system"].cast("int"))
-        .withColumn("upto", F.concat(F.array(F.lit(0).cast("long")), F.col("t.upto")))
+    placed = said.withColumn("tokens", tokens).select(
+        "conv",
+        (F.row_number().over(in_order) - 1).alias("place"),
+        F.sum("tokens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        (F.col("role") == "system").alias("system"),
+        F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)).alias("head"),
+        escape(F.col("text")).alias("body"),
+        (F.col("role") == "assistant").alias("target"),
     )
-    return _cut(summed, budget, history).select(
+    # Stored, since the sums and the texts are read apart.
+    placed = materialise(placed, "turns")
+    spans = _spans(placed.select("conv", "place", "upto", "system"), budget, history)
+    own = F.when(
+        F.col("s.first") < F.col("s.upto"), F.sequence(F.col("s.first"), F.col("s.upto") - 1)
+    ).otherwise(F.array().cast("array<int>"))
+    members = spans.select(
+        "conv",
+        "window",
+        "n_tokens",
+        "n_masked",
+        F.explode(F.concat(F.slice(F.array(F.lit(0)), 1, F.col("lead")), own)).alias("place"),
+    )
+    # With a null conversation too; spread by place, so that a long conversation is many groups.
+    by_place = (F.col("m.conv").eqNullSafe(F.col("p.conv"))) & (F.col("m.place") == F.col("p.place"))
+    turn_of = F.struct("p.place", "head", "body", "target").alias("t")
+    joined = members.alias("m").join(placed.drop("upto", "system").alias("p"), by_place)
+    gathered = (
+        joined.select("m.conv", "window", "n_tokens", "n_masked", turn_of)
+        .groupBy("conv", "window", "n_tokens", "n_masked")
+        .agg(F.sort_array(F.collect_list("t")).alias("chosen"))
+    )
+    return _written(gathered).select(
         F.col("conv").alias(conv), "window", "formatted", "n_tokens", "n_masked", "loss"
     )
 
 
-def _cut(summed: DataFrame, budget: int, history: int) -> DataFrame:
-    """Choose the spans by the prefix sums ``upto`` and write each window out."""
+def _spans(sums: DataFrame, budget: int, history: int) -> DataFrame:
+    """The windows of each conversation, chosen by the prefix sums: ``s`` (first turn, first new one, end), ``lead`` (1 after
+    a leading system turn), tokens, and turns repeated from before."""
+    numbers = (
+        sums.groupBy("conv")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "upto"))).alias("t"), F.max(F.col("system") & (F.col("place") == 0)).alias("lead"))
+        .select("conv", F.col("lead").cast("int").alias("lead"), F.concat(F.array(F.lit(0).cast("long")), F.col("t.upto")).alias("upto"))
+    )
 
     def before(i: Column) -> Column:
         return F.get("upto", i)
@@ -99,89 +122,73 @@ def _cut(summed: DataFrame, budget: int, history: int) -> DataFrame:
     def near(i: Column) -> Column:
         """Where a window opened at turn i takes up its history: the first turn that is near enough."""
         reach = history // MARKS + 1  # turns that could fit at all
-        sums = F.slice("upto", F.greatest(i + 1 - reach, F.lit(1)), reach)
-        fit = F.size(F.filter(sums, lambda s: (s < before(i)) & (before(i) - s <= history)))
+        near_sums = F.slice("upto", F.greatest(i + 1 - reach, F.lit(1)), reach)
+        fit = F.size(F.filter(near_sums, lambda s: (s < before(i)) & (before(i) - s <= history)))
         return F.greatest(F.col("lead"), i - fit)
 
     system = before(F.col("lead"))
 
-    def grow(spans: Column, i: Column) -> Column:
-        """Add turn i to the last window, or open one for it."""
-        last = F.get(spans, F.size(spans) - 1)
-        cost = system + before(i + 1) - before(last["first"])
-        fits = (F.size(spans) > 0) & (cost <= budget)
+    def span(first: Column, fresh: Column, upto: Column) -> Column:
+        return F.struct(first.cast("int").alias("first"), fresh.cast("int").alias("fresh"), upto.cast("int").alias("upto"))
+
+    def grow(acc: Column, i: Column) -> Column:
+        """Add turn i to the open window, or close it and open one. The list of windows is touched only then."""
+        last = acc["last"]
+        some = last["upto"] > 0
+        fits = some & (system + before(i + 1) - before(last["first"]) <= budget)
         # History gives way if even one new turn does not fit beside it.
-        start = F.when(
-            (F.size(spans) > 0) & (system + before(i + 1) - before(near(i)) <= budget), near(i)
-        ).otherwise(i)
-
-        def span(first: Column, fresh: Column) -> Column:
-            return F.struct(
-                first.cast("int").alias("first"),
-                fresh.cast("int").alias("fresh"),
-                (i + 1).cast("int").alias("upto"),
-            )
-
-        return F.when(
-            fits,
-            F.concat(
-                F.slice(spans, 1, F.greatest(F.size(spans) - 1, F.lit(0))),
-                F.array(span(last["first"], last["fresh"])),
-            ),
-        ).otherwise(F.concat(spans, F.array(span(start, i))))
-
-    count = F.size("t")
+        start = F.when(some & (system + before(i + 1) - before(near(i)) <= budget), near(i)).otherwise(i)
+        return F.struct(
+            F.when(fits, span(last["first"], last["fresh"], i + 1)).otherwise(span(start, i, i + 1)).alias("last"),
+            F.when(some & ~fits, F.concat(acc["done"], F.array(last))).otherwise(acc["done"]).alias("done"),
+        )
+
+    count = F.size("upto") - 1
     new = F.when(count > F.col("lead"), F.sequence(F.col("lead"), count - 1)).otherwise(
         F.array().cast("array<int>")
     )
-    spans = F.aggregate(new, F.array().cast(f"array<{WINDOW}>"), grow)
+    zero = F.lit(0)
+    start = F.struct(span(zero, zero, zero).alias("last"), F.array().cast(f"array<{WINDOW}>").alias("done"))
     # A conversation of a system turn alone is one window of it.
-    alone = F.array(F.struct(F.col("lead").alias("first"), F.col("lead").alias("fresh"), count.alias("upto")))
-    spans = F.when(F.size(spans) == 0, alone.cast(f"array<{WINDOW}>")).otherwise(spans)
-    rows = summed.withColumn("spans", spans).select(
-        "conv", "t", "upto", "lead", F.posexplode("spans").alias("window", "s")
+    alone = F.array(span(F.col("lead"), F.col("lead"), count))
+    spans = F.aggregate(
+        new, start, grow, lambda acc: F.when(acc["last"]["upto"] > 0, F.concat(acc["done"], F.array(acc["last"]))).otherwise(alone)
     )
-    length = F.col("s.upto") - F.col("s.first")
-    chosen = F.concat(F.slice("t", 1, F.col("lead")), F.slice("t", F.col("s.first") + 1, length))
-    n_old = F.col("s.fresh") - F.col("s.first")
-    rows = rows.withColumn("chosen", chosen).withColumn(
-        "n_masked", n_old + F.when(F.col("window") > 0, F.col("lead")).otherwise(0)
+    rows = numbers.withColumn("spans", spans)
+    # The sums of each window, so that the list of all is not copied beside every one.
+    of_window = F.transform(
+        "spans", lambda s: F.struct(s.alias("s"), (system + before(s["upto"]) - before(s["first"])).alias("n_tokens"))
     )
+    rows = rows.select("conv", "lead", F.posexplode(of_window).alias("window", "w"))
+    masked = F.col("w.s.fresh") - F.col("w.s.first") + F.when(F.col("window") > 0, F.col("lead")).otherwise(0)
+    return rows.select("conv", "lead", "window", "w.s", "w.n_tokens", masked.alias("n_masked"))
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """Each window's text, and what of it is trained: the texts of assistant turns after the repeated ones."""
     state = F.struct(
         F.lit(0).cast("long").alias("at"),
-        F.array().cast("array<struct<start:bigint,length:bigint,fresh:boolean>>").alias("found"),
+        F.array().cast("array<struct<start:bigint,length:bigint,target:boolean>>").alias("found"),
     )
 
     def place(acc: Column, t: Column) -> Column:
         start = acc["at"] + F.length(t["head"])
         size = F.length(t["body"]).cast("long")
-        one = F.struct(start.alias("start"), size.alias("length"), t["target"].alias("fresh"))
+        one = F.struct(start.alias("start"), size.alias("length"), t["target"].alias("target"))
         return F.struct(
             (start + size + len(END)).alias("at"),
             F.concat(acc["found"], F.array(one)).alias("found"),
         )
 
     places = F.aggregate("chosen", state, place, lambda acc: acc["found"])
-    own = F.filter(
-        F.transform(
-            F.col("places"),
-            lambda p, i: F.struct(
-                p["start"].alias("start"),
-                p["length"].alias("length"),
-                (p["fresh"] & (i >= F.col("lead") + n_old)).alias("fresh"),
-            ),
-        ),
-        lambda p: p["fresh"],
-    )
+    own = F.filter("places", lambda p, i: p["target"] & (i >= F.col("n_masked")))
     return rows.withColumn("places", places).select(
         "conv",
         "window",
         F.concat_ws(
             "", F.transform("chosen", lambda t: F.concat(t["head"], t["body"], F.lit(END)))
         ).alias("formatted"),
-        (
-            F.get("upto", "lead") + F.get("upto", "s.upto") - F.get("upto", "s.first")
-        ).alias("n_tokens"),
+        "n_tokens",
         "n_masked",
         F.transform(
             own, lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"))

@@ -37,6 +37,10 @@ ORDINARY = r"[A-Za-z0-9_-]{4,}"
 #: What every run has that a fixed pattern matches in part (the name of an assignment may end a run).
 _HOLDS = f"{_NAME}|{ACCESS}|{HEX}"
 SPANS = "array<struct<start:int,rank:int,end:int>>"
+RUNS = "array<struct<start:int,rank:int,end:int,secret:boolean,run:string>>"
+NEAR = f"array<struct<start:int,rank:int,end:int,secret:boolean,run:string,near:{SPANS}>>"
+#: Parts of a text whose places are added up at once; characters of the tiles in which spans are looked up; tiles in a wider one.
+BLOCK, TILE, FAN = 256, 512, 32
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Symbols of the models: 0 for the beginning and any other character.
@@ -47,6 +51,46 @@ SHORT_MARGIN = 1.0
 SMOOTHING = 0.5
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _placed(parts: Column, one, kind: str) -> Column:
+    """For each of ``parts`` (a gap of characters before a match, and the ``n`` of the match, null behind the last) what ``one`` makes of it and
+    its place: an array of ``kind``, none or one.
+
+    Lists that grow by one are copied each time, so places are added up within blocks of parts, and then over the blocks.
+    """
+    none = F.array().cast(kind)
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + x["gap"]
+        out = F.when(x["n"].isNotNull(), F.concat(acc["out"], one(x, begin))).otherwise(acc["out"])
+        return F.struct((begin + F.coalesce(x["n"], F.lit(0))).alias("at"), out.alias("out"))
+
+    def block(some: Column) -> Column:
+        return F.aggregate(some, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
+
+    def moved(s: Column, by: Column) -> Column:
+        names = [f.split(":")[0] for f in kind.removeprefix("array<struct<").removesuffix(">>").split(",")]
+        return F.struct(*((s[n] + by if n in ("start", "end") else s[n]).alias(n) for n in names))
+
+    def join(acc: Column, x: Column) -> Column:
+        some = F.transform(x["out"], lambda s: moved(s, acc["at"]))
+        return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(some)).alias("out"))
+
+    blocks = _let(
+        parts,
+        lambda p: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")),
+            lambda i: block(F.slice(p, i * BLOCK + 1, BLOCK)),
+        ),
+    )
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.flatten(F.aggregate(blocks, start, join, lambda acc: acc["out"]))
+
+
 def _places(text: Column, pattern: str, rank: int, value: int | None = None) -> Column:
     """The leftmost, non-overlapping matches of a pattern; ``value``: a group of LEAST characters or more."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -58,22 +102,12 @@ def _places(text: Column, pattern: str, rank: int, value: int | None = None) ->
             F.length(gap).alias("gap"), F.length(x["m"]).alias("n"), F.length(x["v"]).alias("v")
         ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin, end = acc["at"] + x["gap"], acc["at"] + x["gap"] + x["n"]
-        one = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        keep = F.lit(True) if value is None else x["v"] >= LEAST
-        # The piece after the last match has no match of its own.
-        return F.when(
-            x["n"].isNotNull(),
-            F.struct(
-                end.alias("at"),
-                F.when(keep, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"),
-            ),
-        ).otherwise(acc)
+    def one(x: Column, begin: Column) -> Column:
+        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), (begin + x["n"]).alias("end"))
+        return F.array(span) if value is None else F.when(x["v"] >= LEAST, F.array(span)).otherwise(F.array().cast(SPANS))
 
-    spans = F.aggregate(parts, start, step, lambda acc: acc["out"])
+    spans = _placed(parts, one, SPANS)
     return F.when(F.regexp_like(text, F.lit(pattern)), spans).otherwise(F.array().cast(SPANS))
 
 
@@ -88,12 +122,16 @@ def _symbol(c: Column) -> Column:
     return F.instr(F.lit(ALPHABET), c)
 
 
+def _symbols(token: Column) -> Column:
+    """The symbol of each character."""
+    return F.transform(F.split(token, ""), _symbol)
+
+
 def _pairs(token: Column) -> Column:
     """Each character's cell in the model: the symbol before times SYMBOLS, plus its own."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(token)),
-        lambda i: F.when(i == 1, 0).otherwise(_symbol(F.substring(token, i - 1, F.lit(1)))) * SYMBOLS
-        + _symbol(F.substring(token, i, F.lit(1))),
+    return _let(
+        _symbols(token),
+        lambda s: F.zip_with(F.concat(F.array(F.lit(0)), F.slice(s, 1, F.size(s) - 1)), s, lambda x, y: x * SYMBOLS + y),
     )
 
 
@@ -141,10 +179,21 @@ def _value(match: Column) -> Column:
     return F.regexp_replace(match, rf"""^({_NAME})["']?\x20*[:=]\x20*["']?""", "")
 
 
+def _ratio(symbols: Column, model: list[float]) -> Column:
+    """The log-likelihood ratio of random against ordinary of strings of symbols, a -1 before each but the first."""
+    table = F.from_json(F.lit(str(model)), "array<double>")  # folded into one literal
+    start = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
+
+    def step(acc: Column, x: Column) -> Column:
+        more = F.when(x < 0, F.lit(0.0)).otherwise(F.get(table, acc["before"] * SYMBOLS + x))
+        return F.struct(F.greatest(x, F.lit(0)).alias("before"), (acc["sum"] + more).alias("sum"))
+
+    return F.aggregate(symbols, start, step, lambda acc: acc["sum"])
+
+
 def score(token: Column, model: list[float]) -> Column:
     """The log-likelihood ratio of random against ordinary."""
-    table = F.from_json(F.lit(str(model)), "array<double>")  # folded into one literal
-    return F.aggregate(_pairs(token), F.lit(0.0), lambda acc, cell: acc + F.get(table, cell))
+    return _ratio(_symbols(token), model)
 
 
 def _enough(ratio: Column, n: Column) -> Column:
@@ -152,36 +201,76 @@ def _enough(ratio: Column, n: Column) -> Column:
     return ratio >= F.when(n >= LONG, F.lit(MARGIN)).otherwise(F.greatest(F.lit(MARGIN), n * F.lit(SHORT_MARGIN)))
 
 
-def _rest(text: Column, s: Column, base: Column) -> Column:
-    """The parts of a run that no span of ``base`` covers."""
-    kept = F.transform(
-        F.sequence(s["start"], s["end"] - 1),
-        lambda i: F.when(F.exists(base, lambda b: (b["start"] <= i) & (i < b["end"])), F.lit(" ")).otherwise(
-            F.substring(text, i + 1, F.lit(1))
-        ),
-    )
-    return F.filter(F.split(F.array_join(kept, ""), " "), lambda x: x != "")
-
-
 def _scored(text: Column, model: list[float]) -> Column:
-    """Places of the runs that are secrets, or that may hold a match of a fixed pattern or the name of one."""
+    """Places of the runs that are secrets, or that may hold a match of a fixed pattern or the name of one; with the text of the latter."""
     parts = F.zip_with(
         F.split(text, CANDIDATE, -1),
         F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
         lambda gap, x: F.struct(
-            F.length(gap).alias("gap"), F.length(x).alias("n"), _enough(score(x, model), F.length(x)).alias("secret"), F.regexp_like(x, F.lit(_HOLDS)).alias("holds")
+            F.length(gap).alias("gap"),
+            F.length(x).alias("n"),
+            _enough(score(x, model), F.length(x)).alias("secret"),
+            F.regexp_like(x, F.lit(_HOLDS)).alias("holds"),
+            x.alias("run"),
         ),
     )
-    kind = "array<struct<start:int,rank:int,end:int,secret:boolean>>"
+    none = F.array().cast(RUNS)
 
-    def step(acc: Column, x: Column) -> Column:
-        begin, end = acc["at"] + x["gap"], acc["at"] + x["gap"] + x["n"]
-        one = F.struct(begin.alias("start"), F.lit(3).alias("rank"), end.alias("end"), x["secret"].alias("secret"))
-        out = F.when(x["secret"] | x["holds"], F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
-        return F.when(x["n"].isNotNull(), F.struct(end.alias("at"), out.alias("out"))).otherwise(acc)
+    def one(x: Column, begin: Column) -> Column:
+        span = F.struct(
+            begin.alias("start"), F.lit(3).alias("rank"), (begin + x["n"]).alias("end"), x["secret"].alias("secret"), x["run"].alias("run")
+        )
+        return F.when(x["secret"] | x["holds"], F.array(span)).otherwise(none)
+
+    return _placed(parts, one, RUNS)
+
+
+def _tiles(base: Column, n: Column) -> Column:
+    """For each TILE of ``n`` characters the spans that begin in it, and those before that reach into it, one of a kind at the
+    most. Found in wide tiles first, so that a text of many spans is not gone through for each tile."""
+
+    def tiles(spans: Column, first: Column, count: Column, size: int) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), count - 1),
+            lambda t: F.struct(
+                F.filter(spans, lambda s: F.floor(s["start"] / size) == first + t).alias("begin"),
+                F.filter(spans, lambda s: (s["start"] < (first + t) * size) & (s["end"] > (first + t) * size)).alias("reach"),
+            ),
+        )
+
+    found = tiles(base, F.lit(0), F.floor(n / (TILE * FAN**2)).cast("int") + 1, TILE * FAN**2)
+    for size in (TILE * FAN, TILE):
+        found = F.flatten(_narrower(found, tiles, size))
+    return found
+
+
+def _narrower(wide: Column, tiles, size: int) -> Column:
+    return _let(
+        wide, lambda w: F.transform(w, lambda x, i: tiles(F.concat(x["reach"], x["begin"]), i * FAN, F.lit(FAN), size))
+    )
+
+
+def _near(tiles: Column, s: Column) -> Column:
+    """The spans that overlap ``s``, by start and kind."""
+    first, last = F.floor(s["start"] / TILE).cast("int"), F.floor((s["end"] - 1) / TILE).cast("int")
+    begin = F.flatten(F.transform(F.slice(tiles, first + 1, last - first + 1), lambda t: t["begin"]))
+    some = F.concat(F.get(tiles, first)["reach"], begin)
+    return F.sort_array(F.filter(some, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+
+
+def _uncovered(s: Column) -> Column:
+    """The parts of a run that no span near it covers."""
+    kind = "array<struct<at:int,n:int>>"
+    start = F.struct(s["start"].alias("at"), F.array().cast(kind).alias("out"))
+
+    def gap(at: Column, end: Column) -> Column:
+        return F.when(at < end, F.array(F.struct(at.alias("at"), (end - at).alias("n")))).otherwise(F.array().cast(kind))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    def step(acc: Column, b: Column) -> Column:
+        out = F.concat(acc["out"], gap(acc["at"], F.least(b["start"], s["end"])))
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+
+    return F.aggregate(s["near"], start, step, lambda acc: F.concat(acc["out"], gap(acc["at"], s["end"])))
 
 
 def scan(
@@ -200,31 +289,51 @@ def scan(
     found = rows.withColumn(whole, F.coalesce(F.col(text).cast("string"), F.lit("")))
     # Few runs are secrets, so each one is scored before places are added up. Where a fixed pattern matches too, its run is looked at below.
     found = found.withColumn("base", base_spans(F.col(whole))).withColumn(token, _scored(F.col(whole), model))
-    own = F.filter(
-        token, lambda s: s["secret"] & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    )
+    many = F.size("base") > 0
+    tiles = F.when(many, _tiles(F.col("base"), F.length(whole)))
+    none = F.array().cast(SPANS)
+
+    def with_near(s: Column, t: Column) -> Column:
+        return F.struct(*(s[n].alias(n) for n in ("start", "rank", "end", "secret", "run")), F.when(t.isNotNull(), _near(t, s)).otherwise(none).alias("near"))
+
+    # Tiles are made only where there is a run to look at.
+    found = found.withColumn(
+        token, F.when(F.size(token) > 0, _let(tiles, lambda t: F.transform(token, lambda s: with_near(s, t))))
+    ).withColumn(token, F.coalesce(token, F.array().cast(NEAR)))
+    own = F.filter(token, lambda s: s["secret"] & (F.size(s["near"]) == 0))
 
     def cut(s: Column) -> Column:
         """The run up to the first assignment in it."""
-        named = F.filter("base", lambda b: (b["rank"] == 0) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        end = F.least(s["end"], F.coalesce(F.array_min(F.transform(named, lambda b: b["start"])), s["end"]))
-        return F.struct(s["start"].alias("start"), s["rank"].alias("rank"), end.alias("end"))
-
-    touched = F.filter(token, lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        named = F.transform(F.filter(s["near"], lambda b: b["rank"] == 0), lambda b: b["start"])
+        end = F.least(s["end"], F.coalesce(F.array_min(named), s["end"]))
+        return F.struct(s["start"].alias("start"), s["rank"].alias("rank"), end.alias("end"), s["run"].alias("run"), s["near"].alias("near"))
 
     def has_more(s: Column) -> Column:
-        rest = _rest(F.col(whole), s, F.col("base"))
-        ratio = F.aggregate(rest, F.lit(0.0), lambda acc, x: acc + score(x, model))
-        n = F.aggregate(rest, F.lit(0), lambda acc, x: acc + F.length(x))
-        return (n > 0) & _enough(ratio, n)
+        return _let(
+            F.struct(_uncovered(s).alias("gaps"), _symbols(s["run"]).alias("symbols")),
+            lambda x: _enough(
+                _ratio(
+                    F.flatten(
+                        F.transform(
+                            x["gaps"],
+                            lambda g: F.concat(F.array(F.lit(-1)), F.slice(x["symbols"], g["at"] - s["start"] + 1, g["n"])),
+                        )
+                    ),
+                    model,
+                ),
+                F.aggregate(x["gaps"], F.lit(0), lambda acc, g: acc + g["n"]),
+            )
+            & (F.size(x["gaps"]) > 0),
+        )
 
+    touched = F.filter(token, lambda s: F.size(s["near"]) > 0)
     pieces = F.filter(F.transform(touched, cut), lambda s: s["start"] < s["end"])
     more = F.filter(pieces, has_more)
 
     def plain(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
 
-    return found.withColumn("spans", F.sort_array(F.concat("base", plain(own), more))).drop(whole, token)
+    return found.withColumn("spans", F.sort_array(F.concat("base", plain(own), plain(more)))).drop(whole, token)
 
 
 def spelled(spans: Column) -> Column:
