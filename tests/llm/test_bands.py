@@ -1,0 +1,98 @@
+"""Bands fitted on one table and measured on another, measures by the tokenizers' own libraries, and sharding of odd tables."""
+
+import base64
+import math
+import re
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardstream.llm import fertility, sharding
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def labelled(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def test_bands_fitted_on_one_half_and_measured_on_the_other(spark):
+    docs, labels = labelled(spark, "sf0.1")
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
+    bands = fertility.fit_bands(docs.filter(half == 0), labels, least=20)
+    assert set(bands) == {"en", "de", "es", "fr"}
+    rows = fertility.measures(docs.filter(half == 1).join(labels, "doc_id")).filter(~fertility.base_failed())
+    found = rows.withColumn("kept", fertility.in_band(F.col("lang"), languages=bands))
+    share = {(r.quality, r.kept): r["count"] for r in found.groupBy("quality", "kept").count().collect()}
+    bad, clean = (sum(share.get((q, k), 0) for k in (True, False)) for q in (0, 1))
+    print(f"held out: {share.get((0, False), 0)} of {bad} bad rejected, {share.get((1, False), 0)} of {clean} clean")
+    assert share.get((1, False), 0) <= 0.01 * clean
+    assert share.get((0, False), 0) >= 0.85 * bad
+
+
+def test_bands_of_few_and_of_none(spark):
+    docs, labels = labelled(spark, "sf0.01")
+    assert fertility.fit_bands(docs, labels.filter("quality = 0")) == {}
+    assert fertility.fit_bands(docs.limit(0), labels) == {}
+    strict = fertility.fit_bands(docs, labels, lost=0.1, least=1)
+    whole = fertility.fit_bands(docs, labels, least=1)
+    assert set(strict) == set(whole)
+    assert all(strict[x].chars_per_token[0] >= whole[x].chars_per_token[0] for x in whole)
+    assert None not in fertility.fit_bands(docs.withColumn("lang", F.lit(None).cast("string")), labels, least=1)
+
+
+def test_measures_by_the_libraries(spark):
+    import sentencepiece
+    import tiktoken
+
+    folder = Path(fertility.VOCABULARIES)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, (folder / fertility.RANKS).read_bytes().splitlines())}
+    import public_tokenizers
+
+    bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pieces = sentencepiece.SentencePieceProcessor(model_file=str(folder / fertility.PIECES))
+    fallback = {i for i in range(pieces.vocab_size()) if pieces.is_byte(i)}
+    docs, _ = labelled(spark, "sf0.001")
+    odd = spark.createDataFrame([(-1, "日本語 のテキスト 😀😀 \x00 ok", None), (-2, None, "en"), (-3, "é", "fr")], "doc_id long, text string, lang string")
+    for r in fertility.measures(docs.select("doc_id", "text", "lang").unionByName(odd)).collect():
+        words = WORD.findall(r.text or "")
+        ids = [i for w in words for i in bpe.encode_ordinary(f" {w}")]
+        count = Counter(ids)
+        entropy = -sum(n / len(ids) * math.log2(n / len(ids)) for n in count.values())
+        fell = sum(p in fallback for w in words for p in pieces.encode(w))
+        size = sum(len(w.encode()) for w in words)
+        assert r.n_tokens == len(ids) and r.entropy == pytest.approx(entropy, abs=1e-9)
+        assert r.chars_per_token == pytest.approx(sum(map(len, words)) / len(ids) if ids else 0.0)
+        assert r.byte_share == pytest.approx(fell / size if size else 0.0)
+
+
+def shards(df, **kw):
+    got = sharding.interleave(df, "key", "source", **kw)
+    counts = {r.shard: (r["count"], r.low, r.high, r.n) for r in got.groupBy("shard").agg(F.count("*").alias("count"), F.min("slot").alias("low"), F.max("slot").alias("high"), F.countDistinct("slot").alias("n")).collect()}
+    for n, low, high, distinct in counts.values():
+        assert low == 0 and high == n - 1 and distinct == n
+    return got, [c[0] for c in counts.values()]
+
+
+def widest(df):
+    """The most rows in a partition of the last exchange."""
+    return max(df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first())
+
+
+def test_many_sources_of_one_row(spark):
+    df = spark.range(100_000).select(F.col("id").alias("key"), F.col("id").cast("string").alias("source"))
+    got, sizes = shards(df, n_shards=7)
+    assert sum(sizes) == 100_000 and max(sizes) - min(sizes) <= 1
+    # All have the fraction one half; they are spread all the same.
+    assert widest(got) < 60_000
+
+
+def test_one_key_for_all_rows(spark):
+    df = spark.range(50_000).select(F.lit(None).cast("long").alias("key"), F.lit("one").alias("source"), F.col("id").alias("shard_of"), F.lit(1).alias("_place"))
+    got, sizes = shards(df)
+    assert sum(sizes) == 50_000 and max(sizes) - min(sizes) <= 1 and got.columns == ["key", "source", "shard_of", "_place", "shard", "slot"]
+    same = spark.range(20_000).select(F.lit(1).alias("key"), F.lit("one").alias("source"))
+    assert max(shards(same)[1]) - min(shards(same)[1]) <= 1

@@ -1,0 +1,90 @@
+"""Packages read by ranges, of any size."""
+
+import json
+import os
+import struct
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardstream.llm import zip_warc as z
+from wardstream.session import scratch_dir
+
+
+def sparse_package(path, archive_size, records):
+    """A ZIP64 package whose archive is a hole but for ``records`` (offset, bytes)."""
+    index = "".join(
+        f"k {z.DATE} {json.dumps({'filename': 'data.warc.gz', 'offset': str(at), 'length': str(len(raw)), 'digest': 'x'})}\n" for at, raw in records
+    ).encode()
+    directory, at = bytearray(), 0
+    with open(path, "wb") as out:
+        for name, size, data in ((z.ARCHIVE, archive_size, records), (z.INDEX, len(index), [(0, index)])):
+            raw = name.encode()
+            extra = struct.pack("<HHQQ", 1, 16, size, size)
+            out.seek(at)
+            out.write(z._LOCAL.pack(z._MAGIC["local"], 45, 0x800, 0, 0, 0x21, 0, z._FULL32, z._FULL32, len(raw), len(extra)) + raw + extra)
+            start = out.tell()
+            for offset, some in data:
+                out.seek(start + offset)
+                out.write(some)
+            extra = struct.pack("<HHQQQ", 1, 24, size, size, at)
+            directory += z._CENTRAL.pack(
+                z._MAGIC["central"], 45, 45, 0x800, 0, 0, 0x21, zlib.crc32(b""), z._FULL32, z._FULL32, len(raw), len(extra), 0, 0, 0, 0, z._FULL32
+            ) + raw + extra
+            at = start + size
+        out.seek(at)
+        out.write(directory)
+        end = out.tell()
+        out.write(z._END64.pack(z._MAGIC["end64"], 44, 45, 45, 0, 0, 2, 2, len(directory), at))
+        out.write(z._LOCATOR64.pack(z._MAGIC["locator64"], 0, end, 1))
+        out.write(z._END.pack(z._MAGIC["end"], 0, 0, z._FULL16, z._FULL16, z._FULL32, z._FULL32, 0))
+
+
+def one(i, payload):
+    return z._record("response", f"<urn:page:{i}>", f"http://h/{i}", None, payload, z.digest(payload))
+
+
+def test_a_package_of_five_gigabytes(spark, tmp_path):
+    size = 5 << 30
+    records = [(k * (size // 41) + 7, one(k, f"payload {k}".encode())) for k in range(40)]
+    sparse_package(tmp_path / "part-0", size, records)
+    assert (tmp_path / "part-0").stat().st_size > 5 << 30
+    got = z.read_packages(spark, str(tmp_path))
+    assert sorted((r.record_id, bytes(r.payload)) for r in got.collect()) == sorted((f"<urn:page:{k}>", f"payload {k}".encode()) for k in range(40))
+    # Its stretches are read by several tasks.
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+
+
+def test_ranges_and_whole_packages_give_the_same(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i % 30}</p>" * (i % 50 * 40)) for i in range(500)], "page_id long, url string, html string")
+    path = scratch_dir(spark, "test packages")
+    z.write_packages(pages.repartition(3), path, target=1 << 16)
+
+    def rows():
+        return sorted((r.record_id, r.record_type, r.url, r.refers_to_id, r.payload_digest, r.payload) for r in z.read_packages(spark, path, 1 << 14).collect())
+
+    by_range = rows()
+    monkeypatch.setattr(z, "_reachable", lambda path: False)
+    assert by_range == rows() and len(by_range) == 500
+
+
+def test_what_is_read(tmp_path):
+    """A directory, an index and the records asked for, and nothing else of the package."""
+    data = z.package([(z.ARCHIVE, one(1, b"x" * 100) + bytes(1 << 20)), (z.INDEX, f"k {z.DATE} {json.dumps({'filename': 'data.warc.gz', 'offset': '0', 'length': str(len(one(1, b'x' * 100)))})}\n".encode())])
+    read = []
+
+    def read_at(at, n):
+        read.append(n)
+        return data[at : at + n]
+
+    assert [block for _, block in z.records(read_at, len(data))] == [b"x" * 100]
+    assert sum(read) < 1 << 18
+
+
+def test_odd_folders(spark, tmp_path):
+    os.makedirs(tmp_path / "none")
+    assert z.read_packages(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "none" / "part-0").write_bytes(b"no package")
+    with pytest.raises(Exception, match="no end of central directory"):
+        z.read_packages(spark, str(tmp_path / "none")).collect()

@@ -255,6 +255,60 @@ def in_band(language: Column, languages=LANGUAGES, scripts=SCRIPTS, other: Band
     return rule.otherwise(inside(other))
 
 
+def fit_bands(
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    language: str = "lang",
+    quality: str = "quality",
+    lost: float = 0.0,
+    margin: tuple[float, float, float] = (0.03, 0.01, 0.03),
+    entropy_slack: float = 16.0,
+    least: int = 20,
+    **options,
+) -> dict[str, Band]:
+    """A band for each language, for ``in_band``: as close to the clean documents as it can be.
+
+    ``labels`` has ``key`` and ``quality``: 1 is clean. Of clean documents that pass the base rules, a share of ``lost`` may fall out at
+    each end; ``margin`` is left beyond the last one that stays (characters per token, share of bytes, bits of entropy). All labelled documents
+    count, and a row for each language reaches the driver. Languages of fewer than ``least`` clean documents get no band, and neither do
+    documents without a language.
+    """
+    clean = labels.filter(F.col(quality) == 1).select(key).distinct()
+    rows = measures(docs.select(key, text, language).join(clean, key, "left_semi"), text, **options)
+    chars = F.col("chars_per_token") + SLACK / F.sqrt("n_words")
+    bits = F.col("entropy") + entropy_slack / F.sqrt("n_tokens")
+
+    def end(measure: Column, high: bool) -> Column:
+        if lost == 0:
+            return F.max(measure) if high else F.min(measure)
+        return F.percentile_approx(measure, 1 - lost if high else lost, 10000)
+
+    found = (
+        rows.filter(~base_failed() & F.col(language).isNotNull())
+        .groupBy(F.col(language).alias("language"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            end(chars, False).alias("low_chars"),
+            end(F.col("chars_per_token"), True).alias("high_chars"),
+            end(F.col("byte_share"), True).alias("bytes"),
+            end(bits, False).alias("low_bits"),
+            end(F.col("entropy"), True).alias("high_bits"),
+        )
+        .filter(F.col("n") >= least)
+    )
+    return {
+        r.language: Band(
+            (r.low_chars - margin[0], r.high_chars + margin[0]),
+            (0.0, r.bytes + margin[1]),
+            (r.low_bits - margin[2], r.high_bits + margin[2]),
+            entropy_slack,
+        )
+        for r in found.collect()
+    }
+
+
 def kept(docs: DataFrame, text: str = "text", language: str = "lang", **options) -> DataFrame:
     """``docs`` with the measures, ``base_failed`` and ``kept``. Nulls and repeated rows as in ``measures``."""
     rows = measures(docs.drop("base_failed", "kept"), text, **options)

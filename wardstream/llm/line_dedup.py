@@ -11,7 +11,9 @@ is extended both ways, over every run that holds the fingerprint, and runs whose
 elsewhere go. Occurrences meet through the first one, a minimum for each run that is taken before the
 shuffle, and never in pairs, so a passage that a third of all documents share costs a few rows for each of them.
 
-Only DataFrame functions are used. Hashes stand for the lines: 64 bits for a line, 128 for a run.
+Passages inside of lines are not looked for: lines are hashed whole.
+
+Only DataFrame functions are used. Hashes stand for the lines: two of 64 bits for a line, and two made of them for a run.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -24,12 +26,13 @@ _SALT = 7
 
 
 def _units(text: Column, unit: int, run: int) -> Column:
-    """The units of a text: line number and hash."""
+    """The units of a text: line number and two hashes."""
     lines = F.transform(
         F.split(F.coalesce(text, F.lit("")), "\n", -1),
         lambda x, i: F.struct(
             i.alias("line"),
             F.xxhash64(x).alias("h"),
+            F.xxhash64(F.lit(_SALT), x).alias("g"),
             F.least(
                 F.lit(run), F.ceil(F.regexp_count(x, F.lit(r"[^\x09-\x0D\x20]+")) / unit)
             ).cast("int").alias("n"),
@@ -40,7 +43,7 @@ def _units(text: Column, unit: int, run: int) -> Column:
             F.filter(lines, lambda x: x["n"] > 0),
             lambda x: F.transform(
                 F.sequence(F.lit(1), x["n"]),
-                lambda j: F.struct(x["line"].alias("line"), F.xxhash64(x["h"], j).alias("h")),
+                lambda j: F.struct(x["line"].alias("line"), F.xxhash64(x["h"], j).alias("h"), F.xxhash64(x["g"], j).alias("g")),
             ),
         )
     )
@@ -57,8 +60,8 @@ def _fingerprints(docs: DataFrame, unit: int, run: int, gram: int) -> DataFrame:
     """From (key, text_hash, text): a row for each window minimum, with the runs that hold it."""
     window = run - gram + 1
 
-    def joined(i: Column, n: int) -> list[Column]:
-        return [F.get("units", i + j)["h"] for j in range(n)]
+    def joined(i: Column, n: int, h: str = "h") -> list[Column]:
+        return [F.get("units", i + j)[h] for j in range(n)]
 
     units = docs.select("key", "text_hash", _units(F.col("text"), unit, run).alias("units"))
     hashed = units.select(
@@ -72,7 +75,7 @@ def _fingerprints(docs: DataFrame, unit: int, run: int, gram: int) -> DataFrame:
             _steps(F.size("units") - (run - 1)),
             lambda i: F.struct(
                 F.xxhash64(*joined(i, run)).alias("h1"),
-                F.xxhash64(F.lit(_SALT), *joined(i, run)).alias("h2"),
+                F.xxhash64(*joined(i, run, "g")).alias("h2"),
                 i.alias("at"),
                 F.get("units", i)["line"].alias("first"),
                 F.get("units", i + (run - 1))["line"].alias("last"),
@@ -104,8 +107,11 @@ def repeated_lines(
     rows = docs.select(
         F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
     )
-    found = _fingerprints(rows, unit, run, gram)
+    # Stored: texts are hashed once, and with both sides stored the join deals them out itself and can split a fingerprint of many
+    # places.
+    found = materialise(_fingerprints(rows, unit, run, gram), "fingerprints")
     often = found.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    often = materialise(often, "shared-fingerprints")
     runs = materialise(
         found.join(often, "fingerprint")
         .select("key", "text_hash", F.explode("runs").alias("r"))

@@ -12,7 +12,7 @@ In each bucket all texts are compared with two leaders; connected components of
 become classes; then texts of different classes that share a bucket are compared as well, in blocks of a bounded size. All pairs
 are verified by their weighted Jaccard similarity over both whole texts; of those with a leader, pairs whose samples agree far
 too little are put aside first. Pairs are never listed inside a class nor in a block, so a group
-of copies costs a few rows for each, and no link between classes that share a bucket is lost.
+of copies costs a few rows for each, and no link between classes that share a bucket is lost. Texts of a bucket's main class are dealt out once.
 """
 
 import numpy as np
@@ -252,15 +252,21 @@ def _verified(pairs: DataFrame, signed: DataFrame, texts: DataFrame, table, simi
     return map_batches(both.select("a", "b", "a_text", "b_text"), run, f"a {ids}, b {ids}")
 
 
-def _linked(roots: list, texts: pa.Array, weight: np.ndarray, similar: float) -> list[tuple[int, int]]:
+def _linked(
+    roots: list, texts: pa.Array, weight: np.ndarray, similar: float, most: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Pairs of places, enough to join what is similar among texts that have ``roots`` for classes.
 
     All texts but those of the commonest class are compared with all others, by an index of shingles;
-    a pair inside a class, or inside what has been joined, needs no comparison.
+    a pair inside a class, or inside what has been joined, needs no comparison. ``most`` tells which texts are of the
+    commonest class, if it is known; then the others are compared with these alone.
     """
     names = {r: i for i, r in enumerate(dict.fromkeys(roots))}
     of = np.array([names[r] for r in roots])
-    main = np.bincount(of).argmax()
+    main = np.bincount(of).argmax() if most is None or not most.any() else of[most.argmax()]
+    if most is not None and (not most.any() or most.all()):
+        return []
+    other = np.ones(len(of), bool) if most is None else most
     text, value, count = _shingles(words(texts))
     mass = weight[_counter(value)].astype(np.float64)
     n = len(of)
@@ -277,7 +283,7 @@ def _linked(roots: list, texts: pa.Array, weight: np.ndarray, similar: float) ->
         at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
         least = np.minimum(times[at], np.repeat(count[own], size)) * np.repeat(mass[own], size)
         shared = np.bincount(owner[at], least, n)
-        for v in np.flatnonzero(shared >= similar * (total[u] + total - shared)):
+        for v in np.flatnonzero((shared >= similar * (total[u] + total - shared)) & other):
             if of[v] != of[u]:
                 out.append((int(u), int(v)))
                 # The joined class takes the name of one side; the main class keeps its own.
@@ -289,42 +295,68 @@ def _linked(roots: list, texts: pa.Array, weight: np.ndarray, similar: float) ->
 def _compared(rest: DataFrame, texts: DataFrame, table, similar: float) -> DataFrame:
     """Links between texts of different classes (``root``) that share a bucket.
 
-    A bucket is compared in blocks of about BLOCK bytes of text, each pair of blocks in a group of
-    its own; a group sends no more links than it has texts.
+    The class with most text in a bucket is its main one, and members of it need no comparison with each other. So main texts and
+    others are cut into blocks of about BLOCK bytes; a group is a block of either, or two blocks of others, and a bucket that is no
+    more than a block of each is one group. Others that fit one block are sent to each block of main texts, which go out once: what is dealt
+    is at most three times what is held. A group sends no more links than it has texts.
     """
     ship(rest.sparkSession)
-    held = rest.join(texts, "id")
     sizes = texts.select("id", F.octet_length("text").alias("size"))
+    sized = rest.join(sizes, "id").groupBy("bucket", "root").agg(F.sum("size").alias("size"))
+    most = F.max(F.struct("size", "root"))
     blocks = materialise(
-        rest.join(sizes, "id")
-        .groupBy("bucket")
-        .agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")),
+        sized.groupBy("bucket").agg(most.alias("most"), F.sum("size").alias("size")).select(
+            "bucket",
+            F.col("most.root").alias("main"),
+            F.greatest(F.ceil(F.col("most.size") / BLOCK), F.lit(1)).cast("int").alias("n_main"),
+            F.greatest(F.ceil((F.col("size") - F.col("most.size")) / BLOCK), F.lit(1)).cast("int").alias("n_other"),
+        ),
         "blocks",
     )
-    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
-    pair = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.struct(F.least("own", other).alias("x"), F.greatest("own", other).alias("y")),
-    )
-    dealt = (
-        held.join(blocks, "bucket")
-        .withColumn("own", own)
-        .select("bucket", "id", "root", "text", F.explode(pair).alias("p"))
-        .select("bucket", "p.x", "p.y", "id", "root", "text")
-    )
+    groups = _groups(rest.join(blocks, "bucket"))
+    dealt = groups.join(texts, "id").select("bucket", "kind", "x", "y", "id", "root", "in_main", "text")
 
     def compare(group: pa.Table) -> pa.Table:
         weight = np.frombuffer(table.value, np.float32)
         group = group.combine_chunks()
         roots = [(r["s1"], r["s2"]) for r in group["root"].to_pylist()]
         column = group["text"].combine_chunks()
-        pairs = _linked(roots, column, weight, similar)
+        across = group["kind"][0].as_py() == _ACROSS
+        main = group["in_main"].to_numpy(zero_copy_only=False) if across else None
+        pairs = _linked(roots, column, weight, similar, main)
         ids = group["id"].combine_chunks()
         a, b = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
         return pa.table({"a": ids.take(a), "b": ids.take(b)})
 
     ids = "struct<s1:bigint,s2:bigint>"
-    return dealt.groupBy("bucket", "x", "y").applyInArrow(compare, f"a {ids}, b {ids}")
+    return dealt.groupBy("bucket", "kind", "x", "y").applyInArrow(compare, f"a {ids}, b {ids}")
+
+
+#: Kinds of groups: all of a bucket; a block of main texts and one of others; two blocks of others.
+_ALL, _ACROSS, _OTHERS = 0, 1, 2
+
+
+def _groups(placed: DataFrame) -> DataFrame:
+    """The groups (``kind``, ``x``, ``y``) that each text of a bucket goes to, and whether it is ``in_main``."""
+    own = F.xxhash64("id")
+    x, y = F.pmod(own, "n_main").cast("int"), F.pmod(own, "n_other").cast("int")
+
+    def group(kind: int, a: Column, b: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), a.alias("x"), b.alias("y"))
+
+    upto_main, upto_other = (F.sequence(F.lit(0), F.col(n) - 1) for n in ("n_main", "n_other"))
+    zero = F.lit(0)
+    whole = (F.col("n_main") == 1) & (F.col("n_other") == 1)
+    # Others of one block are compared with each other in one group of their own.
+    among = F.transform(upto_other, lambda j: group(_OTHERS, F.least("own", j), F.greatest("own", j)))
+    of_other = F.concat(F.transform(upto_main, lambda i: group(_ACROSS, i, F.col("own"))), among)
+    of_main = F.transform(upto_other, lambda j: group(_ACROSS, F.col("own"), j))
+    in_main = F.col("root") == F.col("main")
+    found = placed.withColumn("in_main", in_main).withColumn("own", F.when(in_main, x).otherwise(y))
+    dealt = F.when(whole, F.array(group(_ALL, zero, zero))).when(F.col("in_main"), of_main).otherwise(of_other)
+    return found.select("bucket", "id", "root", "in_main", F.explode(dealt).alias("g")).select(
+        "bucket", "id", "root", "in_main", "g.kind", "g.x", "g.y"
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -252,69 +252,6 @@ def _texts(column: pa.Array, fst: PieceTransducer) -> pa.Array:
     return pc.if_else(column.is_valid(), texts, None).cast(pa.string())
 
 
-def encode(self, text: str) -> list[int]:
-        return self.ids(self.path(self.normalise(text)))
-
-
-def _load(model: str) -> bytes:
-    return Path(model).read_bytes()
-
-
-def _ids(column: pa.Array, fst: PieceTransducer) -> pa.Array:
-    """The ids of each text: the distinct stretches of all texts are searched once."""
-    if fst.rules or fst.squeeze or not fst.splits:
-        texts = [fst.normalise(x or "") for x in column.to_pylist()]
-        return pa.array(map(fst.ids, fst.paths(texts)), pa.list_(pa.int32()))
-    column = pc.replace_substring(pc.fill_null(column, ""), MARK, " ")
-    if fst.prefix:
-        column = pc.if_else(pc.equal(column, ""), "", pc.binary_join_element_wise(" ", column, ""))
-    data, offsets = text_bytes(column)
-    space = data == 0x20
-    begins = np.zeros(len(data), bool)
-    begins[1:] = space[1:] & ~space[:-1]
-    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    start = np.flatnonzero(begins)
-    end = np.append(start[1:], len(data))[: len(start)]
-    _, one, where = np.unique(run_hashes(data, start, end), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    bounds = zip(start[one].tolist(), end[one].tolist(), strict=True)
-    stretches = [raw[a:b].decode().replace(" ", MARK) for a, b in bounds]
-    order = sorted(range(len(one)), key=stretches.__getitem__)
-    ids, sizes = [], np.zeros(len(one), np.int64)
-    for i, path in zip(order, fst.paths([stretches[i] for i in order]), strict=True):
-        before = len(ids)
-        ids += fst.ids(path)
-        sizes[i] = len(ids) - before
-    flat, first = np.array(ids, np.int32), np.zeros(len(one), np.int64)
-    first[order] = np.cumsum(sizes[order]) - sizes[order]
-    n = sizes[where]
-    take = np.repeat(first[where] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    total = np.concatenate([[0], np.cumsum(n)])
-    return pa.ListArray.from_arrays(
-        pa.array(total[np.searchsorted(start, offsets)], pa.int32()), pa.array(flat[take])
-    )
-
-
-def _texts(column: pa.Array, fst: PieceTransducer) -> pa.Array:
-    """The text of each list of ids, without the mark in front."""
-    ids = column.flatten().to_numpy(zero_copy_only=False)
-    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-    n = fst.spelled_size[ids]
-    take = np.repeat(fst.spelled_at[ids] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    data = fst.spelled_bytes[take]
-    ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
-    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
-    texts = pa.Array.from_buffers(pa.large_string(), len(column), buffers)
-    try:
-        texts.validate(full=True)
-    except pa.ArrowInvalid:  # ids that spell no text: as the decoder of UTF-8 mends it
-        raw = data.tobytes()
-        texts = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:], strict=False)], pa.large_string())
-    if fst.prefix:
-        texts = pc.if_else(pc.starts_with(texts, " "), pc.utf8_slice_codeunits(texts, 1), texts)
-    return pc.if_else(column.is_valid(), texts, None).cast(pa.string())
-
-
 def _spelled_again(column: pa.Array, ids: pa.Array, fst: PieceTransducer) -> pa.Array:
     """Whether each list of ids spells its text, marks U+2581 as spaces."""
     out, done = [], 0

@@ -5,21 +5,16 @@ Rows are put in a seeded random order within their source and get a fractional r
 proportion, and cutting the sequence into equal lengths gives shards whose counts differ by one
 row at most and whose mixture is that of the corpus.
 
-Neither ranking puts a source, however large, into one task: rows are ranked within buckets (of the
-random order, then of the fraction), and the bucket sizes, added up beforehand, give each bucket
-its first rank.
+Neither ranking puts a source, a key or a fraction that many sources share into one task: rows are numbered by range
+partitions, rows in earlier partitions and then the place in the own one.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from wardstream.llm.common import fresh, hashable
-
-#: Hex digits of the seeded hash that make a bucket of a source: 4096 buckets.
-PREFIX = 3
-#: Buckets of the fraction. Their sizes make a table of as many rows, small enough to broadcast.
-CUTS = 4096
+from wardstream.llm.common import hashable
+from wardstream.operators.keys import dense_keys
+from wardstream.session import materialise
 
 
 def seeded(key: Column, seed: int) -> Column:
@@ -39,51 +34,29 @@ def interleave(
     if n_shards < 1:
         raise ValueError("n_shards must be 1 or more")
     df = df.drop("shard", "slot")
-    stratum, order, tie, bucket, before, size, frac, cut, first, total = fresh(
-        df, "stratum", "order", "tie", "bucket", "before", "size", "frac", "cut", "first", "total"
+    # Columns of the table are kept together, so that their names don't matter. Rows equal in all columns are interchangeable, and the salt
+    # deals them out.
+    rows = df.select(
+        F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("stratum"),
+        seeded(F.col(key), seed).alias("order"),
+        F.xxhash64(*hashable(df)).alias("tie"),
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+    ).withColumn("salt", F.xxhash64("tie", F.monotonically_increasing_id()))
+
+    # Rank within the source: the place among all sources, less the rows of earlier ones.
+    placed = dense_keys(rows, ["stratum", "order", "tie", "salt"], 0, "place")
+    sizes = placed.groupBy("stratum").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
+    # Stored, so that the join deals out both sides itself and can split a large source.
+    sizes = materialise(sizes, "source-sizes")
+    rank = 2 * (F.col("place") - F.col("first")) + 1
+    ranked = placed.join(sizes, "stratum").withColumn(
+        "frac", rank.cast("double") / (2 * F.col("size")).cast("double")
     )
-    rows = df.withColumns(
-        {
-            stratum: F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")),
-            order: seeded(F.col(key), seed),
-            tie: F.xxhash64(*hashable(df)),
-        }
-    ).withColumn(bucket, F.substring(order, 1, PREFIX))
 
-    # Rank within the source: rows in earlier buckets, then place in the own bucket.
-    by_source = Window.partitionBy(stratum)
-    sizes = (
-        rows.groupBy(stratum, bucket)
-        .agg(F.count("*").alias(size))
-        .withColumn(before, F.sum(size).over(by_source.orderBy(bucket)) - F.col(size))
-        .withColumn(size, F.sum(size).over(by_source))
-    )
-    place = F.row_number().over(Window.partitionBy(stratum, bucket).orderBy(order, tie))
-    ranked = rows.join(sizes, [stratum, bucket]).withColumn(
-        frac, (2 * (F.col(before) + place) - 1).cast("double") / (2 * F.col(size)).cast("double")
-    )
-    ranked = ranked.withColumn(cut, F.floor(F.col(frac) * CUTS).cast("int")).drop(
-        bucket, before, size
-    )
-
-    # Place in the whole sequence, in the same way; at most CUTS counts.
-    counts = (
-        ranked.groupBy(cut)
-        .agg(F.count("*").alias(size))
-        .withColumn(first, F.sum(size).over(Window.orderBy(cut)) - F.col(size))
-        .withColumn(total, F.sum(size).over(Window.partitionBy()))
-        .drop(size)
-    )
-    inside = F.row_number().over(Window.partitionBy(cut).orderBy(frac, stratum, order, tie))
-    position = F.col(first) + inside - 1
-    return (
-        ranked.join(F.broadcast(counts), cut)
-        .withColumn(first, position)
-        .withColumn("shard", F.expr(f"int((`{first}` * {n_shards}) div `{total}`)"))
-        .withColumn(
-            "slot",
-            F.col(first)
-            - F.expr(f"(shard * `{total}` + {n_shards - 1}) div {n_shards}"),
-        )
-        .select(*[f"`{c}`" for c in df.columns], "shard", "slot")
-    )
+    # Place in the whole sequence.
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    ranked = ranked.select("frac", "stratum", "order", "tie", "salt", "row")
+    sequence = dense_keys(ranked, ["frac", "stratum", "order", "tie", "salt"], -1, "position")
+    shard = F.expr(f"int((position * {n_shards}L) div {max(total, 1)}L)")
+    begin = F.expr(f"(shard * {total}L + {n_shards - 1}L) div {n_shards}L")
+    return sequence.withColumn("shard", shard).select("row.*", "shard", (F.col("position") - begin).alias("slot"))

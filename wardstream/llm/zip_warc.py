@@ -2,11 +2,12 @@
 
 A package is a ZIP file with two members stored as they are: ``archive/data.warc.gz``, a gzip member per record, and
 ``indexes/index.cdxj``, a line per record with its place in the archive. The reader goes from the end of the file
-to the central directory (ZIP64 where its fields overflow), finds the stored members, and cuts each record's range
-out of the package by the index; nothing is extracted.
+to the central directory (ZIP64 where its fields overflow), finds the stored members, and reads each record's range
+by the index; nothing is extracted. Tasks seek in the store: one reads a package's directory and index, and the records
+that the index names are dealt out by stretches of the package, so that a package of any size is read by many.
 
-Spark writes the packages, one in a file, and reads them as binary files, so they can be in any store it reaches, and a
-lost task is simply run again. A package holds about ``target`` bytes of payload, or one larger record.
+Spark writes the packages, one in a file, and a lost task is simply run again. A package holds about ``target`` bytes of payload, or one
+larger record. In a store that only Spark's readers reach, packages are read as binary files, whole, of 2 GB at the most.
 """
 
 import base64
@@ -16,6 +17,8 @@ import json
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +45,8 @@ _FULL16, _FULL32 = 0xFFFF, 0xFFFFFFFF
 _STORED = 0
 
 ReadAt = Callable[[int, int], bytes]
+#: Bytes read at once, of an index or of neighbouring records; bytes between two records that are read with them.
+STEP, GAP = 4 << 20, 1 << 12
 
 
 def package(members: list[tuple[str, bytes]], comment: bytes = b"", zip64: bool = False) -> bytes:
@@ -128,22 +133,38 @@ def members(read_at: ReadAt, size: int) -> dict[str, tuple[int, int]]:
     return found
 
 
-def records(read_at: ReadAt, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record that an index of the package points to, one range read each."""
+def places(read_at: ReadAt, size: int) -> Iterator[tuple[int, int]]:
+    """Place and size in the package of each record that one of its indexes names. An index is read in steps of STEP."""
     found = members(read_at, size)
     for name, (at, length) in sorted(found.items()):
         if not (name.startswith("indexes/") and name.endswith(".cdxj")):
             continue
-        for line in read_at(at, length).decode().splitlines():
-            entry = json.loads(line.split(" ", 2)[2])
-            base, room = found[f"archive/{entry['filename']}"]
-            offset, width = int(entry["offset"]), int(entry["length"])
-            if offset + width > room:
-                raise ValueError("the index points outside its archive")
-            head, _, block = gzip.decompress(read_at(base + offset, width)).partition(b"\r\n\r\n")
-            lines = head.decode().split("\r\n")
-            headers = dict(x.split(": ", 1) for x in lines[1:])
-            yield headers, block[: int(headers["Content-Length"])]
+        rest = b""
+        for done in range(0, length, STEP):
+            *lines, rest = (rest + read_at(at + done, min(STEP, length - done))).split(b"\n")
+            if done + STEP >= length:
+                lines.append(rest)
+            for line in filter(None, lines):
+                entry = json.loads(line.decode().split(" ", 2)[2])
+                base, room = found[f"archive/{entry['filename']}"]
+                offset, width = int(entry["offset"]), int(entry["length"])
+                if offset + width > room:
+                    raise ValueError("the index points outside its archive")
+                yield base + offset, width
+
+
+def record(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers and block of a record."""
+    head, _, block = gzip.decompress(raw).partition(b"\r\n\r\n")
+    lines = head.decode().split("\r\n")
+    headers = dict(x.split(": ", 1) for x in lines[1:])
+    return headers, block[: int(headers["Content-Length"])]
+
+
+def records(read_at: ReadAt, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of each record that an index of the package points to, one range read each."""
+    for at, width in places(read_at, size):
+        yield record(read_at(at, width))
 
 
 def digest(payload: bytes) -> str:
@@ -251,35 +272,99 @@ def write_packages(
     )
 
 
-def read_packages(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all packages under ``path``: RECORDS, a row per record.
+def _open(path: str):
+    """A file that can be read by ranges, in a store that Arrow reaches too."""
+    from pyarrow import fs
 
-    Files that are no package are an error. A folder without packages has no records.
-    """
+    if path.startswith("file:"):
+        path = "file://" + path.removeprefix("file:").removeprefix("//")
+    store, inner = fs.FileSystem.from_uri(unquote(path))
+    return store.open_input_file(inner)
+
+
+def _reachable(path: str) -> bool:
+    try:
+        _open(path).close()
+    except (OSError, ValueError):  # pa.ArrowInvalid is a ValueError
+        return False
+    return True
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                view = batch.column("content")[i].as_buffer()
-                rows = [
-                    (
-                        headers["WARC-Record-ID"],
-                        headers["WARC-Type"],
-                        headers.get("WARC-Target-URI"),
-                        headers.get("WARC-Refers-To"),
-                        headers["WARC-Payload-Digest"].removeprefix("sha1:"),
-                        block if headers["WARC-Type"] == "response" else None,
-                    )
-                    for headers, block in records(lambda at, n, v=view: v.slice(at, n).to_pybytes(), view.size)
-                ]
-                names = [x.split()[0] for x in RECORDS.split(", ")]
-                kinds = [pa.string()] * 5 + [pa.binary()]
-                columns = zip(*rows, strict=True) if rows else [[]] * 6
-                arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names)
 
+def _table(found: list[tuple[dict[str, str], bytes]]) -> pa.RecordBatch:
+    rows = [
+        (
+            headers["WARC-Record-ID"],
+            headers["WARC-Type"],
+            headers.get("WARC-Target-URI"),
+            headers.get("WARC-Refers-To"),
+            headers["WARC-Payload-Digest"].removeprefix("sha1:"),
+            block if headers["WARC-Type"] == "response" else None,
+        )
+        for headers, block in found
+    ]
+    names = [x.split()[0] for x in RECORDS.split(", ")]
+    kinds = [pa.string()] * 5 + [pa.binary()]
+    columns = zip(*rows, strict=True) if rows else [[]] * 6
+    arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
+def _places_of(batches):
+    for batch in batches:
+        for path, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+            with _open(path) as file:
+                found = places(lambda at, n, f=file: f.read_at(n, at), size)
+                while some := list(islice(found, 1 << 16)):
+                    columns = [pa.array([path] * len(some)), *(pa.array([x[k] for x in some], pa.int64()) for k in (0, 1))]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "at", "width"])
+
+
+def _records_at(batches):
+    """Rows of (path, at, width), sorted, into records. Neighbouring ranges are read at once, STEP bytes at the most or one record."""
+    last, file = None, None
+    for batch in batches:
+        paths, starts, widths = (batch.column(c).to_pylist() for c in ("path", "at", "width"))
+        i = 0
+        while i < len(paths):
+            if paths[i] != last:
+                if file is not None:
+                    file.close()
+                last, file = paths[i], _open(paths[i])
+            j, begin, end = i, starts[i], starts[i]
+            while j < len(paths) and paths[j] == last and starts[j] <= end + GAP and (j == i or starts[j] + widths[j] - begin <= STEP):
+                end = max(end, starts[j] + widths[j])
+                j += 1
+            raw = file.read_at(end - begin, begin)
+            yield _table([record(raw[at - begin : at - begin + n]) for at, n in zip(starts[i:j], widths[i:j], strict=True)])
+            i = j
+    if file is not None:
+        file.close()
+
+
+def _whole(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            view = batch.column("content")[i].as_buffer()
+            yield _table(list(records(lambda at, n, v=view: v.slice(at, n).to_pybytes(), view.size)))
+
+
+def read_packages(spark: SparkSession, path: str, stretch: int = 64 << 20) -> DataFrame:
+    """The records of all packages under ``path``: RECORDS, a row per record.
+
+    Records of one ``stretch`` of a package are read by one task. Files that are no package are an error. A folder without packages has no
+    records.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return map_batches(files.select("content"), run, RECORDS)
+    first = files.select("path").first()
+    if first is None or not _reachable(first.path):
+        return map_batches(files.select("content"), _whole, RECORDS)
+    # Paths and lengths alone: no content is read here.
+    named = map_batches(files.select("path", "length"), _places_of, "path string, at bigint, width bigint")
+    # The places are few bytes however much they name, so the number of tasks goes by the packages' size, which is told here.
+    total = files.agg(F.sum("length")).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // stretch))
+    dealt = named.repartition(tasks, "path", F.floor(F.col("at") / stretch)).sortWithinPartitions("path", "at")
+    return map_batches(dealt, _records_at, RECORDS)
 
 
 def resolved(found: DataFrame) -> DataFrame:
