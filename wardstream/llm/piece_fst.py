@@ -288,7 +288,7 @@ def encode(
         fst = PieceTransducer(file.value, rules)
         for batch in batches:
             # The more texts at once, the fewer stretches are searched twice.
-            for part in slices(batch, text, 12 << 20):
+            for part in slices(batch, text, 8 << 20):
                 found = [_ids(part.column(text), fst)]
                 if again:
                     found.append(_spelled_again(part.column(text), found[0], fst))

@@ -37,7 +37,7 @@ REMEMBERED, PAIRS = 1 << 19, 1 << 20
 STEP, SHORT = 1 << 20, 1 << 8
 # Letters and numbers that came after Unicode 16.0. The ranks' library does not know them, the module that splits does.
 NEWER = (
-    "՘֋-֌࢏౜೜₏₝-₟꟎-꟏꟒꟔꟝꟢꟱꭬-꭭"
+    "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d"
     "\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb"
     "\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8"
     "\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20"
@@ -47,7 +47,7 @@ NEWER = (
     "\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
 )
 #: Stands for them while a text is split: neither letter nor number nor white space.
-_OTHER = ""
+_OTHER = "\ue000"
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
