@@ -107,7 +107,7 @@ class PartedGold:
     ``parts`` is the number of parts at the beginning (rounded up to a power of two); a part with more than ``split_rows`` patient versions is divided.
     ``key_block``: patient versions get exact keys, which parts take from a stored counter in blocks of so many numbers;
     without it keys are 60-bit hashes. With ``keeps_latest`` off, no latest encounters are stored: each row given to
-    :meth:`refresh` must be the latest of its patient so far.
+    :meth:`refresh` must be the latest of its patient so far, one a patient. Tables begun in one of these ways go on in it.
     """
 
     spark: SparkSession
