@@ -149,6 +149,24 @@ def test_parts_divide_as_they_grow(spark, base):
     assert rows(gold.fact(), *plain) == rows(whole.fact.read(), *plain)
 
 
+def test_small_parts_share_folders(spark, base):
+    """However many parts there are, a refresh writes a bounded number of folders, and only those of its rows."""
+    days = [f"2024-01-0{d} 00:00:00" for d in range(1, 4)]
+    batches = [patients(spark, 0, 1000, days[0]), patients(spark, 1007, 1008, days[1]), patients(spark, 2900, 2910, days[2])]
+    gold, whole = PartedGold(spark, base, parts=1, split_rows=1), Gold(spark, f"{base}-whole", dense_keys=False)
+    written = []
+    for batch, day in zip(batches, days, strict=True):
+        gold.refresh(batch, day)
+        whole.refresh(batch, day)
+        written.append(matching_paths(spark, f"{base}/fact_patient_flow/r={len(written) + 1}/part=*"))
+        assert rows(gold.patients()) == rows(whole.patients.read()) and rows(gold.fact()) == rows(whole.fact.read())
+    assert len(gold.state().parts) > 500
+    assert len(written[0]) <= 256 and len(written[1]) == 1 and len(written[2]) <= 10
+    assert sum(p.versions for p in gold.state().parts) == gold.patients().count() == 1011
+    before = tables(gold)
+    assert gold.tidy(1) > 0 and tables(gold) == before
+
+
 def test_a_large_part_is_written_by_several_tasks(spark, base):
     gold = PartedGold(spark, base, parts=1)
     # Many small files between the steps, as a large part has many large ones.

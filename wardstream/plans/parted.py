@@ -7,7 +7,8 @@ one manifest see one refresh, and a run that died leaves only folders that no ma
 writes again.
 
 A part that outgrows ``split_rows`` is divided by further bits of the hash when it is next rewritten (extendible
-hashing), so the number of parts follows the data. What moves with the clock alone, the ingestion time and who is still
+hashing), so the number of parts follows the data. Parts of more than FOLDER_BITS bits share folders, at most 2^FOLDER_BITS a refresh, and those of a
+folder are rewritten together: however small parts are, a refresh writes and lists a bounded number of files. What moves with the clock alone, the ingestion time and who is still
 admitted, is not stored but computed when the fact is read, as of the last refresh.
 """
 
@@ -30,6 +31,8 @@ from wardstream.sources.tables import matching_paths, remove_path
 #: Stored beside the columns of a table: the hash of the row's patient.
 HASH, PART = "patient_hash", "part"
 _PLACE = T.StructType([T.StructField(HASH, T.LongType()), T.StructField(PART, T.LongType())])
+#: Parts that go by the same so many bits lie in one folder.
+FOLDER_BITS = 8
 #: Fact columns that depend on the clock of the refresh.
 MOVING = ("is_currently_admitted", "event_ingestion_time")
 FACT_KEPT = T.StructType([f for f in schemas.FACT if f.name not in MOVING])
@@ -51,6 +54,11 @@ def depth(part: int) -> int:
     return part.bit_length() - 1
 
 
+def folder_of(part: int) -> int:
+    """The part that names the folder of ``part``: itself, or the one of FOLDER_BITS bits that it came from."""
+    return part if depth(part) <= FOLDER_BITS else (1 << FOLDER_BITS) | part & (1 << FOLDER_BITS) - 1
+
+
 @dataclass(frozen=True)
 class PartState:
     """What the manifest says of a part. The keys ``next_key`` to ``last_key`` are its own to give out."""
@@ -132,15 +140,20 @@ class PartedGold:
     def folder(self, name: str, refresh: int) -> str:
         return f"{self.path}/{name}/r={refresh}"
 
+    def live(self, state: State, touched: set[int] | None = None) -> list[tuple[int, int]]:
+        """The folders that hold rows, of the parts ``touched`` if given: part and refresh."""
+        held = {(folder_of(p.part), p.refresh) for p in state.parts if p.versions and (touched is None or p.part in touched)}
+        return sorted(held)
+
     def _read(
         self, name: str, schema: T.StructType, state: State, touched: set[int] | None = None
     ) -> DataFrame:
-        """The rows of a table with their places, of the parts ``touched`` if given."""
+        """The rows of a table with their places, of the parts ``touched`` if given: all parts of their folders. ``part`` is that of the folder."""
         placed = T.StructType([*schema, *_PLACE])
-        held = [p for p in state.parts if p.versions and (touched is None or p.part in touched)]
+        held = self.live(state, touched)
         if not held:
             return self.spark.createDataFrame([], placed)
-        paths = [f"{self.folder(name, p.refresh)}/{PART}={p.part}" for p in held]
+        paths = [f"{self.folder(name, refresh)}/{PART}={part}" for part, refresh in held]
         reader = self.spark.read.schema(placed).option("basePath", f"{self.path}/{name}")
         return reader.parquet(*paths).select(*placed.names)
 
@@ -185,7 +198,7 @@ class PartedGold:
         versions = sorted(int(p.rsplit("=", 1)[1]) for p in held)
         kept = [v for v in versions if last - keep < v <= last]
         states = [self._state_of(v) for v in kept]
-        live = {f"r={p.refresh}/{PART}={p.part}" for s in states for p in s.parts}
+        live = {f"r={p.refresh}/{PART}={folder_of(p.part)}" for s in states for p in s.parts}
         live |= {f"r={s.departments}" for s in states}
         gone = [p for p in held if int(p.rsplit("=", 1)[1]) not in kept]
         for name in ("latest", "dim_patient", "fact_patient_flow"):
@@ -212,6 +225,8 @@ class PartedGold:
         arrived = materialise(self._placed(arrived, state), "parts-arrived")
         # As many numbers as parts at the most.
         touched = {r.part for r in arrived.select(PART).distinct().collect()}
+        folders = {folder_of(p) for p in touched}
+        touched = {p.part for p in state.parts if folder_of(p.part) in folders}
         if touched:
             state = self._refresh_parts(arrived, touched, state, number, as_of)
         clock = self.spark.range(1).select(now(as_of).alias("as_of")).first().as_of
@@ -232,9 +247,12 @@ class PartedGold:
         return hashed.withColumn("slot", slot).join(directory, "slot").drop("slot")
 
     def _write(self, name: str, rows: DataFrame, schema: T.StructType, number: int) -> None:
-        """Few files for each part, and a part with many rows spread over tasks."""
+        """Few files for each folder, and one with many rows spread over tasks."""
+        part = F.col(PART)
+        short = F.lit(1 << FOLDER_BITS).bitwiseOR(part.bitwiseAND((1 << FOLDER_BITS) - 1))
         (
             rows.select(*schema.names, *_PLACE.names)
+            .withColumn(PART, F.when(part >= 2 << FOLDER_BITS, short).otherwise(part))
             .hint("rebalance", PART)
             .write.partitionBy(PART)
             .options(**_COMPLETE)

@@ -109,8 +109,9 @@ def publish_parts(gold: PartedGold, database: str) -> list[str]:
             f"CREATE TABLE {target} ({schemas.ddl(schema)}, {PART} BIGINT) USING parquet"
             f" PARTITIONED BY ({PART}) LOCATION '{gold.path}/{name}'"
         )
-        live = [p for p in state.parts if p.versions]
-        places = (f"PARTITION ({PART} = {p.part}) LOCATION '{gold.folder(name, p.refresh)}/{PART}={p.part}'" for p in live)
+        places = (
+            f"PARTITION ({PART} = {part}) LOCATION '{gold.folder(name, refresh)}/{PART}={part}'" for part, refresh in gold.live(state)
+        )
         spark.sql(f"ALTER TABLE {target} ADD {' '.join(places)}")
         _switch(spark, f"{database}.{name}", target, columns)
     names = ("dim_patient", "dim_department", "fact_patient_flow")
