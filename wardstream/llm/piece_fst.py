@@ -13,6 +13,7 @@ first merge across any border would also happen within that pair. So one path ha
 weight, and it is the tokenizer's own result.
 """
 
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -206,30 +207,34 @@ def _ids(column: pa.Array, fst: PieceTransducer) -> pa.Array:
     if fst.prefix:
         column = pc.if_else(pc.equal(column, ""), "", pc.binary_join_element_wise(" ", column, ""))
     data, offsets = text_bytes(column)
+    del column
     space = data == 0x20
     begins = np.zeros(len(data), bool)
     begins[1:] = space[1:] & ~space[:-1]
     begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     start = np.flatnonzero(begins)
+    del space, begins
     end = np.append(start[1:], len(data))[: len(start)]
     _, one, where = np.unique(run_hashes(data, start, end), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    bounds = zip(start[one].tolist(), end[one].tolist(), strict=True)
-    stretches = [raw[a:b].decode().replace(" ", MARK) for a, b in bounds]
+    where = where.astype(np.int32)
+    ends = np.searchsorted(start, offsets)
+    bounds = np.stack([start[one], end[one]], 1).tolist()
+    del start, end
+    stretches = [data[a:b].tobytes().decode().replace(" ", MARK) for a, b in bounds]
+    del data, bounds
     order = sorted(range(len(one)), key=stretches.__getitem__)
-    ids, sizes = [], np.zeros(len(one), np.int64)
-    for i, path in zip(order, fst.paths([stretches[i] for i in order]), strict=True):
-        before = len(ids)
-        ids += fst.ids(path)
-        sizes[i] = len(ids) - before
-    flat, first = np.array(ids, np.int32), np.zeros(len(one), np.int64)
-    first[order] = np.cumsum(sizes[order]) - sizes[order]
-    n = sizes[where]
-    take = np.repeat(first[where] - np.cumsum(n) + n, n) + np.arange(n.sum())
-    total = np.concatenate([[0], np.cumsum(n)])
-    return pa.ListArray.from_arrays(
-        pa.array(total[np.searchsorted(start, offsets)], pa.int32()), pa.array(flat[take])
-    )
+    ids, first = array("i"), np.zeros(len(one) + 1, np.int32)
+    for i, path in enumerate(fst.paths([stretches[i] for i in order])):
+        ids.extend(fst.ids(path))
+        first[i + 1] = len(ids)
+    del stretches
+    place = np.empty(len(one), np.int32)
+    place[order] = np.arange(len(one), dtype=np.int32)
+    del order
+    # The ids of each distinct stretch, at each place where it stands.
+    each = pa.ListArray.from_arrays(pa.array(first), pa.array(np.frombuffer(ids, np.int32), pa.int32())).take(pa.array(place[where]))
+    total = each.offsets.to_numpy()
+    return pa.ListArray.from_arrays(pa.array(total[ends] - total[0]), each.flatten())
 
 
 def _texts(column: pa.Array, fst: PieceTransducer) -> pa.Array:

@@ -19,7 +19,8 @@ SOLID[[0x20, *range(0x09, 0x0E)]] = False
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _VALUE = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64)
-_CHUNK = 1 << 21
+#: Bytes hashed at once; what is computed beside them is eight times as large, and the hashes do not depend on it.
+_CHUNK = 1 << 18
 
 
 @dataclass
