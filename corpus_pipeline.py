@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstream.llm import decontaminate, fertility, line_dedup, near_dup, piece_fst
-from wardstream.llm.common import table
+from wardstream.llm.common import rows_and_files, table
 from wardstream.session import materialise
 
 
+def _filed(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``found``, what is left of ``docs``, in no more files than the texts of ``docs`` fill."""
+    return found.coalesce(rows_and_files(docs, "text")[1])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in their band of tokeniser fertility. Documents without words go."""
     return fertility.kept(docs).filter("kept").select(docs.columns)
@@ -22,24 +27,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars`` follows the text."""
     found = line_dedup.without_repeats(docs)
     left = F.regexp_like("text", F.lit(r"[^\x09-\x0D\x20]"))
-    return (
+    return _filed(
+        docs,
         found.filter((F.col("n_deleted") == 0) | left)
         .withColumn(
             "n_chars",
             F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")),
         )
-        .select(docs.columns)
+        .select(docs.columns),
     )
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, that of the least id."""
-    return near_dup.one_of_each(docs)
+    return _filed(docs, near_dup.one_of_each(docs))
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no ten words in a row, or no short item, with the benchmark."""
-    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return _filed(docs, decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

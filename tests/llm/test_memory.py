@@ -2,11 +2,13 @@
 
 import random
 import tracemalloc
+import uuid
 
 import numpy as np
 import pyarrow as pa
 
-from wardstream.llm import piece_fst
+from wardstream import session
+from wardstream.llm import line_dedup, near_dup, piece_fst
 from wardstream.llm.wordhash import run_hashes
 
 
@@ -42,3 +44,27 @@ def test_pieces_of_many_words_are_not_held_several_times():
     piece_fst._ids(column, fst)
     assert peak(piece_fst._ids, column, fst) < 30
     assert piece_fst._ids(column, fst).to_pylist() == [fst.encode(" ".join(words))]
+
+
+def test_small_tables_do_not_take_a_file_for_each_shuffle_partition(spark, tmp_path, monkeypatch):
+    """Each new file costs the executor a process that sets its rights."""
+    enough = 2 * spark.sparkContext.defaultParallelism
+    conf = {"spark.sql.shuffle.partitions": str(3 * enough), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in conf}
+    monkeypatch.setattr(session, "scratch_dir", lambda _, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    draw = random.Random(3)
+    texts = [" ".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(200)]
+    texts += [f"{x} {x[:9]}" for x in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        left = near_dup.one_of_each(docs).count()
+        lines = line_dedup.without_repeats(docs, unit=1).filter("n_deleted > 0").count()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert (left, lines) == (200, 0)
+    written = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.iterdir()}
+    assert {x.rsplit("-", 1)[0] for x in written} >= {"signed", "texts", "leaders", "links", "edges", "heads", "shared-fingerprints", "first-runs"}
+    assert max(written.values()) <= enough

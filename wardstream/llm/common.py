@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Rows and bytes of text in a file, of tables that have more shuffle partitions than that.
+FILE_ROWS, FILE_BYTES = 1 << 12, 8 << 20
+
 _shipped: set[str] = set()
 
 
@@ -76,6 +79,16 @@ def hashable(df: DataFrame) -> list[Column]:
     return [F.col(f"`{f.name}`") for f in df.schema if ok(f.dataType)]
 
 
+def rows_and_files(rows: DataFrame, text: str) -> tuple[int, int]:
+    """The number of rows, and how many files are enough for a table that grows with them.
+
+    It follows rows and text, with two a core at the least, so files and tasks don't become small where there are many partitions.
+    """
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col(text).cast("string")))).first()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return n, max(2 * cores, -(-n // FILE_ROWS), -(-(size or 0) // FILE_BYTES))
+
+
 def slices(
     batch: pa.RecordBatch, sizes: str | pa.Array, limit: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import fields, map_batches, slices
+from wardstream.llm.common import fields, map_batches, rows_and_files, slices
 from wardstream.llm.wordhash import Words, grams, words
 from wardstream.session import materialise
 
@@ -165,6 +165,7 @@ def shared_spans(
         .select(F.col("key").alias("item"), "a.n", "a.hash", "a.back", "a.ahead")
         .distinct(),
         "benchmark-fingerprints",
+        rows_and_files(items, item_text)[1],
     )
     sizes = sorted(r.n for r in bench.select("n").distinct().collect())  # n at the most
     bitmap = spark.sparkContext.broadcast(_bitmap(bench))

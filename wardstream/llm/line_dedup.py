@@ -19,7 +19,7 @@ Only DataFrame functions are used. Hashes stand for the lines: two of 64 bits fo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstream.llm.common import fresh
+from wardstream.llm.common import fresh, rows_and_files
 from wardstream.session import materialise
 
 _SALT = 7
@@ -107,21 +107,23 @@ def repeated_lines(
     rows = docs.select(
         F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
     )
+    _, files = rows_and_files(rows, "text")
     # Stored: texts are hashed once, and with both sides stored the join deals them out itself and can split a fingerprint of many
     # places.
     found = materialise(_fingerprints(rows, unit, run, gram), "fingerprints")
     often = found.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    often = materialise(often, "shared-fingerprints")
+    often = materialise(often, "shared-fingerprints", files)
     runs = materialise(
         found.join(often, "fingerprint")
         .select("key", "text_hash", F.explode("runs").alias("r"))
         .select("key", "text_hash", "r.*"),
         "runs",
+        files,
     )
     place = F.struct("key", "text_hash", "at")
     first = runs.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.max(place).alias("end"))
     # Stored, so that the join deals out both sides itself and can split a run of many places.
-    first = materialise(first.filter(F.col("origin") != F.col("end")).drop("end"), "first-runs")
+    first = materialise(first.filter(F.col("origin") != F.col("end")).drop("end"), "first-runs", files)
     later = runs.join(first, ["h1", "h2"]).filter(place != F.col("origin"))
     lines = F.array_distinct(
         F.flatten(F.transform(F.collect_set(F.struct("first", "last")), lambda r: F.sequence(r["first"], r["last"])))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardstream.llm.common import fields, fresh, hashable, map_batches, ship, slices
+from wardstream.llm.common import fields, fresh, hashable, map_batches, rows_and_files, ship, slices
 from wardstream.llm.wordhash import Words, grams, mix, words
 from wardstream.session import materialise
 
@@ -292,7 +292,7 @@ def _linked(
     return out
 
 
-def _compared(rest: DataFrame, texts: DataFrame, table, similar: float) -> DataFrame:
+def _compared(rest: DataFrame, texts: DataFrame, table, similar: float, files: int | None = None) -> DataFrame:
     """Links between texts of different classes (``root``) that share a bucket.
 
     The class with most text in a bucket is its main one, and members of it need no comparison with each other. So main texts and
@@ -312,6 +312,7 @@ def _compared(rest: DataFrame, texts: DataFrame, table, similar: float) -> DataF
             F.greatest(F.ceil((F.col("size") - F.col("most.size")) / BLOCK), F.lit(1)).cast("int").alias("n_other"),
         ),
         "blocks",
+        files,
     )
     groups = _groups(rest.join(blocks, "bucket"))
     dealt = groups.join(texts, "id").select("bucket", "kind", "x", "y", "id", "root", "in_main", "text")
@@ -359,28 +360,29 @@ def _groups(placed: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, files: int | None = None) -> DataFrame:
     """The least node (``root``) that each node of the edges (a, b) hangs together with, but for roots themselves.
 
     Alternating large and small stars (Kiveris et al. 2014): nodes move to the least neighbour they know, until nothing
-    changes. Minima are taken before the shuffle; each step is a stored table.
+    changes. Minima are taken before the shuffle; each step is a stored table, in ``files`` files at the most.
     """
-    edges = materialise(edges.filter("a != b").distinct(), "edges")
-    before = None
+
+    def stored(pairs: DataFrame) -> tuple[DataFrame, tuple]:
+        table = materialise(pairs.filter("a != b").distinct(), "edges", files)
+        return table, table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    # From the greater node to the less, as the steps leave them: finished edges are found to be so in one step.
+    edges, before = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a != b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        down = large.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             low.select("a", F.col("m").alias("b"))
         )
-        edges = materialise(small.filter("a != b").distinct(), "edges")
-        state = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
+        edges, state = stored(small)
         if state == before:
             return edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
         before = state
@@ -401,8 +403,9 @@ def classes(
     rows = rows.select(
         "key", F.xxhash64("key", "text").alias("h1"), F.xxhash64(F.lit(11), "key", "text").alias("h2"), "text"
     )
-    table = spark.sparkContext.broadcast(weights(frequencies(rows, "text"), max(1, rows.count())).tobytes())
-    signed = materialise(_sign(rows, table), "signed")
+    n, files = rows_and_files(rows, "text")
+    table = spark.sparkContext.broadcast(weights(frequencies(rows, "text"), max(1, n)).tobytes())
+    signed = materialise(_sign(rows, table), "signed", files)
     unique = materialise(
         signed.filter("n_words > 0")
         .groupBy(_id("id"))
@@ -412,6 +415,7 @@ def classes(
             F.any_value("samples").alias("samples"),
         ),
         "texts",
+        files,
     )
     spread = unique.select("id", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "id"
@@ -425,14 +429,16 @@ def classes(
         .agg(F.min(rank)["id"].alias("lead"), F.max(rank)["id"].alias("other"))
         .filter("lead != other"),
         "leaders",
+        files,
     )
-    members = materialise(spread.join(leaders, "bucket"), "buckets")
+    members = materialise(spread.join(leaders, "bucket"), "buckets", files)
     wanted = unique.join(members.select("id").distinct(), "id", "left_semi")
     texts = materialise(
         rows.join(wanted.select("id", "doc.h1", "doc.h2"), ["h1", "h2"])
         .select("id", "text")
         .dropDuplicates(["id"]),
         "candidates",
+        files,
     )
 
     def ordered(pairs: DataFrame) -> DataFrame:
@@ -443,17 +449,18 @@ def classes(
         )
 
     stars = members.select(F.explode(F.array("lead", "other")).alias("a"), F.col("id").alias("b"))
-    links = materialise(_verified(ordered(stars), unique, texts, table, similar), "links")
-    roots = components(links)
+    links = materialise(_verified(ordered(stars), unique, texts, table, similar), "links", files)
+    roots = components(links, files)
     # What is left: texts of different classes that share a bucket.
     placed = members.join(roots, "id", "left").select(
         "bucket", "id", F.coalesce("root", "id").alias("root")
     )
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    mixed = materialise(mixed.filter("x != y").select("bucket"), "mixed")
-    rest = materialise(placed.join(mixed, "bucket", "left_semi"), "rest")
-    more = materialise(_compared(rest, texts, table, similar), "links")
-    roots = components(links.unionByName(more))
+    mixed = materialise(mixed.filter("x != y").select("bucket"), "mixed", files)
+    rest = materialise(placed.join(mixed, "bucket", "left_semi"), "rest", files)
+    more = materialise(_compared(rest, texts, table, similar, files), "links", files)
+    # The classes so far stand for the links they were made of.
+    roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more), files)
 
     worded = F.col("n_words") > 0
     joined = materialise(
@@ -463,12 +470,14 @@ def classes(
         .withColumn("worded", worded)
         .drop("id"),
         "placed",
+        files,
     )
     heads = materialise(
         joined.groupBy("root", "worded").agg(
             F.min(F.struct("key", "h1", "h2")).alias("head"), F.count("*").alias("class_size")
         ),
         "heads",
+        files,
     )
     return joined.join(heads, ["root", "worded"]).select(
         F.col("key").alias(key),

@@ -45,12 +45,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/wardstream/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result feeds several consumers: the lineage ends at a table that survives the
     loss of executors, and the reader's real size lets the planner choose broadcasts safely.
+    ``files``: how many files are enough (there may be fewer), for tables that have far more shuffle partitions than rows to fill them.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
