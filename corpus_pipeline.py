@@ -49,8 +49,8 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of each text."""
-    encoded = piece_fst.encode(docs, again="spelled_again")
+    """The piece ids of each text. Searches are half as large as in the operator: the executors' heaps are full by now."""
+    encoded = piece_fst.encode(docs, again="spelled_again", at_once=4 << 20)
     return encoded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_pieces"), "spelled_again", "ids"
     )

@@ -7,8 +7,9 @@ import uuid
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from wardstream import session
-from wardstream.llm import line_dedup, near_dup, piece_fst
+from wardstream.llm import fertility, line_dedup, near_dup, piece_fst
 from wardstream.llm.wordhash import run_hashes
 
 
@@ -68,3 +69,34 @@ def test_small_tables_do_not_take_a_file_for_each_shuffle_partition(spark, tmp_p
     written = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.iterdir()}
     assert {x.rsplit("-", 1)[0] for x in written} >= {"signed", "texts", "leaders", "links", "edges", "heads", "shared-fingerprints", "first-runs"}
     assert max(written.values()) <= enough
+
+
+class Task:
+    """Stands for a DataFrame whose batches go through a function: keeps the function."""
+
+    def __init__(self, function):
+        self.function = function
+
+    def _same(self, *_, **__):
+        return self
+
+    withColumn = select = _same
+
+
+def _worker_peak(module, stage, docs, monkeypatch, texts) -> float:
+    monkeypatch.setattr(module, "map_batches", lambda df, function, schema: Task(function))
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+
+    def run(function):
+        for _ in function(iter([batch])):
+            pass
+
+    return peak(run, stage(docs).function)
+
+
+def test_workers_of_the_pipeline_take_part_of_a_batch_at_once(spark, monkeypatch):
+    draw = random.Random(5)
+    texts = [" ".join(draw.choices(["ab", "the", "of", "in", "house"], k=75_000)) for _ in range(32)]
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert _worker_peak(fertility, fertility.measures, docs, monkeypatch, texts) < 140
+    assert _worker_peak(piece_fst, lambda x: corpus_pipeline.pieces(spark, x, ""), docs, monkeypatch, texts) < 115

@@ -274,11 +274,12 @@ def encode(
     model: str = MODEL,
     rules: dict[str, str] | None = None,
     again: str | None = None,
+    at_once: int = 8 << 20,
 ) -> DataFrame:
     """``docs`` with the piece ids of the whole text in ``ids`` (array of int; replaced if there).
 
     ``again``: also a column that tells whether decoding the ids gives the text back, with
-    every mark U+2581 as a space (for models without rules).
+    every mark U+2581 as a space (for models without rules). ``at_once``: bytes of text in a search; the ids do not depend on it.
 
     A null or empty text has no pieces. Repeated rows are encoded alike; no other column is
     looked at, and an empty table stays empty.
@@ -293,7 +294,7 @@ def encode(
         fst = PieceTransducer(file.value, rules)
         for batch in batches:
             # The more texts at once, the fewer stretches are searched twice.
-            for part in slices(batch, text, 8 << 20):
+            for part in slices(batch, text, at_once):
                 found = [_ids(part.column(text), fst)]
                 if again:
                     found.append(_spelled_again(part.column(text), found[0], fst))
