@@ -377,7 +377,9 @@ def components(edges: DataFrame, files: int | None = None) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = large.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        # A hub meets the same least node once for each neighbour: doubles go before they meet at the hub.
+        large = large.filter("a != b").distinct()
+        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             low.select("a", F.col("m").alias("b"))
